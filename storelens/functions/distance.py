@@ -24,7 +24,8 @@ def haversine_km(lat1, lon1, lat2, lon2) -> Column:
         F.sin(half_lat) * F.sin(half_lat)
         + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.sin(half_lon) * F.sin(half_lon)
     )
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
+    # not least(): it would turn an unknown position into a distance
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.when(h > 1, F.lit(1.0)).otherwise(F.sqrt(h)))
 
 
 def _vincenty_km(lat1, lon1, lat2, lon2) -> np.ndarray:

@@ -17,6 +17,8 @@ from .materialize import checkpointed
 # A group with at most this many distinct values is ranked by one window.
 WINDOW_ROWS = 1_000_000
 
+_EVERYTHING = "_one_group"
+
 
 def _counts(base: DataFrame, group: list[str], value: str) -> DataFrame:
     return base.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
@@ -52,6 +54,29 @@ def _sliced(counts: DataFrame, group: list[str], order: Column, slice_rows: int,
             .drop("_slice", "_rows_before", "_values_before"))
 
 
+def rank_table(
+    stored: DataFrame, group: Sequence[str], value: str, *, ascending: bool = False,
+    window_rows: int = WINDOW_ROWS,
+) -> DataFrame:
+    """(group, value, _n, _before, _dense): rows that tie, rows before them, dense number.
+
+    ``stored`` is read more than once and must be cheap to read (a checkpoint or a table). The
+    size of its largest group, in distinct values, decides between the window and the sliced way.
+    """
+    group = list(group)
+    keys = group or [_EVERYTHING]
+    keyed = stored if group else stored.withColumn(_EVERYTHING, F.lit(0))
+    counts = _counts(keyed, keys, value)
+    order = F.col(value).asc() if ascending else F.col(value).desc()
+    # a frame this small has no large group; only beyond that are the groups counted
+    if stored.limit(window_rows + 1).count() > window_rows:
+        sizes = (counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+                 .agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first())
+        if sizes["largest"] > window_rows:
+            return _sliced(counts, keys, order, window_rows, sizes["total"])
+    return _running(counts, keys, order)
+
+
 def with_rank(
     df: DataFrame,
     group: Sequence[str],
@@ -62,34 +87,34 @@ def with_rank(
     dense_rank: str | None = None,
     percentile: str | None = None,
     window_rows: int = WINDOW_ROWS,
+    is_stored: bool = False,
 ) -> DataFrame:
     """Add ``rank``, ``dense_rank`` and/or an average-rank ``percentile`` of ``value`` in ``group``.
 
-    ``value`` must not be null. ``df`` should be at its final grain (stores, days): it is stored
-    once, and the size of its largest group decides between the window and the sliced way.
+    ``value`` must not be null. ``df`` should be at its final grain (stores, days); it is stored
+    once unless it already is.
     """
-    base = checkpointed(df)
+    base = df if is_stored else checkpointed(df)
+    return join_ranks(base, rank_table(base, group, value, ascending=ascending, window_rows=window_rows),
+                      group, value, rank=rank, dense_rank=dense_rank, percentile=percentile)
+
+
+def join_ranks(
+    df: DataFrame, ranked: DataFrame, group: Sequence[str], value: str, *,
+    rank: str | None = None, dense_rank: str | None = None, percentile: str | None = None,
+) -> DataFrame:
     group = list(group)
-    keys = group or ["_all"]
-    keyed = base if group else base.withColumn("_all", F.lit(0))
-    counts = _counts(keyed, keys, value)
-    sizes = (counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-             .agg(F.max("n").alias("largest"), F.sum("n").alias("total")).first())
-    order = F.col(value).asc() if ascending else F.col(value).desc()
-    if (sizes["largest"] or 0) <= window_rows:
-        ranked = _running(counts, keys, order)
-    else:
-        ranked = _sliced(counts, keys, order, window_rows, sizes["total"])
-    ranked = ranked.select(*keys, value, "_n", "_before", "_dense")
-    out = keyed.join(ranked, [*keys, value])
+    keys = group or [_EVERYTHING]
+    keyed = df if group else df.withColumn(_EVERYTHING, F.lit(0))
+    out = keyed.join(ranked.select(*keys, value, "_n", "_before", "_dense"), [*keys, value])
     if rank:
         out = out.withColumn(rank, F.col("_before") + 1)
     if dense_rank:
         out = out.withColumn(dense_rank, F.col("_dense"))
     if percentile:
         # ties share the mean of the ranks they cover
-        sizes_by_group = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-        out = out.join(sizes_by_group, keys).withColumn(
+        sizes = ranked.groupBy(*keys).agg(F.sum("_n").alias("_size"))
+        out = out.join(sizes, keys).withColumn(
             percentile, (F.col("_before") + (F.col("_n") + 1) / 2) / F.col("_size"))
     extras = [c for c in (rank, dense_rank, percentile) if c]
     return out.select(*df.columns, *extras)

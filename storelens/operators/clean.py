@@ -149,7 +149,7 @@ def interpolate(df: DataFrame, columns: Sequence[str], order_by: str = "ingest_o
     # one row per slice from here
     summary = placed.groupBy("_slice").agg(*ends)
     before = W.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    after = W.orderBy("_slice").rowsBetween(1, W.unboundedFollowing)
+    after = W.orderBy(F.col("_slice").desc()).rowsBetween(W.unboundedPreceding, -1)
     summary = summary.withColumn("_base", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
     carried = []
     for c in columns:
@@ -158,15 +158,16 @@ def interpolate(df: DataFrame, columns: Sequence[str], order_by: str = "ingest_o
             summary = summary.withColumn(f"_{kind}_{c}", F.when(
                 e.isNotNull(), F.struct((e.p + F.col("_base")).alias("p"), e.v.cast("double").alias("v"))))
         carried += [F.last(f"_last_{c}", True).over(before).alias(f"_prev_{c}"),
-                    F.first(f"_first_{c}", True).over(after).alias(f"_next_{c}")]
+                    F.last(f"_first_{c}", True).over(after).alias(f"_next_{c}")]
     summary = summary.select("_slice", "_base", *carried)
     out = placed.join(F.broadcast(summary), "_slice").withColumn("_pos", F.col("_pos") + F.col("_base"))
     back = w.rowsBetween(W.unboundedPreceding, 0)
-    ahead = w.rowsBetween(0, W.unboundedFollowing)
+    # the same running frame from the other end: a frame that shrinks from the left is quadratic
+    ahead = W.partitionBy("_slice").orderBy(F.col(order_by).desc()).rowsBetween(W.unboundedPreceding, 0)
     for c in columns:
         here = F.when(F.col(c).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(c).cast("double").alias("v")))
         out = (out.withColumn("_p", F.coalesce(F.last(here, True).over(back), F.col(f"_prev_{c}")))
-               .withColumn("_n", F.coalesce(F.first(here, True).over(ahead), F.col(f"_next_{c}"))))
+               .withColumn("_n", F.coalesce(F.last(here, True).over(ahead), F.col(f"_next_{c}"))))
         slope = (F.col("_n.v") - F.col("_p.v")) / (F.col("_n.p") - F.col("_p.p"))
         filled = (F.when(F.col(c).isNotNull(), F.col(c).cast("double"))
                   .when(F.col("_p").isNull(), F.lit(None).cast("double"))

@@ -145,11 +145,10 @@ def daily_revenue_with_means(df: DataFrame, revenue: str = "revenue_usd") -> Dat
 
     The one un-partitioned window here sees one row per calendar day.
     """
-    w = W.orderBy("date")
-    out = daily_revenue(df, revenue)
-    return out.withColumns({
-        "ma_7": F.avg("revenue").over(w.rowsBetween(-6, 0)),
-        "ma_30": F.avg("revenue").over(w.rowsBetween(-29, 0))}).orderBy("date")
+    def mean(rows: int) -> Column:
+        w = W.orderBy("date").rowsBetween(1 - rows, 0)
+        return ratio(as_money(exact_sum("revenue").over(w)), F.count("revenue").over(w))
+    return daily_revenue(df, revenue).withColumns({"ma_7": mean(7), "ma_30": mean(30)}).orderBy("date")
 
 
 def daily_revenue_by_region(df: DataFrame, revenue: str = "revenue_usd") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.joins import join_dimension
 from ..functions.materialize import checkpointed
 from ..functions.money import as_money, exact_sum, growth, ratio
-from ..functions.ranks import with_rank
+from ..functions.ranks import join_ranks, rank_table, with_rank
 
 # Marker colour per tier.
 TIER_COLORS = {
@@ -113,7 +113,7 @@ def store_sums(df: DataFrame, reference_date, *, upper_bound: bool = False) -> D
     last_year = _since(m["prior"]) & (F.col("date") < F.lit(m["prior_end_31"]))
     items = F.avg(F.when(mtd, F.col("qty").cast("double"))) if "qty" in df.columns else F.lit(None).cast("double")
     return df.where(F.col("store_id").isNotNull()).groupBy("store_id").agg(
-        exact_sum(usd).alias("_all"), exact_sum(F.when(mtd, usd)).alias("_mtd"),
+        exact_sum(usd).alias("_total"), exact_sum(F.when(mtd, usd)).alias("_mtd"),
         exact_sum(F.when(_since(m["year"]), usd)).alias("_ytd"),
         exact_sum(F.when(last_year, usd)).alias("_prior"),
         F.count_if(mtd).alias("transaction_count_mtd"), F.count(F.when(mtd, usd)).alias("_n_usd"),
@@ -143,7 +143,7 @@ def calculate_store_kpis(
     prior = F.coalesce(as_money("_prior"), zero)
     base = attributes.join(sums, "store_id").select(
         *attributes.columns,
-        F.coalesce(as_money("_all"), zero).alias("_all"), mtd.alias("revenue_mtd_usd"), ytd.alias("revenue_ytd_usd"),
+        F.coalesce(as_money("_total"), zero).alias("_total"), mtd.alias("revenue_mtd_usd"), ytd.alias("revenue_ytd_usd"),
         F.coalesce(F.when(prior > 0, growth(mtd, prior)), zero).alias("same_store_sales_growth"),
         "transaction_count_mtd",
         F.coalesce(ratio(as_money("_mtd"), "_n_usd"), zero).alias("avg_basket_size_usd"),
@@ -151,11 +151,12 @@ def calculate_store_kpis(
     base = base.withColumn("economic_region", F.coalesce("economic_region", F.lit("Unknown")))
     base = checkpointed(base)
     regions = base.groupBy("economic_region").agg(
-        F.sum(F.col("_all").cast("decimal(38,4)")).alias("_region_all"),
+        F.sum(F.col("_total").cast("decimal(38,4)")).alias("_region_all"),
         F.sum(F.col("revenue_ytd_usd").cast("decimal(38,4)")).alias("_region_ytd"),
         F.count(F.lit(1)).alias("total_stores_in_region"))
-    ranked = with_rank(base, ["economic_region"], "revenue_mtd_usd", rank="rank_in_region")
-    ranked = with_rank(ranked, [], "_all", ascending=True, percentile="percentile")
+    ranked = with_rank(base, ["economic_region"], "revenue_mtd_usd", rank="rank_in_region", is_stored=True)
+    by_total = rank_table(base, [], "_total", ascending=True)
+    ranked = join_ranks(ranked, by_total, [], "_total", percentile="percentile")
     out = join_dimension(ranked, regions, ["economic_region"])
     region_total = F.col("_region_ytd" if share_period == "ytd" else "_region_all").cast("double")
     share = F.coalesce(F.when(region_total > 0, ratio("revenue_ytd_usd", region_total) * 100), zero)
