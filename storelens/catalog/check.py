@@ -55,15 +55,10 @@ def compare(spark, con, sf_dir: str, query, sql: str) -> tuple[str, int]:
 
 
 def main(argv: list[str]) -> int:
-    from pyspark.sql import SparkSession
-
+    from ..session import local_session
     from . import oracle_sql, queries
     sf_dir, wanted = argv[0], argv[1:]
-    spark = (SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-             .config("spark.driver.memory", "8g").config("spark.ui.enabled", "false")
-             .config("spark.ui.showConsoleProgress", "false")
-             .config("spark.sql.session.timeZone", "UTC").getOrCreate())
-    spark.sparkContext.setLogLevel("ERROR")
+    spark = local_session("check")
     con, sql, bad = connect(sf_dir), oracle_sql(), 0
     for name, query in queries().items():
         if wanted and not any(name.startswith(w) for w in wanted):

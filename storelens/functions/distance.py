@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
 # Mean earth radius (km) and the WGS-84 ellipsoid.
@@ -65,7 +65,7 @@ def _vincenty_km(lat1, lon1, lat2, lon2) -> np.ndarray:
     return np.where(sin_sigma == 0, 0.0, b * aa * (sigma - delta))
 
 
-@pandas_udf("double")
+@pandas_udf(T.DoubleType())
 def geodesic_km(lat1: pd.Series, lon1: pd.Series, lat2: pd.Series, lon2: pd.Series) -> pd.Series:
     """WGS-84 geodesic distance, one Arrow batch at a time."""
     args = [s.to_numpy(dtype="float64") for s in (lat1, lon1, lat2, lon2)]

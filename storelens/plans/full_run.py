@@ -8,7 +8,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import aggregate, clean, kpi, loads
-from ..sources.contracts import load_contracts
+from ..sources.contracts import contracts_frame, load_contracts
 from ..sources.tables import Warehouse
 from ..streaming.arrivals import tick
 from .ingest import IngestOptions
@@ -20,7 +20,7 @@ KPI_AGE = dt.timedelta(hours=1)
 def refresh_kpis(
     wh: Warehouse, reference_date, *, force: bool = False, now: dt.datetime | None = None,
 ) -> bool:
-    """Recompute KPI records, markers and region summary from the newest cleaned snapshot.
+    """Recompute KPI records, markers and region summary from the loaded tables.
 
     Skipped when the last refresh is younger than an hour, unless forced. Returns whether it ran.
     """
@@ -31,8 +31,9 @@ def refresh_kpis(
         if now - last < KPI_AGE:
             return False
     snapshot = now.strftime("%Y%m%dT%H%M%S%f")
-    cleaned = wh.read_snapshot("cleaned")
-    wh.write_snapshot("kpi_records", kpi.calculate_store_kpis(cleaned, reference_date), snapshot)
+    records = kpi.calculate_store_kpis(
+        wh.read("sales_transactions"), reference_date, stores=wh.read_snapshot("stores"))
+    wh.write_snapshot("kpi_records", records, snapshot)
     records = wh.read_snapshot("kpi_records")
     wh.write_snapshot("kpi_markers", kpi.marker_rows(records), snapshot)
     wh.write_snapshot("kpi_region_summary", kpi.region_summary(records), snapshot)
@@ -53,17 +54,23 @@ def run(
     spark: SparkSession, contracts_path: str, incoming: str, root: str, *, reference_date=None,
     run_id: str | None = None, rates: DataFrame | None = None, options: IngestOptions = IngestOptions(),
 ) -> dict[str, int]:
-    """One full run; repeating a ``run_id`` repeats its writes in place."""
+    """One full run over the files that are new; repeating a ``run_id`` repeats its writes in place.
+
+    Only the new sales are transformed and appended. KPIs read the loaded tables, and neighbours
+    are counted among all stores under contract, so the figures cover everything loaded so far.
+    """
     wh = Warehouse(spark, root)
     reference_date = reference_date or dt.date.today()
     run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
-    results = tick(spark, incoming, load_contracts(contracts_path), wh, run_id, options=options)
+    contracts = load_contracts(contracts_path)
+    results = tick(spark, incoming, contracts, wh, run_id, options=options)
     extracted = results.count()
     sales = staged_sales(wh).where(F.col("batch_id") == run_id)
     if sales.isEmpty():
         return {"files": extracted, "rows": 0}
     config = clean.CleanConfig(keep_case=("source_file", "economic_region", "urban_rural"))
-    result = transform(sales.drop("batch_id"), rates=rates, config=config, save_to=wh)
+    stores = contracts_frame(spark, contracts)
+    result = transform(sales.drop("batch_id"), rates=rates, config=config, stores=stores, save_to=wh)
     load(wh, result, run_id, reference_date)
     refresh_kpis(wh, reference_date, force=True)
     return {"files": extracted, "rows": result.cleaned.count()}

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.joins import join_dimension
 from ..functions.materialize import stored
 from ..operators import aggregate, clean, fx, geo
 from ..sources.tables import Warehouse
@@ -25,14 +26,22 @@ class Transformed:
 def transform(
     df: DataFrame, *, reporting: str = "USD", rates: DataFrame | None = None,
     config: clean.CleanConfig = clean.CleanConfig(keep_case=("source_file", "economic_region", "urban_rural")),
-    distance: str = "haversine", grain: str = "store", save_to: Warehouse | None = None,
+    distance: str = "haversine", grain: str = "store", stores: DataFrame | None = None,
+    save_to: Warehouse | None = None,
 ) -> Transformed:
     """All five steps. ``cleaned`` is stored once, because the aggregates and the loads read it.
 
+    With ``stores`` (store_id, latitude, longitude, country of every store) neighbours are counted
+    among all of them, even when ``df`` holds the sales of a few.
+
     With ``save_to`` each step is also kept as a snapshot named after it. The default keeps the
     case of region and urban class; pass a config without them for upper-case names.
     """
-    enriched = geo.enrich(df, distance=distance, grain=grain)
+    if stores is None:
+        enriched = geo.enrich(df, distance=distance, grain=grain)
+    else:
+        known = geo.enrich(stores.select(*geo.REQUIRED), distance=distance)
+        enriched = join_dimension(df.drop(*geo.REQUIRED[1:]), known, ["store_id"])
     normalized = fx.normalize(enriched, reporting=reporting, rates=rates)
     cleaned, report = clean.clean(normalized, config)
     cleaned = stored(cleaned, "cleaned")

@@ -17,10 +17,21 @@ SETTINGS = {
 }
 
 
-def session(app: str = "storelens", master: str | None = None, **settings: str) -> SparkSession:
-    builder = SparkSession.builder.appName(app)
-    if master:
-        builder = builder.master(master)
+def builder(app: str = "storelens", **settings: str) -> SparkSession.Builder:
+    out = SparkSession.builder.appName(app)
     for key, value in {**SETTINGS, **settings}.items():
-        builder = builder.config(key, value)
-    return builder.getOrCreate()
+        out = out.config(key, value)
+    return out
+
+
+def session(app: str = "storelens", **settings: str) -> SparkSession:
+    return builder(app, **settings).getOrCreate()
+
+
+def local_session(app: str = "storelens", cpus: int = 8, memory: str = "8g", **settings: str) -> SparkSession:
+    """A session in this process, for tests and measurements."""
+    spark = builder(app, **{
+        "spark.sql.shuffle.partitions": str(cpus), "spark.driver.memory": memory, "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false", **settings}).master(f"local[{cpus}]").getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
