@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.materialize import checkpointed
 from ..operators import kpi, lookup, spatial
 from ..sources import retail_tables as rt
 from . import frames as fr
@@ -20,7 +21,8 @@ def kpi_table(spark, d):
 
 def _records(spark, d):
     stores = spatial.with_density(fr.located_stores(spark, d))
-    return kpi.calculate_store_kpis(fr.usd_sales_until(spark, d, "country"), REF, stores=stores)
+    records = kpi.calculate_store_kpis(fr.usd_sales_until(spark, d, "country"), REF, stores=stores)
+    return checkpointed(records)
 
 
 def _flat(df):

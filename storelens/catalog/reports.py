@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.joins import join_dimension
+from ..functions.materialize import checkpointed
 from ..operators import aggregate as agg
 from ..operators import dashboard as dash
 from ..operators import spatial
@@ -14,7 +15,8 @@ from .sql import exact, money, money_sum
 
 
 def _growth(spark, d):
-    return agg.same_store_sales(fr.usd_sales(spark, d, "country"), "QoQ").select("store_id", "same_store_sales_growth")
+    growth = agg.same_store_sales(fr.usd_sales(spark, d, "country"), "QoQ")
+    return checkpointed(growth.select("store_id", "same_store_sales_growth"))
 
 
 def _sales_with_growth(spark, d, *columns):

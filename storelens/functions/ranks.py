@@ -122,17 +122,26 @@ def join_ranks(
 
 def top_rows(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int, *,
-    number: str = "row_number", salts: int = 16,
+    number: str = "row_number", salts: int | None = None,
 ) -> DataFrame:
     """The first ``n`` rows of each group, numbered from 1.
 
-    Each group is first cut to ``n`` rows in ``salts`` shares (Spark also cuts inside the map
-    tasks), so the task that ends up with a group holds at most ``n * salts`` of its rows.
+    Spark cuts each group to ``n`` rows inside every map task. With many map tasks that is still a
+    lot for one reducer, so groups are then cut in ``salts`` shares before the last step, whose
+    task sees at most ``n * salts`` rows of a group. By default the shares follow the width of the
+    cluster's shuffles; a narrow one (a test) needs none.
     """
     group = list(group)
-    # the input partition, so equal copies spread too and a retried task repeats its shares
-    pre = (df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-           .withColumn("_rn", F.row_number().over(W.partitionBy(*group, "_salt").orderBy(*order)))
-           .where(F.col("_rn") <= n).drop("_rn", "_salt"))
-    return (pre.withColumn(number, F.row_number().over(W.partitionBy(*group).orderBy(*order)))
+    if salts is None:
+        salts = min(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 50)
+    if salts > 1:
+        df = _first_per_share(df, group, order, n, salts)
+    return (df.withColumn(number, F.row_number().over(W.partitionBy(*group).orderBy(*order)))
             .where(F.col(number) <= n))
+
+
+def _first_per_share(df: DataFrame, group: list[str], order: Sequence[Column], n: int, salts: int) -> DataFrame:
+    # the input partition, so equal copies spread too and a retried task repeats its shares
+    return (df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+            .withColumn("_rn", F.row_number().over(W.partitionBy(*group, "_salt").orderBy(*order)))
+            .where(F.col("_rn") <= n).drop("_rn", "_salt"))

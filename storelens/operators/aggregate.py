@@ -73,7 +73,7 @@ def same_store_sales(
     value = F.col(revenue_column)
     known = df.where(F.col("store_id").isNotNull())
     if by == "rows":
-        newest = [F.col("date").desc_nulls_last(), *[F.col(c).desc() for c in order_by]]
+        newest = [F.col("date").desc_nulls_first(), *[F.col(c).desc() for c in order_by]]
         last = top_rows(known.select("store_id", "date", *order_by, value.alias("_value")),
                         ["store_id"], newest, 2 * n, number="_rn")
         recent, prior = F.col("_rn") <= n, F.col("_rn") > n
@@ -142,7 +142,8 @@ def currency_exposure(
     out = df.where(F.col(currency_column).isNotNull()).groupBy(currency_column).agg(
         money_sum(revenue_column).alias("revenue_usd"),
         F.count(revenue_column).alias("transaction_count"))
-    total = out.agg(F.sum("revenue_usd")).scalar()
+    # one row per currency from here, so the one-partition window is small
+    total = F.sum("revenue_usd").over(W.partitionBy())
     return out.withColumns({
         "avg_transaction": ratio("revenue_usd", "transaction_count"),
         "percentage_of_total": ratio("revenue_usd", total) * 100,

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions.money import as_money, exact_sum, money_sum, ratio
+from ..functions.money import as_money, exact, exact_sum, money_sum, ratio
 from .kpi import TIER_COLORS
 
 # Colours of the growth and revenue bands, best first; grey for unknown.
@@ -121,7 +121,8 @@ def currency_breakdown(df: DataFrame, revenue: str = "revenue_usd") -> DataFrame
         exact_sum(revenue).alias("_sum"))
     out = per_store.groupBy("original_currency").agg(
         as_money(F.sum("_sum")).alias("revenue"), F.count("store_id").alias("stores"))
-    total = out.agg(F.sum("revenue")).scalar()
+    # one row per currency
+    total = F.sum("revenue").over(W.partitionBy())
     return out.withColumn("percentage", ratio("revenue", total) * 100).orderBy(
         F.col("revenue").desc(), "original_currency")
 
@@ -147,7 +148,7 @@ def daily_revenue_with_means(df: DataFrame, revenue: str = "revenue_usd") -> Dat
     """
     def mean(rows: int) -> Column:
         w = W.orderBy("date").rowsBetween(1 - rows, 0)
-        return ratio(as_money(exact_sum("revenue").over(w)), F.count("revenue").over(w))
+        return ratio(as_money(F.sum(exact("revenue")).over(w)), F.count("revenue").over(w))
     return daily_revenue(df, revenue).withColumns({"ma_7": mean(7), "ma_30": mean(30)}).orderBy("date")
 
 
@@ -173,7 +174,8 @@ def store_ranking(store_rows: DataFrame, n: int = 10, *, revenue: str = "revenue
 
 def urban_split(df: DataFrame, revenue: str = "revenue_usd") -> DataFrame:
     out = _known(df, "urban_rural").groupBy("urban_rural").agg(money_sum(revenue).alias("revenue"))
-    total = out.agg(F.sum("revenue")).scalar()
+    # one row per class
+    total = F.sum("revenue").over(W.partitionBy())
     return out.withColumn("percentage", ratio("revenue", total) * 100)
 
 

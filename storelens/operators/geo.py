@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import dimensions as dim
 from ..functions.distance import EARTH_RADIUS_KM, distance_km, geodesic_km, haversine_km
 from ..functions.joins import join_dimension
+from ..functions.materialize import checkpointed
 from . import spatial
 
 REQUIRED = ("store_id", "latitude", "longitude", "country")
@@ -89,7 +90,6 @@ def enrich(
         raise ValueError(f"missing required columns: {missing}")
     if grain not in ("store", "row"):
         raise ValueError("grain must be store or row")
-    keys = list(dict.fromkeys([*REQUIRED, order_by]))
     if order_by in REQUIRED:
         sites = df.groupBy(*REQUIRED).agg(F.count(F.lit(1)).alias("_rows"))
     else:
@@ -101,7 +101,7 @@ def enrich(
     sites = spatial.with_density(sites, density_km, weight=weight, distance=distance)
     added = ["economic_region", "nearest_city", "distance_to_city_km", "urban_rural",
              "gdp_per_capita_usd", "urbanization_rate", "cluster_id", "stores_within_10km"]
-    return join_dimension(df, sites.select(*REQUIRED, *added), REQUIRED, "left")
+    return join_dimension(df, checkpointed(sites.select(*REQUIRED, *added)), REQUIRED, "left")
 
 
 def geojson_feature() -> Column:

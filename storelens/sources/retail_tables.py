@@ -39,13 +39,13 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sales(spark: SparkSession, sf_dir: str, *, with_orders: bool = False) -> DataFrame:
     """(store_id, date, product_id, qty, revenue[, customer_id, payment_method], ingest_ord).
 
-    Amounts are computed as decimals and handed out as doubles. ``ingest_ord`` is a total order;
+    Amounts are computed in whole ten-thousandths and handed out as doubles. ``ingest_ord`` is a total order;
     without ``orders`` no join is made.
     """
     li = table(spark, sf_dir, "lineitem")
-    price, discount = F.col("l_extendedprice").cast("decimal(15,2)"), F.col("l_discount").cast("decimal(4,2)")
+    cents, percent = (F.floor(F.col(c) * 100 + 0.5) for c in ("l_extendedprice", "l_discount"))
     back = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7)
-    net = price * (F.lit(1).cast("decimal(4,2)") - discount)
+    net = cents * (100 - percent)
     # order, line, part and supplier number side by side in one sortable decimal
     ordered = F.expr(
         "cast(cast(l_orderkey as decimal(15,0)) * 10000000000000000000000BD"
@@ -56,7 +56,7 @@ def sales(spark: SparkSession, sf_dir: str, *, with_orders: bool = False) -> Dat
         F.to_date("l_shipdate").alias("date"),
         F.concat(F.lit("SKU-"), F.lpad(F.col("l_partkey").cast("string"), 5, "0")).alias("product_id"),
         F.col("l_quantity").cast("int").alias("qty"),
-        (F.when(back, -net).otherwise(net)).cast("double").alias("revenue"),
+        (F.when(back, -net).otherwise(net) / 10000.0).alias("revenue"),
     ]
     if with_orders:
         o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
