@@ -48,6 +48,8 @@ def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], *, max_rows: int = 1_000_000,
 ) -> dict[str, list[float | None]]:
     """Linear-interpolated exact quantiles per column. Runs jobs; keep ``df`` cheap to re-read."""
+    if not columns:
+        return {}
     aggs = [a for c in columns for a in (
         F.count(c).alias(f"n_{c}"), F.min(c).cast("double").alias(f"lo_{c}"),
         F.max(c).cast("double").alias(f"hi_{c}"))]

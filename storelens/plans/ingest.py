@@ -40,13 +40,17 @@ class IngestOptions:
 
 
 def new_files(files: DataFrame, completed: DataFrame) -> DataFrame:
-    """(path, file_hash, length, modificationTime) of files with content not seen before.
-
-    Equal files within the batch count once (the smallest path).
-    """
+    """(path, file_hash, length, modificationTime) of files whose content is not completed yet."""
     hashed = files.select("path", "length", "modificationTime", F.sha2("content", 256).alias("file_hash"))
-    first = hashed.groupBy("file_hash").agg(F.min(F.struct("path", "length", "modificationTime")).alias("_f"))
-    return first.join(completed.select("file_hash"), "file_hash", "left_anti").select("file_hash", "_f.*")
+    return hashed.join(completed.select("file_hash"), "file_hash", "left_anti")
+
+
+def first_of_equal(matched: DataFrame) -> DataFrame:
+    """Files of one content count once, the smallest path. Files without a contract all stay."""
+    rest = [c for c in matched.columns if c != "file_hash"]
+    known = matched.where(F.col("store_id").isNotNull()).groupBy("file_hash").agg(
+        F.min(F.struct("path", *[c for c in rest if c != "path"])).alias("_f"))
+    return known.select("file_hash", "_f.*").unionByName(matched.where(F.col("store_id").isNull()))
 
 
 def _failures(rows: DataFrame, error_type: str, contents: DataFrame | None) -> DataFrame:
@@ -90,7 +94,7 @@ def ingest_files(
     files = fs.stable(fs.only_workbooks(files), seconds=options.stable_seconds)
     fresh = stored(new_files(files, state.completed_hashes(history)), "new-files")
     matched = fs.match_contracts(fresh, book)
-    fresh = stored(fresh.join(matched, "path"), "matched-files")
+    fresh = stored(first_of_equal(fresh.join(matched, "path")), "matched-files")
     known = fresh.where(F.col("store_id").isNotNull())
     contents = join_dimension(files, known.select("path", "file_hash"), ["path"], "inner")
 
