@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # City, country, latitude, longitude. The position is the tie-break order.
 CITIES: list[tuple[str, str, float, float]] = [
@@ -96,6 +96,20 @@ def values_frame(spark: SparkSession, rows: Sequence[tuple], columns: Sequence[s
     return spark.sql(f"SELECT * FROM VALUES {body} AS t({', '.join(columns)})")
 
 
+def lookup(rows: Sequence[tuple], key: Column, field: int = 1) -> Column:
+    """The ``field`` of the row whose first entry is ``key``, null if there is none: a projection, no join."""
+    pairs = ", ".join(f"{_literal(row[0])}, {_literal(row[field])}" for row in rows)
+    return F.try_element_at(F.expr(f"map({pairs})"), key)
+
+
+def city_array() -> Column:
+    """The cities as one literal array of (ord, city, lat, lon)."""
+    items = ", ".join(
+        f"named_struct('ord', {i}, 'city', {_literal(c[0])}, 'lat', {_literal(c[2])}, 'lon', {_literal(c[3])})"
+        for i, c in enumerate(CITIES))
+    return F.expr(f"array({items})")
+
+
 def cities(spark: SparkSession) -> DataFrame:
     rows = [(i, *c) for i, c in enumerate(CITIES)]
     return values_frame(spark, rows, ["ord", "city", "country", "city_lat", "city_lon"])

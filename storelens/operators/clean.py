@@ -137,10 +137,9 @@ def interpolate(df: DataFrame, columns: Sequence[str], order_by: str = "ingest_o
     """
     spark = df.sparkSession
     n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cut = stored(df.repartitionByRange(n, order_by).withColumn("_slice", F.spark_partition_id()),
-                 "interpolate")
     w = W.partitionBy("_slice").orderBy(order_by)
-    placed = cut.withColumn("_pos", F.row_number().over(w).cast("bigint"))
+    cut = df.repartitionByRange(n, order_by).withColumn("_slice", F.spark_partition_id())
+    placed = stored(cut.withColumn("_pos", F.row_number().over(w).cast("bigint")), "interpolate")
     ends = [F.count(F.lit(1)).alias("_rows")]
     for c in columns:
         at = F.when(F.col(c).isNotNull(), F.col("_pos"))

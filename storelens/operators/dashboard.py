@@ -63,13 +63,20 @@ def filter_values(df: DataFrame, column: str) -> DataFrame:
 def store_map(df: DataFrame, *, revenue: str = "revenue_usd", order_by: str = "ingest_ord",
               attributes: Sequence[str] = ("latitude", "longitude", "economic_region", "nearest_city",
                                            "country", "urban_rural", "stores_within_10km")) -> DataFrame:
-    """One row per store: first attributes, total revenue, mean growth where present."""
-    firsts = [F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order_by))).alias(c)
-              for c in attributes if c in df.columns]
-    extra = ([F.avg("same_store_sales_growth").alias("same_store_sales_growth")]
-             if "same_store_sales_growth" in df.columns else [])
-    return _known(df, "store_id").groupBy("store_id").agg(
-        *firsts, F.coalesce(money_sum(revenue), F.lit(0.0)).alias(revenue), *extra)
+    """One row per store: first attributes, total revenue, mean growth where present.
+
+    Rows are first reduced to one per store and set of attributes (usually one per store).
+    """
+    present = [c for c in attributes if c in df.columns]
+    has_growth = "same_store_sales_growth" in df.columns
+    sss = F.col("same_store_sales_growth") if has_growth else F.lit(None).cast("double")
+    sets = _known(df, "store_id").groupBy("store_id", *present).agg(
+        F.min(order_by).alias("_first"), exact_sum(revenue).alias("_sum"),
+        F.sum(sss).alias("_sss"), F.count(sss).alias("_sss_n"))
+    firsts = [F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_first"))).alias(c) for c in present]
+    extra = [ratio(F.sum("_sss"), F.sum("_sss_n")).alias("same_store_sales_growth")] if has_growth else []
+    return sets.groupBy("store_id").agg(
+        *firsts, F.coalesce(as_money(F.sum("_sum")), F.lit(0.0)).alias(revenue), *extra)
 
 
 def map_center(store_rows: DataFrame) -> DataFrame:

@@ -8,18 +8,13 @@ from .. import dimensions as dim
 from ..functions.joins import join_dimension
 
 
-def _lookup(rows: list[tuple], key: Column, field: int = 1) -> Column:
-    pairs = [F.lit(v) for row in rows for v in (row[0], row[field])]
-    return F.try_element_at(F.create_map(*pairs), key)
-
-
 def country_currency(country: Column) -> Column:
-    return F.coalesce(_lookup(dim.COUNTRIES, country, 4), F.lit(dim.DEFAULT_CURRENCY))
+    return F.coalesce(dim.lookup(dim.COUNTRIES, country, 4), F.lit(dim.DEFAULT_CURRENCY))
 
 
 def fallback_usd_rate(currency: Column) -> Column:
     """USD per unit; an unknown currency counts as 1."""
-    return F.coalesce(_lookup(dim.FALLBACK_USD_RATES, currency), F.lit(1.0))
+    return F.coalesce(dim.lookup(dim.FALLBACK_USD_RATES, currency), F.lit(1.0))
 
 
 def fallback_rate(source: Column, target: Column) -> Column:
@@ -77,7 +72,7 @@ def normalize(
         source = country_currency(F.col(country_column))
     out = df.withColumn("original_currency", source)
     currency, amount = F.col("original_currency"), F.col(amount_column)
-    known = _lookup(dim.FALLBACK_USD_RATES, currency)
+    known = dim.lookup(dim.FALLBACK_USD_RATES, currency)
     fixed_source = F.when(known.isNotNull(), "fallback").otherwise("unknown")
     if rates is None:
         usd, origin = fallback_usd_rate(currency), fixed_source

@@ -13,21 +13,16 @@ from . import spatial
 REQUIRED = ("store_id", "latitude", "longitude", "country")
 
 
-def _country_value(country: Column, field: int) -> Column:
-    pairs = [F.lit(v) for row in dim.COUNTRIES for v in (row[0], row[field])]
-    return F.try_element_at(F.create_map(*pairs), country)
-
-
 def economic_region(country: Column) -> Column:
-    return F.coalesce(_country_value(country, 1), F.lit(dim.DEFAULT_REGION))
+    return F.coalesce(dim.lookup(dim.COUNTRIES, country, 1), F.lit(dim.DEFAULT_REGION))
 
 
 def gdp_per_capita(country: Column) -> Column:
-    return _country_value(country, 2)
+    return dim.lookup(dim.COUNTRIES, country, 2)
 
 
 def urbanization_rate(country: Column) -> Column:
-    return _country_value(country, 3)
+    return dim.lookup(dim.COUNTRIES, country, 3)
 
 
 def urban_class(km: Column) -> Column:
@@ -47,12 +42,16 @@ def with_country_context(df: DataFrame) -> DataFrame:
 def with_nearest_city(df: DataFrame, distance: str = "haversine") -> DataFrame:
     """Nearest reference city and the distance to it; the first city in list order wins a tie."""
     lat, lon = F.col("latitude"), F.col("longitude")
-    measure = distance_km(distance)
-    candidates = F.array(*[
-        F.struct(measure(lat, lon, F.lit(c_lat), F.lit(c_lon)).alias("km"),
-                 F.lit(i).alias("ord"), F.lit(city).alias("city"))
-        for i, (city, _, c_lat, c_lon) in enumerate(dim.CITIES)
-    ])
+    if distance == "haversine":
+        # a loop over one literal array keeps the plan small
+        candidates = F.transform(dim.city_array(), lambda c: F.struct(
+            haversine_km(lat, lon, c.lat, c.lon).alias("km"), c.ord.alias("ord"), c.city.alias("city")))
+    else:
+        measure = distance_km(distance)
+        candidates = F.array(*[
+            F.struct(measure(lat, lon, F.lit(c_lat), F.lit(c_lon)).alias("km"),
+                     F.lit(i).alias("ord"), F.lit(city).alias("city"))
+            for i, (city, _, c_lat, c_lon) in enumerate(dim.CITIES)])
     known = lat.isNotNull() & lon.isNotNull()
     best = F.when(known, F.array_min(candidates))
     return (df.withColumn("_near", best)
@@ -63,10 +62,8 @@ def with_nearest_city(df: DataFrame, distance: str = "haversine") -> DataFrame:
 
 def distance_to_city(lat: Column, lon: Column, city: Column) -> Column:
     """Distance to a named reference city; infinite when the city is unknown."""
-    def lookup(field):
-        pairs = [F.lit(v) for c in dim.CITIES for v in (c[0], c[field])]
-        return F.try_element_at(F.create_map(*pairs), city)
-    return F.coalesce(haversine_km(lat, lon, lookup(2), lookup(3)), F.lit(float("inf")))
+    km = haversine_km(lat, lon, dim.lookup(dim.CITIES, city, 2), dim.lookup(dim.CITIES, city, 3))
+    return F.coalesce(km, F.lit(float("inf")))
 
 
 def with_location_class(df: DataFrame, distance: str = "haversine") -> DataFrame:

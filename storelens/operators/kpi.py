@@ -66,10 +66,14 @@ def store_kpi_table(
 
 
 def latest_attributes(df: DataFrame, order_by: str = "ingest_ord") -> DataFrame:
-    """Store attributes as of the store's last row."""
+    """Store attributes as of the store's last row.
+
+    Rows are first reduced to one per store and set of attributes, with the last position of each.
+    """
     present = [c for c in STORE_ATTRIBUTES if c in df.columns]
-    picked = F.max_by(F.struct(*present), order_by).alias("a")
-    return df.where(F.col("store_id").isNotNull()).groupBy("store_id").agg(picked).select("store_id", "a.*")
+    sets = df.where(F.col("store_id").isNotNull()).groupBy("store_id", *present).agg(F.max(order_by).alias("_last"))
+    picked = F.max_by(F.struct(*present), "_last").alias("a")
+    return sets.groupBy("store_id").agg(picked).select("store_id", "a.*")
 
 
 def performance_tier(sss: Column, percentile: Column) -> Column:

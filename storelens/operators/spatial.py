@@ -80,7 +80,7 @@ def _levels(points: DataFrame, radius_km: float, distance: str, leaf_pairs: int)
     outer = _chord(radius_km * (1 + slack))
     inner = _chord(radius_km / (1 + slack))
     side = outer
-    cells = checkpointed(_cells(points, side))
+    cells = _cells(points, side)
     steps = F.array(*[F.lit(i) for i in (-1, 0, 1)])
     around = cells
     for c in CELL:
