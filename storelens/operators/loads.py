@@ -14,6 +14,8 @@ STORE_COLUMNS = ("store_id", "country", "region", "economic_region", "urban_rura
                  "gdp_per_capita_usd", "urbanization_rate")
 SALES_COLUMNS = ("store_id", "date", "product_id", "qty", "revenue", "original_currency", "revenue_usd",
                  "exchange_rate_usd", "is_interpolated")
+SALES_SCHEMA = ("store_id string, date date, product_id string, qty bigint, revenue double, original_currency string, "
+                "revenue_usd double, exchange_rate_usd double, is_interpolated boolean, month string")
 LOAD_MODES = ("replace", "upsert", "append")
 
 
@@ -57,8 +59,10 @@ def load_sales(wh: Warehouse, df: DataFrame, load_id: str) -> int:
     """Append sales under ``load_id``, partitioned by month so date filters prune files."""
     present = [c for c in SALES_COLUMNS if c in df.columns]
     rows = df.select(*present).withColumn("month", F.date_format("date", "yyyy-MM"))
+    if "qty" in present:
+        rows = rows.withColumn("qty", F.col("qty").cast("bigint"))
     wh.append("sales_transactions", rows, load_id, ("month",))
-    n = wh.read("sales_transactions").where(F.col("batch_id") == load_id).count()
+    n = wh.read("sales_transactions", SALES_SCHEMA).where(F.col("batch_id") == load_id).count()
     record_load(wh, "sales_transactions", n, "append", load_id)
     return n
 

@@ -32,7 +32,7 @@ def refresh_kpis(
             return False
     snapshot = now.strftime("%Y%m%dT%H%M%S%f")
     records = kpi.calculate_store_kpis(
-        wh.read("sales_transactions"), reference_date, stores=wh.read_snapshot("stores"))
+        wh.read("sales_transactions", loads.SALES_SCHEMA), reference_date, stores=wh.read_snapshot("stores"))
     wh.write_snapshot("kpi_records", records, snapshot)
     records = wh.read_snapshot("kpi_records")
     wh.write_snapshot("kpi_markers", kpi.marker_rows(records), snapshot)
@@ -45,7 +45,7 @@ def load(wh: Warehouse, result: Transformed, load_id: str, reference_date) -> No
     loads.load_stores(wh, result.enriched, order_by="ingest_ord")
     loads.load_sales(wh, result.cleaned, load_id)
     stores = wh.read_snapshot("stores")
-    sales = wh.read("sales_transactions")
+    sales = wh.read("sales_transactions", loads.SALES_SCHEMA)
     loads.load_kpis(wh, kpi.store_kpi_table(stores, sales, reference_date))
     loads.load_regional_summaries(wh, aggregate.full_regional_summary(result.cleaned))
 

@@ -131,9 +131,7 @@ def ingest_files(
         "file_hash", F.col("path").alias("source_file"), "store_id", "sheet_type",
         F.coalesce("rows", F.lit(0)).alias("rows"), "error"))
     wh.append(RESULTS, results, batch_id)
-    staged = wh.read(STAGING).where(F.col("batch_id") == batch_id) if not rows.isEmpty() else None
-    if staged is not None:
-        wh.append(MANIFEST, state.staging_manifest(staged), batch_id)
+    wh.append(MANIFEST, state.staging_manifest(rows), batch_id)
 
     kept = files if options.keep_content else None
     unmatched = fresh.where(F.col("store_id").isNull()).withColumns({

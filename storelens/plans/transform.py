@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.joins import join_dimension
 from ..functions.materialize import stored
 from ..operators import aggregate, clean, fx, geo
+from ..operators.state import STATE_SCHEMA
 from ..sources.tables import Warehouse
 
 
@@ -58,12 +59,25 @@ def transform(
                        frames["regional_aggregation"], frames["same_store_sales"])
 
 
+# Columns of a staged sale; a contract's further columns stay in the staging files.
+STAGED_SALES = (
+    "source_file string, row_no bigint, customer_id string, date date, payment_method string, product_id string, "
+    "qty bigint, revenue double, country string, region string, latitude double, longitude double, "
+    "extraction_timestamp timestamp, ingest_ord string, store_id string, extraction_date date, sheet_type string")
+
+
 def staged_sales(wh: Warehouse, *, since=None, sheet_type: str = "sales_transactions") -> DataFrame:
-    """All staged sales; ``since`` prunes the extraction dates before any file is read."""
-    staged = wh.read("staging").where(F.col("sheet_type") == sheet_type)
+    """All staged sales of finished batches; ``since`` prunes the extraction dates before any file is read."""
+    finished = wh.read("extraction_state", STATE_SCHEMA).select("batch_id").distinct()
+    staged = wh.read("staging", STAGED_SALES).where(F.col("sheet_type") == sheet_type)
     if since is not None:
         staged = staged.where(F.col("extraction_date") >= F.lit(since))
-    return staged
+    return staged.join(finished, "batch_id", "left_semi")
+
+
+def load_kpi_data(wh: Warehouse) -> DataFrame:
+    """The persisted KPI table."""
+    return wh.spark.read.parquet(wh.path("store_kpis"))
 
 
 def latest_or_test_data(wh: Warehouse, fallback: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:

@@ -40,17 +40,19 @@ class Warehouse:
         writer.parquet(f"{self.path(name)}/batch_id={batch_id}")
 
     def read(self, name: str, schema: str | None = None) -> DataFrame:
-        """The table with its ``batch_id``; with a schema, an absent table is an empty one."""
+        """The table with its ``batch_id``.
+
+        With a schema, columns a batch lacks are null and an absent table is an empty one; no file
+        is opened to find the schema.
+        """
+        if schema is not None:
+            full = f"{schema}, batch_id string"
+            if not self.exists(name):
+                return self.spark.createDataFrame([], full)
+            return self.spark.read.schema(full).parquet(self.path(name))
         if not self.exists(name):
-            if schema is None:
-                raise FileNotFoundError(self.path(name))
-            return self.spark.createDataFrame([], f"{schema}, batch_id string")
-        reader = self.spark.read
-        if schema:
-            reader = reader.schema(f"{schema}, batch_id string")
-        else:
-            reader = reader.option("mergeSchema", "true")
-        return reader.parquet(self.path(name)).withColumn("batch_id", F.col("batch_id").cast("string"))
+            raise FileNotFoundError(self.path(name))
+        return self.spark.read.parquet(self.path(name)).withColumn("batch_id", F.col("batch_id").cast("string"))
 
     # snapshots ---------------------------------------------------------------------------------
 

@@ -30,3 +30,35 @@ def test_query(spark, con, name):
         return
     problem, _ = check.compare(spark, con, SF, QUERIES[name], SQL[name])
     assert not problem
+
+
+NESTED_LOOPS = ("CartesianProduct", "BroadcastNestedLoopJoin")
+
+
+@pytest.mark.parametrize("name", [
+    "kpi_table", "region_full_summary", "same_store_yoy", "fx_dated_amounts", "currency_exposure", "clean_key_copies",
+    "clean_fill_dates", "contract_accepted_sheets", "report_headline", "geo_stores_near_point", "state_file_statistics"])
+def test_no_nested_loop_joins(spark, name):
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert not [n for n in NESTED_LOOPS if n in plan]
+
+
+def test_totals_are_aggregated_before_the_shuffle(spark):
+    plan = QUERIES["report_revenue_by_region"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan and "SortMergeJoin" not in plan
+
+
+def test_only_needed_columns_are_read(spark):
+    plan = QUERIES["concentration_index"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    schema = plan.split("ReadSchema: ")[1].split(">")[0]
+    assert "l_shipdate" not in schema and "l_partkey" not in schema and "l_suppkey" in schema
+
+
+def test_store_radius_reaches_the_scan(spark, tmp_path):
+    from storelens.operators import geo
+    rows = spark.createDataFrame([("a", "JP", "R", 35.0, 139.0), ("b", "JP", "R", 10.0, 139.0)],
+                                 "store_id string, country string, economic_region string, latitude double, longitude double")
+    rows.write.parquet(str(tmp_path / "stores"))
+    near = geo.stores_near(spark.read.parquet(str(tmp_path / "stores")), 35.0, 139.0, 50.0)
+    assert [r.store_id for r in near.collect()] == ["a"]
+    assert "GreaterThanOrEqual(latitude" in near._jdf.queryExecution().executedPlan().toString()

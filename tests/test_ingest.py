@@ -12,6 +12,7 @@ from storelens.catalog.workbooks import workbook_bytes
 from storelens.operators import loads, state
 from storelens.plans import ingest
 from storelens.plans.full_run import refresh_kpis, run
+from storelens.plans.transform import load_kpi_data, staged_sales
 from storelens.sources import contracts as ct
 from storelens.sources import files as fs
 from storelens.sources.tables import Warehouse
@@ -273,6 +274,8 @@ def test_kpi_and_csv_writes(spark, tmp_path):
 def test_full_run(spark, inbox, tmp_path):
     path = tmp_path / "contracts.json"
     path.write_text(json.dumps(config()))
+    empty = run(spark, str(path), str(inbox), str(tmp_path / "empty"), reference_date=D(2024, 1, 31), options=NOW)
+    assert empty == {"files": 0, "rows": 0}
     put(inbox / "store_JP_001_sales_1.xlsx", {"Sales_1": sheet(good_rows(3)), "Inventory_Levels": [["SKU", "Current Stock"]]})
     put(inbox / "store_CN_001_sales_2024.xlsx", {"Sales_1": sheet(good_rows(2))})
     root = str(tmp_path / "wh")
@@ -285,6 +288,8 @@ def test_full_run(spark, inbox, tmp_path):
     assert not refresh_kpis(wh, D(2024, 1, 31)) and refresh_kpis(wh, D(2024, 1, 31), force=True)
     summary = {r.economic_region: r for r in spark.read.parquet(wh.path("regional_summaries")).collect()}
     assert summary["Greater China"].currency_exposure.keys() == {"CNY"}
+    assert load_kpi_data(wh).count() == 2 and staged_sales(wh, since=D(2020, 1, 1)).count() == 5
+    assert staged_sales(wh, since=D(2999, 1, 1)).count() == 0
     # nothing new in the second run; new sales add to the loaded ones
     assert run(spark, str(path), str(inbox), root, reference_date=D(2024, 1, 31), run_id="r2", options=NOW)["rows"] == 0
     put(inbox / "store_CN_002_sales_2025.xlsx", {"Sales_1": sheet(good_rows(1, 15))})
