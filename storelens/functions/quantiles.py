@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 BINS = 4096
+# So few values are fetched to read off a position.
+FETCH_ROWS = 10_000
 
 
 def _value_at(df: DataFrame, column: str, position: int, lo: float, hi: float, max_rows: int) -> float:
@@ -31,7 +33,7 @@ def _value_at(df: DataFrame, column: str, position: int, lo: float, hi: float, m
                 break
             below += row["n"]
         lo, hi = row["lo"], row["hi"]
-        if row["n"] <= max_rows:
+        if row["n"] <= min(max_rows, FETCH_ROWS):
             break
     if lo == hi:
         return lo

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from .. import dimensions as dim
+from ..functions.materialize import checkpointed
 from ..functions.money import as_money, exact_sum, growth, money_sum, ratio
 from ..functions.periods import LONG_LAG, period_end, period_ends_between
 from ..functions.ranks import top_rows
@@ -163,9 +164,12 @@ def region_store_totals(df: DataFrame) -> DataFrame:
 
 
 def best_and_worst_stores(store_totals: DataFrame, n: int = 5) -> DataFrame:
-    """(economic_region, side, place, store_id, revenue_usd): the n best and n worst per region."""
-    revenue = as_money("revenue_usd")
-    rows = store_totals.select("economic_region", "store_id", F.coalesce(revenue, F.lit(0.0)).alias("revenue_usd"))
+    """(economic_region, side, place, store_id, revenue_usd): the n best and n worst per region.
+
+    The totals are read for both sides, so they are stored once.
+    """
+    revenue = F.coalesce(as_money("revenue_usd"), F.lit(0.0))
+    rows = checkpointed(store_totals.select("economic_region", "store_id", revenue.alias("revenue_usd")))
     group = ["economic_region"]
     top = top_rows(rows, group, [F.col("revenue_usd").desc(), F.col("store_id")], n, number="place")
     low = top_rows(rows, group, [F.col("revenue_usd").asc(), F.col("store_id")], n, number="place")
@@ -183,15 +187,18 @@ def _as_map(split: DataFrame, column: str, name: str) -> DataFrame:
         F.collect_list(F.struct(column, "revenue_usd")))).alias(name))
 
 
-def region_totals(df: DataFrame) -> DataFrame:
-    """Totals, means, competition index and concentration per region from one pass over the sales."""
+def _per_store(df: DataFrame, *keys: str) -> DataFrame:
+    """Sales reduced to one row per region, store and ``keys``: all the regional record is made of."""
     has_density = "stores_within_10km" in df.columns
     density = F.col("stores_within_10km") if has_density else F.lit(None).cast("bigint")
-    per_store = (df.where(F.col("economic_region").isNotNull())
-                 .groupBy("economic_region", "store_id").agg(
-                     exact_sum("revenue_usd").alias("_total"), F.count("revenue_usd").alias("_n"),
-                     F.count(F.lit(1)).alias("_rows"), F.sum(density).alias("_near"),
-                     F.count(density).alias("_near_n"), F.min("date").alias("_from"), F.max("date").alias("_to")))
+    return (df.where(F.col("economic_region").isNotNull())
+            .groupBy("economic_region", "store_id", *keys).agg(
+                exact_sum("revenue_usd").alias("_total"), F.count("revenue_usd").alias("_n"),
+                F.count(F.lit(1)).alias("_rows"), F.sum(density).alias("_near"), F.count(density).alias("_near_n"),
+                F.min("date").alias("_from"), F.max("date").alias("_to")))
+
+
+def _region_totals(per_store: DataFrame) -> DataFrame:
     stores = F.count("store_id")
     total = as_money(F.sum("_total"))
     return per_store.groupBy("economic_region").agg(
@@ -204,21 +211,39 @@ def region_totals(df: DataFrame) -> DataFrame:
         F.when(stores > 1, _hhi("_total")).otherwise(F.lit(10000.0)).alias("market_concentration_hhi"))
 
 
+def region_totals(df: DataFrame) -> DataFrame:
+    """Totals, means, competition index and concentration per region from one pass over the sales."""
+    return _region_totals(_per_store(df))
+
+
 def full_regional_summary(df: DataFrame, period_start=None, period_end=None) -> DataFrame:
-    """The nested regional record: totals, store lists and revenue maps."""
-    sales = in_range(df, period_start, period_end)
-    out = region_totals(sales)
+    """The nested regional record: totals, store lists and revenue maps.
+
+    The sales are read once; all parts come from the stored rows per store.
+    """
+    pieces = checkpointed(_per_store(in_range(df, period_start, period_end), "original_currency", "urban_rural"))
+    per_store = pieces.groupBy("economic_region", "store_id").agg(
+        *[F.sum(c).alias(c) for c in ("_total", "_n", "_rows", "_near", "_near_n")],
+        F.min("_from").alias("_from"), F.max("_to").alias("_to"))
+    out = _region_totals(per_store)
     if period_start is not None:
         out = out.withColumn("period_start", F.lit(period_start).cast("date"))
     if period_end is not None:
         out = out.withColumn("period_end", F.lit(period_end).cast("date"))
-    places = best_and_worst_stores(region_store_totals(sales)).groupBy("economic_region").agg(*[
+    totals = per_store.where(F.col("store_id").isNotNull()).select(
+        "economic_region", "store_id", F.col("_total").alias("revenue_usd"))
+    places = best_and_worst_stores(totals).groupBy("economic_region").agg(*[
         F.sort_array(F.collect_list(F.when(F.col("side") == side, F.struct("place", "store_id")))).alias(side)
         for side in ("top", "bottom")])
     places = places.select("economic_region", F.col("top.store_id").alias("top_performing_stores"),
                            F.col("bottom.store_id").alias("bottom_performing_stores"))
+
+    def split(column: str) -> DataFrame:
+        return pieces.where(F.col(column).isNotNull()).groupBy("economic_region", column).agg(
+            as_money(F.sum("_total")).alias("revenue_usd"))
+
     for frame in (places,
-                  _as_map(revenue_split(sales, "original_currency"), "original_currency", "currency_exposure"),
-                  _as_map(revenue_split(sales, "urban_rural"), "urban_rural", "urban_rural_split")):
+                  _as_map(split("original_currency"), "original_currency", "currency_exposure"),
+                  _as_map(split("urban_rural"), "urban_rural", "urban_rural_split")):
         out = out.join(frame, "economic_region", "left")
     return out

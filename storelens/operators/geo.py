@@ -93,9 +93,11 @@ def enrich(
         sites = df.groupBy(*REQUIRED).agg(
             F.count(F.lit(1)).alias("_rows"), F.min(order_by).alias(order_by))
     weight = "_rows" if grain == "row" else None
-    sites = with_location_class(sites, distance)
-    sites = spatial.with_clusters(sites, cluster_km, weight=weight, order_by=order_by)
-    sites = spatial.with_density(sites, density_km, weight=weight, distance=distance)
+    # from here on nothing reads the transactions again
+    sites = checkpointed(with_location_class(sites, distance))
+    points = spatial.site_points(sites, weight)
+    sites = spatial.with_clusters(sites, cluster_km, weight=weight, order_by=order_by, points=points)
+    sites = spatial.with_density(sites, density_km, weight=weight, distance=distance, points=points)
     added = ["economic_region", "nearest_city", "distance_to_city_km", "urban_rural",
              "gdp_per_capita_usd", "urbanization_rate", "cluster_id", "stores_within_10km"]
     return join_dimension(df, checkpointed(sites.select(*REQUIRED, *added)), REQUIRED, "left")

@@ -32,7 +32,7 @@ def _chord(km: float) -> float:
     return 2 * EARTH_RADIUS_KM * sin(min(km / EARTH_RADIUS_KM, pi) / 2)
 
 
-def _points(sites: DataFrame, weight: str | None) -> DataFrame:
+def site_points(sites: DataFrame, weight: str | None = None) -> DataFrame:
     """Distinct positions with the number of sites at each, stored once."""
     w = F.sum(weight) if weight else F.count(F.lit(1))
     lat, lon = F.radians("latitude"), F.radians("longitude")
@@ -131,9 +131,10 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 def with_density(
     sites: DataFrame, radius_km: float = 10.0, *, weight: str | None = None,
     distance: str = "haversine", name: str = "stores_within_10km", leaf_pairs: int = LEAF_PAIRS,
+    points: DataFrame | None = None,
 ) -> DataFrame:
     """Number of other sites within ``radius_km`` (of other rows, when ``weight`` counts rows)."""
-    points = _points(sites, weight)
+    points = site_points(sites, weight) if points is None else points
     counts = []
     for side, whole, leaf in _levels(points, radius_km, distance, leaf_pairs):
         per_cell = whole.groupBy(*[f"a_{c}" for c in CELL]).agg(F.sum("b_w").alias("near"))
@@ -179,13 +180,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
 def with_clusters(
     sites: DataFrame, radius_km: float = 5.0, *, weight: str | None = None,
     order_by: str = "store_id", name: str = "cluster_id", leaf_pairs: int = LEAF_PAIRS,
+    points: DataFrame | None = None,
 ) -> DataFrame:
     """Density clusters with two members or more; -1 marks an isolated site.
 
     With a minimum of two members these are the connected components of "within ``radius_km``".
     Clusters are numbered from 0 by their first site in ``order_by``.
     """
-    points = _points(sites, weight)
+    points = site_points(sites, weight) if points is None else points
     edges = []
     for side, whole, leaf in _levels(points, radius_km, "haversine", leaf_pairs):
         # all points of two cubes wholly within the radius hang together: link each to one of its cube
