@@ -7,13 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import op1_bpe
+from .embeddings import op5_embedding_dedup
+from .minhash import op6_minhash
 from .packing import op9_packing
+from .pii import op10_pii
+from .ppm import op7_ppm
+from .quality import op8_quality
+from .toxicity import op2_toxicity
+from .urls import op3_url_filters
 from .warc import op4_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_toxicity": op2_toxicity,
+    "op3_url_filters": op3_url_filters,
     "op4_warc": op4_warc,
+    "op5_embedding_dedup": op5_embedding_dedup,
+    "op6_minhash": op6_minhash,
+    "op7_ppm": op7_ppm,
+    "op8_quality": op8_quality,
     "op9_packing": op9_packing,
+    "op10_pii": op10_pii,
 }
 
 SQL: dict[str, str] = {}
