@@ -50,6 +50,12 @@ class Replay:
         return found
 
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
+        """The ids of each word; a word that is a token as a whole is that token, whatever its merges make."""
+        out = [[self.ranks[word]] if word in self.ranks else None for word in words]
+        made = iter(self._replayed([word for word, ids in zip(words, out) if ids is None]))
+        return [next(made) if ids is None else ids for ids in out]
+
+    def _replayed(self, words: list[bytes]) -> list[list[int]]:
         symbols: list[int] = []
         bounds: list[int] = []
         single = self.single

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.materialize import checkpointed
-from .words import Words, chunks
+from .words import Words, chunks, plain
 
 ORDER = 4
 BLOCK_BYTES = 8_000_000
@@ -39,11 +39,10 @@ WORD_BIT = np.uint64(1 << 63)
 
 def symbols(texts: pa.Array, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All texts as bytes with start bytes and ends; the text of each byte; whether a byte is coded (no start byte)."""
-    lowered = pc.ascii_lower(pc.cast(pc.fill_null(texts, ""), pa.large_string()))
-    ends = np.frombuffer(lowered.buffers()[1], np.int64)[lowered.offset:lowered.offset + len(lowered) + 1]
-    sizes = np.diff(ends)
+    lowered = pc.ascii_lower(plain(texts))
+    sizes = pc.binary_length(lowered).to_numpy(zero_copy_only=False).astype(np.int64)
     data = lowered.buffers()[2]
-    raw = np.frombuffer(data, np.uint8)[ends[0]:ends[-1]] if data is not None and len(data) else np.zeros(0, np.uint8)
+    raw = np.frombuffer(data, np.uint8)[:sizes.sum()] if data is not None else np.zeros(0, np.uint8)
     owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + order + 1)
     out = np.full(len(owner), START, np.uint8)
     coded = np.ones(len(owner), bool)

@@ -30,7 +30,7 @@ ORDER = 5
 SAMPLE = 40_000
 PASSAGE = 64
 DISCOUNT = 0.75
-FLOOR = 1e-7
+FLOOR = 1 / 0x110000  # below all contexts: every code point alike
 APART = r"[^\p{L}\p{N}]+"
 START, END = 2, 3
 

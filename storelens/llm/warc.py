@@ -137,7 +137,7 @@ class ArchiveWriter:
         trained = _dictionary(self.early)
         self.coder = zstandard.ZstdCompressor(level=3, dict_data=trained, write_checksum=True, write_content_size=True)
         self.name = f"{self.stem}-{self.number}.warc.zst"
-        self.out = self.files.open_output_stream(f"{self.root}/{self.name}")
+        self.out = self.files.open_output_stream(f"{self.root}/{self.name}", compression=None)
         packed = zstandard.ZstdCompressor(level=9).compress(trained.as_bytes())
         self.out.write(DICTIONARY_MAGIC + len(packed).to_bytes(4, "little") + packed)
         for data in self.early:
@@ -233,7 +233,7 @@ def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
             for path, expected in zip(batch.column("path").to_pylist(), batch.column("records").to_pylist()):
                 files, name = fs.FileSystem.from_uri(path)
                 count, rows, size = 0, [], 0
-                with files.open_input_stream(name) as stream:
+                with files.open_input_stream(name, compression=None) as stream:
                     for data in frames(stream, path):
                         row = parse_record(data, f"{path} record {count}")
                         for key in ("page_id", "refers_to"):

@@ -26,12 +26,25 @@ def chunks(batch: pa.RecordBatch, column: str, most: int = CHUNK_BYTES) -> Itera
         start = stop
 
 
+def plain(texts: pa.Array) -> pa.Array:
+    """``texts`` as large strings without nulls whose bytes begin at their buffer's start.
+
+    Case functions of the Arrow library keep the offsets of a slice but write only its bytes, so slices are rebased.
+    """
+    filled = pc.cast(pc.fill_null(texts, ""), pa.large_string())
+    if not len(filled):
+        return filled
+    ends = np.frombuffer(filled.buffers()[1], np.int64)[filled.offset:filled.offset + len(filled) + 1]
+    data = filled.buffers()[2]
+    data = data.slice(int(ends[0]), int(ends[-1] - ends[0])) if data is not None else pa.py_buffer(b"")
+    return pa.LargeStringArray.from_buffers(len(filled), pa.py_buffer(np.ascontiguousarray(ends - ends[0])), data)
+
+
 class Words:
     """The words of each text of an array: ``codes`` point into ``vocabulary``, text i has ``codes[starts[i]:starts[i + 1]]``."""
 
     def __init__(self, texts: pa.Array, lower: str = "ascii", pattern: str = SPACE):
-        filled = pc.cast(pc.fill_null(texts, ""), pa.large_string())
-        lowered = {"ascii": pc.ascii_lower, "unicode": pc.utf8_lower, "": lambda x: x}[lower](filled)
+        lowered = {"ascii": pc.ascii_lower, "unicode": pc.utf8_lower, "": lambda x: x}[lower](plain(texts))
         lists = pc.split_pattern_regex(lowered, pattern)
         coded = lists.values.dictionary_encode() if len(lists) else pa.array([], pa.large_string()).dictionary_encode()
         offsets = lists.offsets.to_numpy().astype(np.int64) if len(lists) else np.zeros(1, np.int64)
