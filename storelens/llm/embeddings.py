@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.materialize import checkpointed
 from .graph import Sets, components, runs
+from .scratch import kept
 
 SAMPLE = 8192
 MOST_PIVOTS = 2048
@@ -76,14 +76,14 @@ def link(vectors: DataFrame, threshold: float = 0.95, nearest: int = NEAREST, sa
     e = F.col("embedding")
     usable = F.coalesce(e.isNotNull() & (F.size(e) > 0) & F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
                         & F.exists(e, lambda x: x != 0), F.lit(False))
-    rows = checkpointed(vectors.select(
+    rows = kept(vectors.select(
         "vec_id", e.cast("array<float>").alias("embedding")).select(
         "vec_id", "embedding", F.when(usable, F.size(e)).alias("dim"),
         F.xxhash64("embedding").alias("k1"), F.xxhash64(F.lit(7), "embedding").alias("k2")))
     dims = rows.where("dim is not null").groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
     dim, total = (dims["dim"], dims["count"]) if dims else (0, 0)
     indexed = rows.where(F.col("dim") == dim)
-    classes = checkpointed(indexed.groupBy("k1", "k2").agg(
+    classes = kept(indexed.groupBy("k1", "k2").agg(
         F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("embedding").alias("embedding")))
 
     share = min(1.0, sample / total) if total else 0.0
@@ -108,9 +108,9 @@ def link(vectors: DataFrame, threshold: float = 0.95, nearest: int = NEAREST, sa
                     [part.column(c) for c in ("k1", "k2", "copies", "embedding")] + [
                         pa.array(list(np.sort(top, axis=1)), pa.list_(pa.int64())), pa.array(list(keys), pa.list_(pa.int64()))],
                     ["k1", "k2", "copies", "embedding", "top", "keys"])
-    described = checkpointed(classes.select("k1", "k2", "copies", "embedding").mapInArrow(
+    described = kept(classes.select("k1", "k2", "copies", "embedding").mapInArrow(
         index, "k1 long, k2 long, copies long, embedding array<float>, top array<long>, keys array<long>"))
-    lists = checkpointed(described.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    lists = kept(described.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     entries = described.select("k1", "k2", "copies", "embedding", "top", F.explode("keys").alias("key")).join(lists, "key")
     cut = F.ceil(F.col("n") / block).cast("int")
     entries = entries.withColumn("own", F.pmod("k1", cut).cast("int")).withColumn(
@@ -152,14 +152,14 @@ def link(vectors: DataFrame, threshold: float = 0.95, nearest: int = NEAREST, sa
                 k1[who], k2[who], found[who].astype(np.int64), k1[roots], k2[roots])], ["k1", "k2", "links", "root1", "root2"])
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = entries.repartition(parts, "key", "left_block", "right_block").sortWithinPartitions("key", "left_block", "right_block")
-    found = checkpointed(dealt.mapInArrow(verify, "k1 long, k2 long, links long, root1 long, root2 long"))
+    found = kept(dealt.mapInArrow(verify, "k1 long, k2 long, links long, root1 long, root2 long"))
 
     named = classes.select("k1", "k2", "rep")
     links = found.groupBy("k1", "k2").agg(F.sum("links").alias("links"))
-    edges = checkpointed(found.select("k1", "k2", "root1", "root2").distinct()).join(named, ["k1", "k2"]).withColumnRenamed("rep", "a") \
+    edges = kept(found.select("k1", "k2", "root1", "root2").distinct()).join(named, ["k1", "k2"]).withColumnRenamed("rep", "a") \
         .join(named.select(F.col("k1").alias("root1"), F.col("k2").alias("root2"), F.col("rep").alias("b")), ["root1", "root2"])
     roots = components(edges.where("a is not null and b is not null").select("a", "b"))
-    linked = checkpointed(classes.select("k1", "k2", "rep", "copies").join(links, ["k1", "k2"], "left")
+    linked = kept(classes.select("k1", "k2", "rep", "copies").join(links, ["k1", "k2"], "left")
                           .join(roots, F.col("rep") == F.col("node"), "left")
                           .select("k1", "k2", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
                                   F.coalesce("component", "rep").alias("component_id")))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.materialize import checkpointed
+from .scratch import Scratch
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -19,7 +19,8 @@ def components(edges: DataFrame) -> DataFrame:
     number of rounds ends in stars. A node with very many links is a hot key of a join whose other side has one row per
     node; that side is stored first, so that adaptive execution can split the hot one.
     """
-    edges = checkpointed(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    rounds = Scratch(edges.sparkSession, "components")
+    edges = rounds.keep(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
     while True:
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -28,11 +29,12 @@ def components(edges: DataFrame) -> DataFrame:
                 edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
         before = state
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = checkpointed(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
-        edges = checkpointed(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
-        least = checkpointed(edges.groupBy("a").agg(F.min("b").alias("m")))
+        least = rounds.keep(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+        edges = rounds.keep(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        least = rounds.keep(edges.groupBy("a").agg(F.min("b").alias("m")))
         down = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = checkpointed(down.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
+        edges = rounds.keep(down.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
+        rounds.forget(rounds.count - 1)
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:

@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.materialize import checkpointed
 from .graph import components, runs
+from .scratch import kept
 from .words import chunks, mix, shingle_sets
 
 BANDS, ROWS = 24, 6
@@ -42,15 +42,15 @@ def seeds(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(sets: list[np.ndarray], n: int) -> np.ndarray:
-    """(documents, n) 32-bit minima under n random orders of the shingles; the sets are not empty."""
+    """(documents, n) minima under n random orders of the shingles, as their low 16 bits; the sets are not empty."""
     flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
     starts = np.cumsum([0, *map(len, sets)])[:-1]
-    out = np.empty((len(sets), n), np.uint32)
+    out = np.empty((len(sets), n), np.uint16)
     if not len(flat):
         return out
     with np.errstate(over="ignore"):
         for k, (a, b) in enumerate(zip(*seeds(n))):
-            out[:, k] = np.minimum.reduceat(((flat * a + b) >> np.uint64(32)).astype(np.uint32), starts)
+            out[:, k] = np.minimum.reduceat(((flat * a + b) >> np.uint64(32)).astype(np.uint32), starts) & 0xFFFF
     return out
 
 
@@ -90,7 +90,7 @@ def survivors(left: np.ndarray, right: np.ndarray, bounds: dict[int, int]) -> tu
 
 
 def _table(column: pa.ChunkedArray | pa.Array, n: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, n)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, n)
 
 
 class Similar:
@@ -123,46 +123,45 @@ class Similar:
                         pa.array([signed[i].tobytes() if i >= 0 else None for i in at], pa.binary()),
                         pa.array([keys[i] if i >= 0 else None for i in at], pa.list_(pa.int64()))],
                         ["doc_id", "n_shingles", "k1", "k2", "signature", "bands"])
-        self.features = checkpointed(self.docs.mapInArrow(
+        self.features = kept(self.docs.mapInArrow(
             features, "doc_id long, n_shingles long, k1 long, k2 long, signature binary, bands array<long>"))
 
     def run(self) -> DataFrame:
         """(doc_id, n_shingles, component_id, kept) per document."""
         named = self.features.where("doc_id is not null and n_shingles > 0")
-        reps = checkpointed(named.groupBy("k1", "k2").agg(F.min("doc_id").alias("cls"), F.count("*").alias("copies")))
-        own = self.features.select("doc_id", "n_shingles", "k1", "k2", "signature", "bands").where("n_shingles > 0") \
-            .join(reps, ["k1", "k2"]).where("doc_id = cls").dropDuplicates(["k1", "k2"])
-        self.classes = checkpointed(own.select("cls", "k1", "k2", "n_shingles", "signature", "bands"))
-        entries = self.classes.select("cls", F.explode("bands").alias("band"))
-        buckets = checkpointed(entries.groupBy("band").agg(F.min("cls").alias("center"), F.count("*").alias("n")).where("n > 1"))
-        self.members = checkpointed(entries.join(buckets, "band"))
-        self.signed = checkpointed(self.members.select("cls").distinct().join(
-            self.classes.select("cls", "n_shingles", "signature"), "cls"))
+        reps = kept(named.groupBy("k1", "k2").agg(F.min("doc_id").alias("cls"), F.count("*").alias("copies")))
+        banded = self.features.where("n_shingles > 0").select("doc_id", "k1", "k2", "bands").join(reps, ["k1", "k2"]).where("doc_id = cls")
+        entries = banded.select("cls", F.explode("bands").alias("band"))
+        buckets = kept(entries.groupBy("band").agg(F.min("cls").alias("center"), F.count("*").alias("n")).where("n > 1"))
+        self.members = kept(entries.join(buckets, "band"))
+        wanted = kept(self.members.select("cls").distinct().join(reps, "cls").select("cls", "k1", "k2"))
+        self.signed = kept(self.features.select("doc_id", "k1", "k2", "n_shingles", "signature").join(
+            wanted.withColumn("doc_id", F.col("cls")), ["doc_id", "k1", "k2"]).select("cls", "k1", "n_shingles", "signature")
+            .dropDuplicates(["cls"]))
         self._keep_sets()
-        same_id = self.classes.select("cls")  # classes of rows that share an id already share their node
         stars = self.members.where("cls <> center").select(F.col("cls").alias("a"), F.col("center").alias("b")).distinct()
         links = self._verified(self._pruned(stars))
         tried = stars
         for top in (2, None):
-            roots = checkpointed(components(links))
+            roots = kept(components(links))
             left = self._unsettled(roots)
             if left.isEmpty():
                 break
-            pairs = checkpointed(self._crossing(left, roots, top).join(tried, ["a", "b"], "left_anti"))
-            links = checkpointed(links.unionByName(self._verified(pairs)))
-            tried = checkpointed(tried.unionByName(pairs.select("a", "b")))
+            pairs = kept(self._crossing(left, roots, top).join(tried, ["a", "b"], "left_anti"))
+            links = kept(links.unionByName(self._verified(pairs)))
+            tried = kept(tried.unionByName(pairs.select("a", "b")))
         roots = components(links)
         labels = reps.select("k1", "k2", F.col("cls")).join(roots, F.col("cls") == F.col("node"), "left") \
             .select("k1", "k2", F.coalesce("component", "cls").alias("label"))
         # ids that stand for several classes tie these together
         shared = named.join(reps, ["k1", "k2"]).where("doc_id <> cls").select("doc_id", "cls").join(
-            same_id.select(F.col("cls").alias("doc_id")), "doc_id", "left_semi")
-        tied = checkpointed(shared.select(F.col("doc_id").alias("a"), F.col("cls").alias("b")))
+            reps.select(F.col("cls").alias("doc_id")), "doc_id", "left_semi")
+        tied = kept(shared.select(F.col("doc_id").alias("a"), F.col("cls").alias("b")))
         if not tied.isEmpty():
-            roots = components(checkpointed(links.unionByName(tied)))
+            roots = components(kept(links.unionByName(tied)))
             labels = reps.select("k1", "k2", F.col("cls")).join(roots, F.col("cls") == F.col("node"), "left") \
                 .select("k1", "k2", F.coalesce("component", "cls").alias("label"))
-        labels = checkpointed(labels)
+        labels = kept(labels)
         return self.features.select("doc_id", "n_shingles", "k1", "k2").join(labels, ["k1", "k2"], "left").select(
             "doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id")).withColumn(
             "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
@@ -180,10 +179,10 @@ class Similar:
                     yield pa.RecordBatch.from_arrays([
                         part.column("cls"), part.column("k1"), pa.array([int.from_bytes(d[:8], "little", signed=True) for d in digests], pa.int64()),
                         pa.array([s.tobytes() for s in sets], pa.binary())], ["cls", "k1", "own", "shingles"])
-        wanted = self.signed.select("cls").join(self.classes.select("cls", "k1"), "cls")
+        wanted = self.signed.select("cls", "k1")
         found = self.docs.join(wanted, F.col("doc_id") == F.col("cls")).select("cls", "k1", "text").mapInArrow(
             full, "cls long, k1 long, own long, shingles binary").where("k1 = own")  # another row's text under the id
-        self.sets = checkpointed(found.dropDuplicates(["cls"]).select("cls", "shingles"))
+        self.sets = kept(found.dropDuplicates(["cls"]).select("cls", "shingles"))
 
     def _pruned(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that pass the bound on sizes and every posterior bound."""
@@ -198,8 +197,8 @@ class Similar:
         left = s.select(F.col("cls").alias("a"), F.col("n_shingles").alias("n1"), F.col("signature").alias("s1"))
         right = s.select(F.col("cls").alias("b"), F.col("n_shingles").alias("n2"), F.col("signature").alias("s2"))
         sized = 100 * F.least("n1", "n2") >= self.percent * F.greatest("n1", "n2")
-        both = checkpointed(pairs).join(left, "a").join(right, "b").where(sized)
-        return checkpointed(both.select("a", "b", "s1", "s2").mapInArrow(test, "a long, b long"))
+        both = kept(pairs).join(left, "a").join(right, "b").where(sized)
+        return kept(both.select("a", "b", "s1", "s2").mapInArrow(test, "a long, b long"))
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose full sets reach the threshold."""
@@ -215,7 +214,7 @@ class Similar:
                 yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")], ["a", "b"])
         x = self.sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x"))
         y = self.sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y"))
-        return checkpointed(pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(
+        return kept(pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(
             compare, "a long, b long"))
 
     def _labelled(self, roots: DataFrame) -> DataFrame:
@@ -227,13 +226,13 @@ class Similar:
         parts = self._labelled(roots).groupBy("band", "component").agg(F.count("*").alias("n"))
         sums = parts.groupBy("band").agg(F.max(F.struct("n", F.col("component").alias("big"))).alias("most"),
                                          F.sum("n").alias("all"), F.count("*").alias("k")).where("k > 1")
-        return checkpointed(sums.select("band", F.col("most.big").alias("big"), (F.col("all") - F.col("most.n")).alias("others"), "all"))
+        return kept(sums.select("band", F.col("most.big").alias("big"), (F.col("all") - F.col("most.n")).alias("others"), "all"))
 
     def _crossing(self, left: DataFrame, roots: DataFrame, top: int | None) -> DataFrame:
         """Survivors (a, b) across components in the unsettled buckets; with ``top``, per document and component
         of a block only the most similar ones."""
         n, bounds, percent, block = self.n, self.bounds, self.percent, self.block
-        rows = checkpointed(self._labelled(roots).join(left, "band")).join(self.signed, "cls")
+        rows = kept(self._labelled(roots).join(left, "band")).join(self.signed, "cls")
         n_left, n_all = F.ceil(F.col("others") / block).cast("int"), F.ceil(F.col("all") / block).cast("int")
         common = ("band", "cls", "component", "big", "n_shingles", "signature")
         outside = rows.where("component <> big").select(
@@ -282,7 +281,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` with one document of each component; rows that share an id are one document."""
     kept = near_duplicates(docs, width, percent).where("kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(checkpointed(kept), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns) \
+    return docs.join(kept(kept), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns) \
         .unionByName(docs.where("doc_id is null"))
 
 

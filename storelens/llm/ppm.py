@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.materialize import checkpointed
+from .scratch import kept
 from .words import Words, chunks, plain
 
 ORDER = 4
@@ -114,9 +114,9 @@ class Trie:
 
     def __init__(self, full: DataFrame, order: int):
         self.order = order
-        counts = {order: checkpointed(full)}
+        counts = {order: kept(full)}
         for j in range(order - 1, -1, -1):  # a shorter context's counts are sums over the bytes before
-            counts[j] = checkpointed(counts[j + 1].groupBy(F.col("code").bitwiseAND((1 << 8 * (j + 1)) - 1).alias("code"))
+            counts[j] = kept(counts[j + 1].groupBy(F.col("code").bitwiseAND((1 << 8 * (j + 1)) - 1).alias("code"))
                                      .agg(F.sum("n").alias("n")))
         self.counts, self.nodes = counts, {}
         for j in range(order, -1, -1):
@@ -126,7 +126,7 @@ class Trie:
                 found = found.join(shorter, F.col("code").bitwiseAND((1 << 8 * j) - 1) == F.col("short"))
             else:
                 found = found.withColumn("n_short", F.lit(0).cast("long"))
-            self.nodes[j] = checkpointed(found.groupBy(F.shiftright("code", 8).alias("context")).agg(
+            self.nodes[j] = kept(found.groupBy(F.shiftright("code", 8).alias("context")).agg(
                 F.sum("n").alias("total"), F.count("*").alias("kinds"), F.sum("n_short").alias("excluded")))
 
     def log_probabilities(self, codes: DataFrame) -> DataFrame:
@@ -166,8 +166,8 @@ def score(docs: DataFrame, held_out, order: int = ORDER, block_bytes: int = BLOC
         keys, n = counts.merged()
         block = pa.array(np.full(len(keys), table.column("block")[0].as_py(), np.int32))
         return pa.Table.from_arrays([block, pa.array(keys.view(np.int64)), pa.array(n)], ["block", "key", "n"])
-    named = checkpointed(blocks.groupBy("block").applyInArrow(count, "block int, key long, n long"))
-    totals = checkpointed(named.groupBy("key").agg(F.sum("n").alias("n")))
+    named = kept(blocks.groupBy("block").applyInArrow(count, "block int, key long, n long"))
+    totals = kept(named.groupBy("key").agg(F.sum("n").alias("n")))
     is_word = F.col("key") < 0
     facts = totals.agg(F.sum(F.when(is_word, F.col("n"))), F.count_if(is_word & (F.col("n") > 0))).first()
     ends = plain.where("trains").count()
@@ -175,7 +175,7 @@ def score(docs: DataFrame, held_out, order: int = ORDER, block_bytes: int = BLOC
 
     codes = totals.where(~is_word).select(F.col("key").alias("code"), "n")
     trie = Trie(codes.where("n > 0"), order)
-    values = checkpointed(trie.log_probabilities(codes).select(F.col("code").alias("key"), "value").unionByName(
+    values = kept(trie.log_probabilities(codes).select(F.col("code").alias("key"), "value").unionByName(
         totals.where(is_word).select("key", F.col("n").cast("double").alias("value"))))
     wanted = named.select("block", "key").join(values, "key").select("block", "key", "value")
 

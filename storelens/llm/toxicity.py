@@ -168,7 +168,9 @@ def fit(docs: DataFrame, labels: DataFrame, order: int = ORDER, bound: int = SAM
     share = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
     if len(share) < 2:
         return None, float(next(iter(share), 0))
-    texts = checkpointed(docs.select("doc_id", "text").join(chosen, "doc_id").select(
+    if sum(share.values()) > 2 * bound:  # the draw's bound is what makes it fit to be sent to every task
+        raise RuntimeError(f"{sum(share.values())} sampled rows, more than twice the bound of {bound}")
+    texts = checkpointed(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
         "text", "toxic", (F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(4)) == 0).alias("for_curve")))
 
     def count(batches):

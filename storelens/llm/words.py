@@ -84,9 +84,10 @@ def shingle_sets(texts: pa.Array, width: int) -> list[np.ndarray]:
     out = []
     with np.errstate(over="ignore"):
         seq = of_word[words.codes] if len(words.codes) else np.zeros(0, np.uint64)
-        windows = np.zeros(max(0, len(seq) - width + 1), np.uint64)
+        n = max(0, len(seq) - width + 1)
+        windows = np.zeros(n, np.uint64)
         for k in range(width):
-            windows = mix(windows * np.uint64(0x9E3779B97F4A7C15) + seq[k:len(seq) - width + 1 + k])
+            windows = mix(windows * np.uint64(0x9E3779B97F4A7C15) + seq[k:k + n])
         for a, b in zip(words.starts[:-1], words.starts[1:]):
             if b - a >= width:
                 out.append(np.unique(windows[a:b - width + 1]))

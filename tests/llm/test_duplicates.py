@@ -150,9 +150,9 @@ def test_bounds_keep_true_pairs():
     bounds = minhash.least_matches(0.85, 144, 16, 1e-4)
     assert list(bounds)[-1] == 144 and list(bounds.values()) == sorted(bounds.values())
     rnd = np.random.default_rng(5)
-    left = rnd.integers(0, 2 ** 32, (4000, 144), dtype=np.uint32)
-    right = np.where(rnd.random((4000, 144)) < 0.85, left, 1)
+    left = rnd.integers(0, 2 ** 32, (4000, 144), dtype=np.uint32).astype(np.uint16)
+    right = np.where(rnd.random((4000, 144)) < 0.85, left, left ^ 1)
     alive, _ = minhash.survivors(left, right, bounds)
     assert len(alive) >= 3990
-    alive, _ = minhash.survivors(left, np.where(rnd.random((4000, 144)) < 0.6, left, 1), bounds)
+    alive, _ = minhash.survivors(left, np.where(rnd.random((4000, 144)) < 0.6, left, left ^ 1), bounds)
     assert len(alive) < 100
