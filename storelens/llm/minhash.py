@@ -280,8 +280,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` with one document of each component; rows that share an id are one document."""
-    kept = near_duplicates(docs, width, percent).where("kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(kept(kept), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns) \
+    ids = near_duplicates(docs, width, percent).where("kept and doc_id is not null").select("doc_id").distinct()
+    return docs.join(kept(ids), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns) \
         .unionByName(docs.where("doc_id is null"))
 
 
