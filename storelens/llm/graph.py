@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from .scratch import Scratch
 
+EDGES_PER_TASK = 50_000
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b): the smallest node that links reach.
@@ -19,21 +21,24 @@ def components(edges: DataFrame) -> DataFrame:
     number of rounds ends in stars. A node with very many links is a hot key of a join whose other side has one row per
     node; that side is stored first, so that adaptive execution can split the hot one.
     """
-    rounds = Scratch(edges.sparkSession, "components")
-    edges = rounds.keep(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    rounds, tasks = Scratch(edges.sparkSession, "components"), None
+
+    def keep(df: DataFrame) -> DataFrame:
+        return rounds.keep(df if tasks is None else df.coalesce(tasks))
+    edges = keep(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     before = None
     while True:
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state[0] == 0 or state == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
                 edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        before = state
+        before, tasks = state, 2 + state[0] // EDGES_PER_TASK
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = rounds.keep(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
-        edges = rounds.keep(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
-        least = rounds.keep(edges.groupBy("a").agg(F.min("b").alias("m")))
+        least = keep(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+        edges = keep(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
+        least = keep(edges.groupBy("a").agg(F.min("b").alias("m")))
         down = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = rounds.keep(down.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
+        edges = keep(down.unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         rounds.forget(rounds.count - 1)
 
 

@@ -7,9 +7,10 @@ compared on the full sets, exactly.
 
 A bucket of many near copies is not expanded into pairs. First each member meets the bucket's smallest one, and
 verified links form components. Only buckets that still hold several components go on: their members outside the
-largest component meet all others in blocks of signatures, pairs inside a component are skipped, and the most similar
-survivors are verified first, so that most others fall inside a component before they are looked at. The last
-round verifies every survivor left, so every candidate pair that crosses components has been decided in the end.
+largest component meet all others in blocks. In a block, the pairs across components that pass the tests are compared
+on their full sets, the most similar first, and a pair whose components have met meanwhile needs no comparison. So
+every candidate pair either is decided exactly or lies in one component already; only links that join components
+become rows.
 
 Defined results: null text and text without words have an empty set and link with nothing; fewer words than the
 shingle width make one shingle of the whole sequence; rows that share an id are one document for the components; rows
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .graph import components, runs
+from .graph import Sets, components, runs
 from .scratch import kept
 from .words import chunks, mix, shingle_sets
 
@@ -33,6 +34,7 @@ BANDS, ROWS = 24, 6
 STEP = 16
 MISS = 1e-4
 BLOCK = 256
+BLOCK_SHINGLES = 1_000_000
 
 
 def seeds(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +101,7 @@ class Similar:
     def __init__(self, docs: DataFrame, width: int, percent: int, bands: int = BANDS, rows: int = ROWS,
                  miss: float = MISS, block: int = BLOCK):
         self.spark, self.width, self.percent, self.block = docs.sparkSession, width, percent, block
-        self.n = bands * rows
+        self.n, self.rows = bands * rows, rows
         self.bounds = least_matches(percent / 100, self.n, STEP, miss)
         self.docs = docs.select("doc_id", "text")
         self.parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
@@ -130,8 +132,9 @@ class Similar:
         """(doc_id, n_shingles, component_id, kept) per document."""
         named = self.features.where("doc_id is not null and n_shingles > 0")
         reps = kept(named.groupBy("k1", "k2").agg(F.min("doc_id").alias("cls"), F.count("*").alias("copies")))
-        banded = self.features.where("n_shingles > 0").select("doc_id", "k1", "k2", "bands").join(reps, ["k1", "k2"]).where("doc_id = cls")
-        entries = banded.select("cls", F.explode("bands").alias("band"))
+        banded = self.features.where("n_shingles > 0").select("doc_id", "k1", "k2", "n_shingles", "bands").join(
+            reps, ["k1", "k2"]).where("doc_id = cls")
+        entries = banded.select("cls", "n_shingles", F.posexplode("bands").alias("band_no", "band"))
         buckets = kept(entries.groupBy("band").agg(F.min("cls").alias("center"), F.count("*").alias("n")).where("n > 1"))
         self.members = kept(entries.join(buckets, "band"))
         wanted = kept(self.members.select("cls").distinct().join(reps, "cls").select("cls", "k1", "k2"))
@@ -141,15 +144,10 @@ class Similar:
         self._keep_sets()
         stars = self.members.where("cls <> center").select(F.col("cls").alias("a"), F.col("center").alias("b")).distinct()
         links = self._verified(self._pruned(stars))
-        tried = stars
-        for top in (2, None):
-            roots = kept(components(links))
-            left = self._unsettled(roots)
-            if left.isEmpty():
-                break
-            pairs = kept(self._crossing(left, roots, top).join(tried, ["a", "b"], "left_anti"))
-            links = kept(links.unionByName(self._verified(pairs)))
-            tried = kept(tried.unionByName(pairs.select("a", "b")))
+        roots = kept(components(links))
+        unsettled = self._unsettled(roots)
+        if not unsettled.isEmpty():
+            links = kept(links.unionByName(self._crossing(unsettled, roots)))
         roots = components(links)
         labels = reps.select("k1", "k2", F.col("cls")).join(roots, F.col("cls") == F.col("node"), "left") \
             .select("k1", "k2", F.coalesce("component", "cls").alias("label"))
@@ -218,28 +216,32 @@ class Similar:
             compare, "a long, b long"))
 
     def _labelled(self, roots: DataFrame) -> DataFrame:
-        return self.members.select("cls", "band").join(roots.select(F.col("node").alias("cls"), "component"), "cls", "left") \
-            .select("cls", "band", F.coalesce("component", "cls").alias("component"))
+        return self.members.select("cls", "band", "band_no", "n_shingles").join(
+            roots.select(F.col("node").alias("cls"), "component"), "cls", "left").select(
+            "cls", "band", "band_no", "n_shingles", F.coalesce("component", "cls").alias("component"))
 
     def _unsettled(self, roots: DataFrame) -> DataFrame:
-        """(band, big, others, all) of the buckets with several components: the largest one and the numbers of members."""
-        parts = self._labelled(roots).groupBy("band", "component").agg(F.count("*").alias("n"))
-        sums = parts.groupBy("band").agg(F.max(F.struct("n", F.col("component").alias("big"))).alias("most"),
-                                         F.sum("n").alias("all"), F.count("*").alias("k")).where("k > 1")
-        return kept(sums.select("band", F.col("most.big").alias("big"), (F.col("all") - F.col("most.n")).alias("others"), "all"))
-
-    def _crossing(self, left: DataFrame, roots: DataFrame, top: int | None) -> DataFrame:
-        """Survivors (a, b) across components in the unsettled buckets; with ``top``, per document and component
-        of a block only the most similar ones."""
-        n, bounds, percent, block = self.n, self.bounds, self.percent, self.block
-        rows = kept(self._labelled(roots).join(left, "band")).join(self.signed, "cls")
-        n_left, n_all = F.ceil(F.col("others") / block).cast("int"), F.ceil(F.col("all") / block).cast("int")
-        common = ("band", "cls", "component", "big", "n_shingles", "signature")
+        """(band, big, lefts, rights) of the buckets with several components: the largest one, and into how many
+        blocks of bounded size the members outside it and all members go."""
+        parts = self._labelled(roots).groupBy("band", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"))
+        sums = parts.groupBy("band").agg(F.max(F.struct("n", "size", F.col("component").alias("big"))).alias("most"),
+                                         F.sum("n").alias("n"), F.sum("size").alias("size"), F.count("*").alias("k")).where("k > 1")
+
+        def blocks(n, size):
+            return F.greatest(F.ceil(n / self.block), F.ceil(size / BLOCK_SHINGLES)).cast("int")
+        return kept(sums.select("band", F.col("most.big").alias("big"), blocks(F.col("n"), F.col("size")).alias("rights"),
+                                blocks(F.col("n") - F.col("most.n"), F.col("size") - F.col("most.size")).alias("lefts")))
+
+    def _crossing(self, unsettled: DataFrame, roots: DataFrame) -> DataFrame:
+        """Verified links (a, b) that join the components of the unsettled buckets."""
+        n, bounds, percent, per_band = self.n, self.bounds, self.percent, self.rows
+        rows = kept(self._labelled(roots).drop("n_shingles").join(unsettled, "band").join(self.signed.drop("k1"), "cls")).join(self.sets, "cls")
+        common = ("band", "band_no", "cls", "component", "big", "n_shingles", "signature", "shingles")
         outside = rows.where("component <> big").select(
-            *common, F.pmod(F.xxhash64("cls"), n_left).cast("int").alias("lc"), F.explode(F.sequence(F.lit(0), n_all - 1)).alias("rc"),
+            *common, F.pmod(F.xxhash64("cls"), "lefts").cast("int").alias("lc"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("rc"),
             F.lit(True).alias("outside"))
         everyone = rows.select(
-            *common, F.explode(F.sequence(F.lit(0), n_left - 1)).alias("lc"), F.pmod(F.xxhash64("cls"), n_all).cast("int").alias("rc"),
+            *common, F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("lc"), F.pmod(F.xxhash64("cls"), "rights").cast("int").alias("rc"),
             F.lit(False).alias("outside"))
 
         def meet(batches):
@@ -256,21 +258,34 @@ class Similar:
                 # two members outside meet twice, in either order: once is enough
                 allowed &= (comp[ri] == big[0])[None, :] | (cls[li][:, None] < cls[ri][None, :])
                 i, j = np.nonzero(allowed)
-                if not len(i):
-                    continue
                 signed = _table(t.column("signature"), n)
-                alive, matches = survivors(signed[li[i]], signed[ri[j]], bounds)
-                i, j = i[alive], j[alive]
-                if top is not None and len(i):
-                    group = np.unique(np.stack((cls[li[i]], comp[ri[j]])), axis=1, return_inverse=True)[1].ravel()
-                    order = np.lexsort((-matches, group))
-                    first = np.concatenate(([True], group[order][1:] != group[order][:-1]))
-                    rank = np.arange(len(order)) - np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))
-                    i, j = i[order[rank < top]], j[order[rank < top]]
-                a, b = cls[li[i]], cls[ri[j]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
+                band_no = int(t.column("band_no")[0].as_py())
+                before = band_no * per_band  # a pair that shares an earlier band is decided there
+                seen = (signed[li[i], :before] == signed[ri[j], :before]).reshape(len(i), band_no, per_band).all(axis=2).any(axis=1) \
+                    if before else np.zeros(len(i), bool)
+                i, j = li[i[~seen]], ri[j[~seen]]
+                alive, matches = survivors(signed[i], signed[j], bounds)
+                order = np.argsort(-matches, kind="stable")
+                i, j = i[alive][order].tolist(), j[alive][order].tolist()
+                raw = t.column("shingles")
+                sets: dict[int, np.ndarray] = {}
+                numbers = {c: k for k, c in enumerate(dict.fromkeys(comp.tolist()))}
+                met, of = Sets(len(numbers)), [numbers[c] for c in comp.tolist()]
+                a, b = [], []
+                for x, y in zip(i, j):
+                    if met.root(of[x]) == met.root(of[y]):
+                        continue
+                    for z in (x, y):
+                        if z not in sets:
+                            sets[z] = np.frombuffer(raw[z].as_py(), np.uint64)
+                    both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                    if 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
+                        met.join(of[x], of[y])
+                        a.append(cls[x])
+                        b.append(cls[y])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
         dealt = outside.unionByName(everyone).repartition(self.parts, "band", "lc", "rc").sortWithinPartitions("band", "lc", "rc")
-        return dealt.mapInArrow(meet, "a long, b long").distinct()
+        return dealt.mapInArrow(meet, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
