@@ -15,7 +15,10 @@ STORE_COLUMNS = ("store_id", "country", "region", "economic_region", "urban_rura
 SALES_COLUMNS = ("store_id", "date", "product_id", "qty", "revenue", "original_currency", "revenue_usd",
                  "exchange_rate_usd", "is_interpolated")
 SALES_SCHEMA = ("store_id string, date date, product_id string, qty bigint, revenue double, original_currency string, "
-                "revenue_usd double, exchange_rate_usd double, is_interpolated boolean, month string")
+                "revenue_usd double, exchange_rate_usd double, is_interpolated boolean, month string, "
+                "source_file string, staged_batch string")
+LINEAGE = ("source_file", "staged_batch")
+LOADED, LOADED_SCHEMA = "loaded_files", "source_file string, staged_batch string"
 LOAD_MODES = ("replace", "upsert", "append")
 
 
@@ -57,7 +60,7 @@ def load_stores(wh: Warehouse, df: DataFrame, mode: str = "upsert", order_by: st
 
 def load_sales(wh: Warehouse, df: DataFrame, load_id: str) -> int:
     """Append sales under ``load_id``, partitioned by month so date filters prune files."""
-    present = [c for c in SALES_COLUMNS if c in df.columns]
+    present = [c for c in (*SALES_COLUMNS, *LINEAGE) if c in df.columns]
     rows = df.select(*present).withColumn("month", F.date_format("date", "yyyy-MM"))
     if "qty" in present:
         rows = rows.withColumn("qty", F.col("qty").cast("bigint"))
@@ -67,6 +70,20 @@ def load_sales(wh: Warehouse, df: DataFrame, load_id: str) -> int:
     return n
 
 
+def mark_loaded(wh: Warehouse, files: DataFrame, load_id: str) -> None:
+    """Record the file versions (source_file, staged_batch) that a load holds. Written after its sales, so the sales
+    of a load that was cut off belong to no one and are loaded again."""
+    wh.append(LOADED, files.select(*LINEAGE), load_id)
+
+
+def loaded_sales(wh: Warehouse, current: DataFrame) -> DataFrame:
+    """The sales of complete loads, of the ``current`` version (source_file, batch_id) of each file."""
+    versions = wh.read(LOADED, LOADED_SCHEMA).join(
+        current.select("source_file", F.col("batch_id").alias("staged_batch")), [*LINEAGE], "left_semi")
+    sales = wh.read("sales_transactions", SALES_SCHEMA)
+    return sales.join(versions, ["batch_id", *LINEAGE], "left_semi")
+
+
 def load_kpis(wh: Warehouse, kpis: DataFrame) -> None:
     """Replace the rows of the calculation dates in ``kpis`` and keep all others."""
     (kpis.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

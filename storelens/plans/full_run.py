@@ -7,12 +7,14 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.joins import join_dimension
+from ..functions.materialize import stored
 from ..operators import aggregate, clean, kpi, loads
 from ..sources.contracts import contracts_frame, load_contracts
 from ..sources.tables import Warehouse
 from ..streaming.arrivals import tick
 from .ingest import IngestOptions
-from .transform import Transformed, staged_sales, transform
+from .transform import Transformed, current_versions, staged_sales, transform
 
 KPI_AGE = dt.timedelta(hours=1)
 
@@ -32,7 +34,7 @@ def refresh_kpis(
             return False
     snapshot = now.strftime("%Y%m%dT%H%M%S%f")
     records = kpi.calculate_store_kpis(
-        wh.read("sales_transactions", loads.SALES_SCHEMA), reference_date, stores=wh.read_snapshot("stores"))
+        loads.loaded_sales(wh, current_versions(wh)), reference_date, stores=wh.read_snapshot("stores"))
     wh.write_snapshot("kpi_records", records, snapshot)
     records = wh.read_snapshot("kpi_records")
     wh.write_snapshot("kpi_markers", kpi.marker_rows(records), snapshot)
@@ -40,14 +42,16 @@ def refresh_kpis(
     return True
 
 
-def load(wh: Warehouse, result: Transformed, load_id: str, reference_date) -> None:
-    """Stores, sales, KPI table and regional summaries."""
+def load(wh: Warehouse, result: Transformed, files: DataFrame, load_id: str, reference_date) -> None:
+    """Stores and sales of ``files`` (source_file, staged_batch); KPI table and regional summaries of all loaded sales."""
     loads.load_stores(wh, result.enriched, order_by="ingest_ord")
     loads.load_sales(wh, result.cleaned, load_id)
+    loads.mark_loaded(wh, files, load_id)
     stores = wh.read_snapshot("stores")
-    sales = wh.read("sales_transactions", loads.SALES_SCHEMA)
+    sales = loads.loaded_sales(wh, current_versions(wh))
     loads.load_kpis(wh, kpi.store_kpi_table(stores, sales, reference_date))
-    loads.load_regional_summaries(wh, aggregate.full_regional_summary(result.cleaned))
+    places = stores.select("store_id", "economic_region", "urban_rural", "stores_within_10km")
+    loads.load_regional_summaries(wh, aggregate.full_regional_summary(join_dimension(sales, places, ["store_id"])))
 
 
 def run(
@@ -56,7 +60,7 @@ def run(
 ) -> dict[str, int]:
     """One full run over the files that are new; repeating a ``run_id`` repeats its writes in place.
 
-    Only the new sales are transformed and appended. KPIs read the loaded tables, and neighbours
+    Only the sales of new file versions are transformed and appended. KPIs read the loaded tables, and neighbours
     are counted among all stores under contract, so the figures cover everything loaded so far.
     """
     wh = Warehouse(spark, root)
@@ -65,13 +69,17 @@ def run(
     contracts = load_contracts(contracts_path)
     results = tick(spark, incoming, contracts, wh, run_id, options=options)
     extracted = results.count()
-    sales = staged_sales(wh).where(F.col("batch_id") == run_id)
+    # file versions that no complete load holds, also those of a run that ended after its ingest
+    held = wh.read(loads.LOADED, loads.LOADED_SCHEMA).where(F.col("batch_id") != run_id).select(*loads.LINEAGE)
+    new = stored(current_versions(wh).withColumnRenamed("batch_id", "staged_batch").join(
+        held, [*loads.LINEAGE], "left_anti"), "new-versions")
+    sales = staged_sales(wh).withColumnRenamed("batch_id", "staged_batch").join(new, [*loads.LINEAGE], "left_semi")
     if sales.isEmpty():
         return {"files": extracted, "rows": 0}
-    config = clean.CleanConfig(keep_case=("source_file", "economic_region", "urban_rural"))
+    config = clean.CleanConfig(keep_case=(*loads.LINEAGE, "economic_region", "urban_rural"))
     stores = contracts_frame(spark, contracts)
-    result = transform(sales.drop("batch_id"), rates=rates, config=config, stores=stores, save_to=wh)
-    load(wh, result, run_id, reference_date)
+    result = transform(sales, rates=rates, config=config, stores=stores, save_to=wh)
+    load(wh, result, new, run_id, reference_date)
     refresh_kpis(wh, reference_date, force=True)
     return {"files": extracted, "rows": result.cleaned.count()}
 

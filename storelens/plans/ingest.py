@@ -53,9 +53,12 @@ def first_of_equal(matched: DataFrame) -> DataFrame:
     return known.select("file_hash", "_f.*").unionByName(matched.where(F.col("store_id").isNull()))
 
 
-def _failures(rows: DataFrame, error_type: str, contents: DataFrame | None) -> DataFrame:
-    """Dead-letter rows from (path, store_id, error, sheet_type, length, modificationTime, file_hash)."""
-    failure = F.sha2(F.concat_ws("|", "file_hash", "path", F.coalesce("sheet_type", F.lit("")), F.lit(error_type)), 256)
+def _failures(rows: DataFrame, error_type: str, contents: DataFrame | None, batch_id: str) -> DataFrame:
+    """Dead-letter rows from (path, store_id, error, sheet_type, length, modificationTime, file_hash).
+
+    A failure belongs to its batch: a file that fails again is a new failure, pending again.
+    """
+    failure = F.sha2(F.concat_ws("|", F.lit(batch_id), "file_hash", "path", F.coalesce("sheet_type", F.lit("")), F.lit(error_type)), 256)
     out = rows.select(
         failure.alias("failure_id"), F.col("path").alias("file_path"), "store_id",
         F.lit(error_type).alias("error_type"), F.col("error").alias("error_message"),
@@ -63,7 +66,11 @@ def _failures(rows: DataFrame, error_type: str, contents: DataFrame | None) -> D
                      lambda k, v: v.isNotNull()).alias("context"),
         F.col("length").alias("file_size"), F.col("modificationTime").alias("file_modified"))
     if contents is not None:
-        out = out.join(contents.select(F.col("path").alias("file_path"), "content"), "file_path", "left")
+        # only the failed files' bytes move: their paths are few, everything else is left where it is read
+        failed = stored(out, "failures")
+        content = join_dimension(contents.select(F.col("path").alias("file_path"), "content"),
+                                 failed.select("file_path").distinct(), ["file_path"], "inner")
+        out = failed.join(content, "file_path", "left")
     else:
         out = out.withColumn("content", F.lit(None).cast("binary"))
     return out.withColumn("failed_at", F.current_timestamp()).select(
@@ -104,8 +111,10 @@ def ingest_files(
                               "path", "left").withColumn("error", F.coalesce("_broken", "error")).drop("_broken"), "picks")
     cells = stored(workbook.decode(contents, picks), "cells")
 
+    # rows read before a sheet broke off are no rows of that sheet
+    broken = cells.where("error is not null").select("path", "sheet_type").distinct()
     typed = ct.apply_contracts(
-        cells.where("error is null").select("store_id", "sheet_type", F.col("path").alias("source_file"),
+        cells.where("error is null").join(broken, ["path", "sheet_type"], "left_anti").select("store_id", "sheet_type", F.col("path").alias("source_file"),
                                             "row_no", "cells"), book, signed_integers=options.signed_integers)
     typed = stored(typed, "typed")
     rejected = stored(ct.rejected_sheets(typed), "rejected")
@@ -136,8 +145,8 @@ def ingest_files(
     kept = files if options.keep_content else None
     unmatched = fresh.where(F.col("store_id").isNull()).withColumns({
         "error": F.concat(F.lit("no contract matches "), "path"), "sheet_type": F.lit(None).cast("string")})
-    letters = _failures(unmatched, "NoMatchingContract", kept).unionByName(
-        _failures(per_sheet.where("error is not null"), "SheetRejected", kept))
+    letters = _failures(unmatched, "NoMatchingContract", kept, batch_id).unionByName(
+        _failures(per_sheet.where("error is not null"), "SheetRejected", kept, batch_id))
     wh.append(DEAD_LETTERS, letters, batch_id)
 
     done = wh.read(RESULTS, RESULT_SCHEMA).where(F.col("batch_id") == batch_id)

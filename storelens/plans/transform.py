@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.joins import join_dimension
 from ..functions.materialize import stored
 from ..operators import aggregate, clean, fx, geo
-from ..operators.state import STATE_SCHEMA
+from ..operators.state import COMPLETED, STATE_SCHEMA
 from ..sources.tables import Warehouse
 
 
@@ -66,13 +66,19 @@ STAGED_SALES = (
     "extraction_timestamp timestamp, ingest_ord string, store_id string, extraction_date date, sheet_type string")
 
 
+def current_versions(wh: Warehouse) -> DataFrame:
+    """(source_file, batch_id): the newest finished batch of each file; an edited file replaces what it held before."""
+    done = wh.read("extraction_state", STATE_SCHEMA).where(F.col("status") == COMPLETED)
+    return done.groupBy(F.col("file_path").alias("source_file")).agg(
+        F.max_by("batch_id", F.struct("event_ts", "batch_id")).alias("batch_id"))
+
+
 def staged_sales(wh: Warehouse, *, since=None, sheet_type: str = "sales_transactions") -> DataFrame:
-    """All staged sales of finished batches; ``since`` prunes the extraction dates before any file is read."""
-    finished = wh.read("extraction_state", STATE_SCHEMA).select("batch_id").distinct()
+    """The staged sales of each file's newest finished batch; ``since`` prunes the extraction dates before any file is read."""
     staged = wh.read("staging", STAGED_SALES).where(F.col("sheet_type") == sheet_type)
     if since is not None:
         staged = staged.where(F.col("extraction_date") >= F.lit(since))
-    return staged.join(finished, "batch_id", "left_semi")
+    return staged.join(current_versions(wh), ["source_file", "batch_id"], "left_semi")
 
 
 def load_kpi_data(wh: Warehouse) -> DataFrame:

@@ -33,8 +33,8 @@ class Warehouse:
     # append-only -------------------------------------------------------------------------------
 
     def append(self, name: str, df: DataFrame, batch_id: str, partition_by: tuple[str, ...] = ()) -> None:
-        """Write one batch. Repeating a batch replaces exactly what it wrote before."""
-        writer = df.write.mode("overwrite").option("compression", "snappy")
+        """Write one batch. Repeating a batch replaces all it wrote before, whatever partitions that had."""
+        writer = df.write.mode("overwrite").option("compression", "snappy").option("partitionOverwriteMode", "static")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.path(name)}/batch_id={batch_id}")

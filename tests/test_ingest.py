@@ -1,9 +1,11 @@
 """Contracts, workbooks, ingest, streaming, tables and the full run, on generated workbooks."""
 
 import datetime as dt
+import io
 import json
 import os
 import time
+import zipfile
 
 import pytest
 from pyspark.sql import functions as F
@@ -312,3 +314,78 @@ def test_full_run(spark, inbox, tmp_path):
     put(inbox / "store_CN_002_sales_2025.xlsx", {"Sales_1": sheet(good_rows(1, 15))})
     run(spark, str(path), str(inbox), root, reference_date=D(2024, 1, 31), run_id="r3", options=NOW)
     assert wh.read("sales_transactions").count() == 6
+
+
+def cut_off(content, sheet_no, keep):
+    """The workbook with one sheet's XML broken off after a share of its bytes."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(io.BytesIO(content)) as old, zipfile.ZipFile(out, "w") as new:
+        for name in old.namelist():
+            data = old.read(name)
+            new.writestr(name, data[:int(len(data) * keep)] if name.endswith(f"sheet{sheet_no}.xml") else data)
+    return out.getvalue()
+
+
+def many_rows(n):
+    return [[D(2024, 1, 1 + i % 28), f"SKU-{i}", 1, 1.0, "C1", "CASH"] for i in range(n)]
+
+
+def test_rows_of_a_broken_sheet_are_not_staged(spark, inbox, contracts, tmp_path):
+    put(inbox / "store_cut.xlsx", cut_off(workbook_bytes({"Sales_1": sheet(many_rows(60))}), 1, 0.7))
+    put(inbox / "store_fine.xlsx", {"Sales_1": sheet(good_rows(2))})
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    for batch in ("b1", "b2"):
+        got = {os.path.basename(r.source_file): r for r in ingest.run_ingest(spark, str(inbox), contracts, wh, batch_id=batch, options=NOW).collect()}
+        assert not got["store_cut.xlsx"].success and got["store_cut.xlsx"].rows == 0
+        assert wh.read(ingest.STAGING).count() == 2
+    assert staged_sales(wh).count() == 2
+
+
+def test_a_repeated_batch_replaces_other_partitions_too(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    for day in ("2024-01-01", "2024-01-02"):
+        wh.append("staging", spark.range(10).withColumn("extraction_date", F.lit(day)), "b1", ("extraction_date",))
+    assert wh.read("staging").count() == 10
+
+
+def test_a_file_that_fails_twice_is_pending_again(spark, inbox, contracts, tmp_path):
+    put(inbox / "store_low.xlsx", {"Sales_1": sheet([[D(2024, 1, 1), "S", -500, 1.0, None, "CASH"]])})
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    ingest.run_ingest(spark, str(inbox), contracts, wh, batch_id="b1", options=NOW)
+    for batch in ("b2", "b3"):
+        ingest.run_ingest(spark, str(inbox), contracts, wh, mode="reprocess-dlq", batch_id=batch, options=NOW)
+        pending = state.pending_failures(wh.read(ingest.DEAD_LETTERS, state.DEAD_LETTER_SCHEMA), wh.read(ingest.RESOLUTIONS, state.RESOLUTION_SCHEMA))
+        assert [r.batch_id for r in pending.collect()] == [batch]
+
+
+def summary_of(spark, wh):
+    rows = spark.read.parquet(wh.path("regional_summaries")).collect()
+    newest = {}
+    for r in sorted(rows, key=lambda r: r.period_end):
+        newest[r.economic_region] = (round(r.total_revenue_usd, 6), r.total_stores, r.total_transactions)
+    return newest
+
+
+def test_lost_runs_edits_and_summaries(spark, inbox, tmp_path):
+    path = tmp_path / "contracts.json"
+    path.write_text(json.dumps(config()))
+    args = dict(reference_date=D(2024, 1, 31), options=NOW)
+    put(inbox / "store_CN_001_sales_2024.xlsx", {"Sales_1": sheet(good_rows(2))})
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    # the first run ends after its ingest; the next one finds nothing new to ingest and loads what was left
+    tick(spark, str(inbox), ct.load_contracts(str(path)), wh, "lost", options=NOW)
+    assert run(spark, str(path), str(inbox), wh.root, run_id="r1", **args) == {"files": 0, "rows": 2}
+    assert run(spark, str(path), str(inbox), wh.root, run_id="r2", **args)["rows"] == 0
+    # sales of a load that was cut off before it was marked count for nobody
+    loads.load_sales(wh, wh.read("sales_transactions", loads.SALES_SCHEMA).drop("batch_id", "month"), "cut-off")
+    # a second store, then an edited file: all figures cover all current sales once
+    put(inbox / "store_CN_002_sales_2025.xlsx", {"Sales_1": sheet(good_rows(1, 8))})
+    run(spark, str(path), str(inbox), wh.root, run_id="r3", **args)
+    put(inbox / "store_CN_001_sales_2024.xlsx", {"Sales_1": sheet(good_rows(3, 5))})
+    assert run(spark, str(path), str(inbox), wh.root, run_id="r4", **args)["rows"] == 3
+    once = Warehouse(spark, str(tmp_path / "once"))
+    assert run(spark, str(path), str(inbox), once.root, run_id="r1", **args)["rows"] == 4
+    assert staged_sales(wh).count() == staged_sales(once).count() == 4
+    assert summary_of(spark, wh) == summary_of(spark, once)
+    kpis = [sorted((r.store_id, r.revenue_mtd) for r in load_kpi_data(w).collect()) for w in (wh, once)]
+    assert kpis[0] == kpis[1]
