@@ -137,3 +137,29 @@ def test_nearest_float_is_unchanged(spark):
     v = math.pi * 1000
     got = one(spark.createDataFrame([(v,)], "v double").agg(money.exact_sum("v").cast("double")))
     assert abs(got - v) < 1e-10
+
+
+def test_both_ways_of_quantiles_give_the_same_doubles(spark):
+    import random
+    import struct
+    rnd = random.Random(4)
+    inf, nan = float("inf"), float("nan")
+    rows = [(rnd.gauss(0, 1) * 10 ** rnd.randrange(-12, 12), rnd.choice([1.0, 2.0, 2.5]), rnd.choice([inf, -inf, nan, 1.5, rnd.random()]),
+             None if rnd.random() < 0.3 else rnd.randrange(50) / 7, 7.0, rnd.choice([1e308, -1e308, 5e-324, 0.0]), None, 24037.85384 + rnd.random() * 1e-9)
+            for _ in range(1500)]
+    names = list("abcdefgh")
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).cache()
+    wanted = [0.0, 0.25, 1 / 3, 0.999]
+    small = exact_quantiles(df, names, wanted)
+    assert small["g"] == [None] * len(wanted)
+
+    def bits(found):
+        return {c: [v if v is None or v != v else struct.pack("d", v + 0.0) for v in vs] for c, vs in found.items() if c != "g"}
+
+    def plain(found):
+        return {c: ["nan" if v is not None and v != v and v else v for v in vs] for c, vs in bits(found).items()}
+    for fetch in (5,):
+        large = exact_quantiles(df, names[:6] + names[7:], wanted, max_rows=10, fetch_rows=fetch)
+        got, want = plain(large), plain({c: small[c] for c in large})
+        for c in got:
+            assert [x == y or (x != x and y != y) for x, y in zip(got[c], want[c])] == [True] * len(wanted), (c, large[c], small[c])
