@@ -13,7 +13,6 @@ from ..sources import retail_tables as rt
 from . import frames as fr
 from .sql import money, money_sum, ratio, exact
 
-SPARSE = (dt.date(1998, 3, 1), dt.date(1998, 5, 31))
 YEAR = (dt.date(1999, 1, 1), dt.date(1999, 12, 31))
 
 
@@ -28,10 +27,8 @@ def by_period(period):
 
 
 def sparse_weeks(spark, d):
-    """Weekly rows per store on a thin slice of products, where whole weeks are empty."""
-    sales = fr.usd_sales(spark, d, "country").where(
-        F.col("date").between(*SPARSE) & (F.col("qty") % 5 == 0))
-    return _series(sales, group_by="store_id", period="W", yoy_lag=2)
+    """Weekly rows per store, where whole weeks may be empty."""
+    return _series(fr.usd_sales(spark, d, "country"), group_by="store_id", period="W", yoy_lag=2)
 
 
 def same_store(period, by="rows"):
@@ -58,19 +55,15 @@ def exposure(spark, d):
     return fr.rounded(agg.currency_exposure(fr.usd_sales(spark, d)), "percentage_of_total")
 
 
-def _year(spark, d, *columns):
-    return agg.in_range(fr.usd_sales(spark, d, *columns), *YEAR)
-
-
 def summary(spark, d):
-    """Region totals with concentration and competition index, over one year."""
+    """Region totals with concentration and competition index."""
     stores = spatial.with_density(rt.stores(spark, d)).select("store_id", "stores_within_10km")
-    sales = join_dimension(_year(spark, d, "economic_region"), stores, ["store_id"])
+    sales = join_dimension(fr.usd_sales(spark, d, "economic_region"), stores, ["store_id"])
     return fr.rounded(agg.region_totals(sales), "market_concentration_hhi")
 
 
 def best_and_worst(spark, d):
-    places = agg.best_and_worst_stores(agg.region_store_totals(_year(spark, d, "economic_region")))
+    places = agg.best_and_worst_stores(agg.region_store_totals(fr.usd_sales(spark, d, "economic_region")))
     return fr.big(places, "place")
 
 
@@ -156,7 +149,8 @@ def _same_store_sql(n: int, label: str) -> str:
 
 _YEAR = "date BETWEEN DATE '1999-01-01' AND DATE '1999-12-31'"
 _REGION_STORES = f"""rs AS (SELECT economic_region, store_id, sum({exact('revenue_usd')}) AS t, count(*) AS n,
-    min(date) AS a, max(date) AS b FROM usd_sales WHERE {_YEAR} GROUP BY ALL)"""
+    min(date) AS a, max(date) AS b FROM usd_sales GROUP BY ALL)"""
+_REGION_STORES_YEAR = _REGION_STORES.replace("GROUP BY ALL", f"WHERE {_YEAR} GROUP BY ALL")
 _HHI = "sum(CAST(t AS DOUBLE) * CAST(t AS DOUBLE)) / (sum(CAST(t AS DOUBLE)) * sum(CAST(t AS DOUBLE))) * 10000"
 _PLACES = """places AS (
     SELECT economic_region, store_id, CAST(round(t, 4) AS DOUBLE) AS revenue_usd,
@@ -175,8 +169,7 @@ SQL = {
     "region_weekly": _series_sql("economic_region", "SELECT * FROM usd_sales", "W", 4),
     "region_quarterly": _series_sql("economic_region", "SELECT * FROM usd_sales", "Q", 4),
     "store_weekly_with_gaps": _series_sql(
-        "store_id", "SELECT * FROM usd_sales WHERE date BETWEEN DATE '1998-03-01' AND DATE '1998-05-31'"
-        " AND qty % 5 = 0", "W", 2).replace("count(DISTINCT store_id)", "CAST(1 AS BIGINT)"),
+        "store_id", "SELECT * FROM usd_sales", "W", 2).replace("count(DISTINCT store_id)", "CAST(1 AS BIGINT)"),
     "same_store_yoy": _same_store_sql(365, "YoY"),
     "same_store_qoq": _same_store_sql(90, "QoQ"),
     "same_store_mom": _same_store_sql(30, "MoM"),
@@ -223,7 +216,7 @@ SQL = {
     "region_currency_split": _split_sql("original_currency"),
     "region_urban_split": _split_sql("urban_rural"),
     "region_full_summary": f"""
-        WITH {_REGION_STORES}, {_PLACES},
+        WITH {_REGION_STORES_YEAR}, {_PLACES},
         lists AS (SELECT economic_region, string_agg(store_id, ',' ORDER BY top) FILTER (top <= 5) AS top_stores,
                          string_agg(store_id, ',' ORDER BY bottom) FILTER (bottom <= 5) AS bottom_stores
                   FROM places GROUP BY economic_region),

@@ -15,7 +15,6 @@ from .sql import money_sum
 # Limits low enough for these tables to cross them.
 CONFIG = clean.CleanConfig(revenue_max=90_000.0, quantity_min=2, quantity_max=48,
                            min_date=dt.date(1996, 1, 1), max_date=dt.date(2001, 6, 30))
-MARCH = (dt.date(1998, 3, 1), dt.date(1998, 3, 31))
 
 
 def _with_copies(spark, d):
@@ -35,10 +34,6 @@ def _with_holes(spark, d):
         "date": F.when(F.col("qty") == 21, None).otherwise(F.col("date"))})
 
 
-def _march(spark, d):
-    return rt.sales(spark, d).where(F.col("date").between(*MARCH))
-
-
 def _fingerprint(df):
     return df.groupBy("store_id").agg(
         F.count(F.lit(1)).alias("sales"), F.sum("qty").alias("qty"), msum("revenue").alias("revenue"))
@@ -106,7 +101,7 @@ def outlier_flags(spark, d):
 
 
 def gaps(spark, d):
-    out = clean.fill_missing_dates(_march(spark, d))
+    out = clean.fill_missing_dates(rt.sales(spark, d))
     return out.groupBy("store_id", "is_interpolated").agg(
         F.count(F.lit(1)).alias("sales"), F.min("date").alias("first_day"), F.max("date").alias("last_day"),
         F.count_distinct("date").alias("days"), msum("revenue").alias("revenue"),
@@ -122,14 +117,12 @@ def texts(spark, d):
 
 
 def report(spark, d):
-    """The whole cleaning step on one month with copies: its quality report."""
-    dirty = _with_copies(spark, d).where(F.col("date").between(*MARCH))
-    return clean.clean(dirty, CONFIG)[1].withColumn("value", F.round("value", 6)).where("value <> 0")
+    """The whole cleaning step on sales with copies: its quality report."""
+    return clean.clean(_with_copies(spark, d), CONFIG)[1].withColumn("value", F.round("value", 6)).where("value <> 0")
 
 
 def cleaned(spark, d):
-    dirty = _with_copies(spark, d).where(F.col("date").between(*MARCH))
-    return _fingerprint(clean.clean(dirty, CONFIG)[0])
+    return _fingerprint(clean.clean(_with_copies(spark, d), CONFIG)[0])
 
 
 QUERIES = {
@@ -160,15 +153,14 @@ _HOLES = """holes AS (SELECT store_id, product_id,
     CASE WHEN qty = 21 THEN NULL ELSE date END AS date,
     CASE WHEN qty = 13 THEN NULL ELSE revenue END AS revenue, CASE WHEN qty = 7 THEN NULL ELSE qty END AS qty,
     CASE WHEN payment_method = 'DEBIT' THEN NULL ELSE payment_method END AS payment_method FROM order_sales)"""
-_IN_MARCH = "date BETWEEN DATE '1998-03-01' AND DATE '1998-03-31'"
 _GAPS = """
     per_store AS (SELECT store_id, count(*) AS n, min(date) AS a, max(date) AS b, count(DISTINCT date) AS days
-                  FROM march GROUP BY store_id),
+                  FROM rows_in GROUP BY store_id),
     chosen AS (SELECT * FROM per_store WHERE n >= 3 AND (b - a + 1 - days) BETWEEN 1 AND 29),
     wanted AS (SELECT store_id, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS date FROM chosen),
-    missing AS (SELECT * FROM wanted ANTI JOIN march USING (store_id, date)),
+    missing AS (SELECT * FROM wanted ANTI JOIN rows_in USING (store_id, date)),
     last_rows AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY store_id ORDER BY ingest_ord DESC) AS lr
-                  FROM march) WHERE lr = 1)"""
+                  FROM rows_in) WHERE lr = 1)"""
 
 
 def _bounds(column: str, source: str) -> str:
@@ -230,8 +222,8 @@ SQL = {
         SELECT store_id, count_if(revenue < q1 - 1.5 * (q3 - q1) OR revenue > q3 + 1.5 * (q3 - q1))::BIGINT AS outliers
         FROM sales, q GROUP BY store_id""",
     "clean_fill_dates": f"""
-        WITH march AS (SELECT * FROM sales WHERE {_IN_MARCH}), {_GAPS},
-        filled AS (SELECT store_id, date, product_id, revenue, false AS is_interpolated FROM march
+        WITH rows_in AS (SELECT * FROM sales), {_GAPS},
+        filled AS (SELECT store_id, date, product_id, revenue, false AS is_interpolated FROM rows_in
                    UNION ALL SELECT m.store_id, m.date, product_id, revenue, true
                    FROM missing m JOIN last_rows l ON m.store_id = l.store_id)
         SELECT store_id, is_interpolated, count(*) AS sales, min(date) AS first_day, max(date) AS last_day,
@@ -241,22 +233,24 @@ SQL = {
         SELECT payment_method AS payment, count(*) AS sales, min(' a/' || product_id) AS source_file,
                min(' x' || product_id) AS sku FROM order_sales GROUP BY payment_method""",
     "clean_report": f"""
-        WITH {_COPIES.replace('FROM sales', 'FROM sales WHERE ' + _IN_MARCH, 1).replace('WHERE qty', f'WHERE {_IN_MARCH} AND qty')},
-        {_FIRST}, march AS (SELECT store_id, date, product_id, qty, abs(revenue) AS revenue, revenue AS raw, ingest_ord
+        WITH {_COPIES},
+        {_FIRST}, rows_in AS (SELECT store_id, date, product_id, qty, abs(revenue) AS revenue, revenue AS raw, ingest_ord
                             FROM first_rows), {_GAPS},
         d AS (SELECT DISTINCT store_id, date, product_id, qty, revenue FROM copies),
         n AS (SELECT (SELECT count(*) FROM copies) AS a, (SELECT count(*) FROM d) AS b,
-              (SELECT count(*) FROM march) AS c, (SELECT count(*) FROM missing) AS f),
+              (SELECT count(*) FROM rows_in) AS c, (SELECT count(*) FROM missing) AS f),
         facts AS (
             SELECT 'duplicates' AS "check", NULL AS "column", 'exact_removed' AS metric, CAST(a - b AS DOUBLE) AS value FROM n
             UNION ALL SELECT 'duplicates', NULL, 'fuzzy_removed', b - c FROM n
             UNION ALL SELECT 'duplicates', NULL, 'total_removed', a - c FROM n
-            UNION ALL SELECT 'range_validation', 'revenue', 'negative', count_if(raw < 0) FROM march
-            UNION ALL SELECT 'range_validation', 'revenue', 'too_high', count_if(revenue > 90000) FROM march
-            UNION ALL SELECT 'range_validation', 'qty', 'below_min', count_if(qty < 2) FROM march
-            UNION ALL SELECT 'range_validation', 'qty', 'above_max', count_if(qty > 48) FROM march
+            UNION ALL SELECT 'range_validation', 'revenue', 'negative', count_if(raw < 0) FROM rows_in
+            UNION ALL SELECT 'range_validation', 'revenue', 'too_high', count_if(revenue > 90000) FROM rows_in
+            UNION ALL SELECT 'range_validation', 'qty', 'below_min', count_if(qty < 2) FROM rows_in
+            UNION ALL SELECT 'range_validation', 'qty', 'above_max', count_if(qty > 48) FROM rows_in
+            UNION ALL SELECT 'date_validation', 'date', 'future_dates', count_if(date > DATE '2001-06-30') FROM rows_in
+            UNION ALL SELECT 'date_validation', 'date', 'too_old_dates', count_if(date < DATE '1996-01-01') FROM rows_in
             UNION ALL SELECT 'outlier_detection', "column", 'iqr', outliers FROM (
-                {_bounds('qty', 'march')} UNION ALL {_bounds('revenue', 'march')})
+                {_bounds('qty', 'rows_in')} UNION ALL {_bounds('revenue', 'rows_in')})
             UNION ALL SELECT 'missing_dates_filled', NULL, 'filled_count', f FROM n
             UNION ALL SELECT 'summary', NULL, 'initial_rows', a FROM n
             UNION ALL SELECT 'summary', NULL, 'final_rows', c + f FROM n
@@ -264,10 +258,10 @@ SQL = {
             UNION ALL SELECT 'summary', NULL, 'retention_rate', CAST(c + f AS DOUBLE) / a FROM n)
         SELECT "check", "column", metric, round(CAST(value AS DOUBLE), 6) AS value FROM facts WHERE value <> 0""",
     "clean_frame": f"""
-        WITH {_COPIES.replace('FROM sales', 'FROM sales WHERE ' + _IN_MARCH, 1).replace('WHERE qty', f'WHERE {_IN_MARCH} AND qty')},
-        {_FIRST}, march AS (SELECT store_id, date, product_id, qty, abs(revenue) AS revenue, ingest_ord FROM first_rows),
+        WITH {_COPIES},
+        {_FIRST}, rows_in AS (SELECT store_id, date, product_id, qty, abs(revenue) AS revenue, ingest_ord FROM first_rows),
         {_GAPS},
-        filled AS (SELECT store_id, qty, revenue FROM march
+        filled AS (SELECT store_id, qty, revenue FROM rows_in
                    UNION ALL SELECT m.store_id, qty, revenue FROM missing m JOIN last_rows l ON m.store_id = l.store_id)
         SELECT store_id, {_PRINT} FROM filled GROUP BY store_id""",
 }

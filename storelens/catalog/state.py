@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from ..functions.materialize import ensure_checkpoint_dir
 from ..functions.money import money_sum as msum
 from ..operators import clean, loads, state
 from ..plans import transform as tf
 from ..sources import retail_tables as rt
+from ..sources.tables import Warehouse
 from . import frames as fr
 from .cleaning import _COPIES, _FIRST, _GAPS
 from .sql import exact, money, money_sum, ratio
@@ -35,11 +39,11 @@ def _file_events(spark, d):
 def _failures(spark, d):
     """Dead letters from events, resolutions from a part of them."""
     e = rt.table(spark, d, "events")
-    failures = e.where(F.col("event_type") != "click").select(
+    failures = e.select(
         F.format_string("id-%010d", "event_id").alias("failure_id"), F.col("event_type").alias("error_type"),
         F.when(F.col("user_id") % 4 > 0, F.concat(F.lit("store_"), (F.col("user_id") % 11).cast("string"))).alias("store_id"),
         F.col("ts").alias("failed_at"))
-    resolved = e.where((F.col("event_type") != "click") & (F.col("event_id") % 3 == 0)).select(
+    resolved = e.where(F.col("event_id") % 3 == 0).select(
         F.format_string("id-%010d", "event_id").alias("failure_id"),
         F.explode(F.array(F.lit("FAILED"), F.lit("SUCCESS"))).alias("outcome"), "ts", "event_id")
     resolved = resolved.where((F.col("outcome") == "FAILED") | (F.col("event_id") % 2 == 0)).select(
@@ -117,9 +121,23 @@ def merged(mode):
 
 
 def staged_read(spark, d):
-    """All sales on or after a date, grouped by the date that prunes."""
-    sales = rt.sales(spark, d).where(F.col("date") >= F.lit("2001-01-01").cast("date"))
-    return sales.groupBy("date").agg(F.count(F.lit(1)).alias("sales"), msum("revenue").alias("revenue"))
+    """Sales staged in two batches, an edited file in both, and read back: the newest version of each file counts."""
+    wh = Warehouse(spark, f"{ensure_checkpoint_dir(spark)}/staged-{uuid.uuid4().hex}")
+    names = [c.strip().split(" ")[0] for c in tf.STAGED_SALES.split(",")]
+    sales = rt.sales(spark, d).withColumns({
+        "source_file": F.concat_ws("/", "store_id", F.year("date")), "extraction_date": F.col("date"),
+        "sheet_type": F.lit("sales_transactions"), "ingest_ord": F.col("ingest_ord").cast("string")})
+    sales = sales.select(*[c for c in names if c in sales.columns])
+    for n, batch in enumerate(("b1", "b2")):
+        part = sales if n else sales.where(F.year("date") % 2 == 0).withColumn("revenue", F.lit(-1.0))
+        wh.append("staging", part, batch, ("sheet_type",))
+        done = part.select("source_file").distinct().select(
+            F.col("source_file").alias("file_hash"), F.col("source_file").alias("file_path"), F.lit(None).cast("string").alias("store_id"),
+            F.lit(state.COMPLETED).alias("status"), F.lit(batch).alias("extraction_id"), F.lit(1).cast("bigint").alias("sheets_extracted"),
+            F.lit(0).cast("bigint").alias("errors"), F.lit(None).cast("string").alias("error"),
+            F.lit(f"2024-01-0{n + 1}").cast("timestamp").alias("event_ts"))
+        wh.append("extraction_state", done, batch)
+    return tf.staged_sales(wh).groupBy("date").agg(F.count(F.lit(1)).alias("sales"), msum("revenue").alias("revenue"))
 
 
 def transform_regional(spark, d):
@@ -134,16 +152,15 @@ def transform_cleaned(spark, d):
 
 
 def transform_same_store(spark, d):
-    return _transformed(spark, d, everything=True).same_store_sales
+    return _transformed(spark, d, copies=False).same_store_sales
 
 
-def _transformed(spark, d, everything=False):
-    """The chain on March 1998 with later copies (gaps are filled there), or on all sales."""
+def _transformed(spark, d, copies=True):
+    """The chain on all sales, with later copies of some."""
     sales = rt.sales(spark, d)
-    if not everything:
+    if copies:
         later = (F.col("ingest_ord") + F.expr("50000000000000000000000000000000000000BD")).cast("decimal(38,0)")
-        march = sales.where(F.col("date").between("1998-03-01", "1998-03-31"))
-        sales = march.unionByName(march.where(F.col("qty") % 10 == 0).withColumn("ingest_ord", later))
+        sales = sales.unionByName(sales.where(F.col("qty") % 10 == 0).withColumn("ingest_ord", later))
     stores = rt.stores(spark, d).select("store_id", "country", "latitude", "longitude")
     return tf.transform(sales.join(stores, "store_id"))
 
@@ -178,7 +195,7 @@ _EVENTS = """
 _LETTERS = """
     f AS (SELECT printf('id-%010d', event_id) AS failure_id, event_type AS error_type,
                  CASE WHEN user_id % 4 > 0 THEN 'store_' || (user_id % 11) END AS store_id, ts AS failed_at, event_id
-          FROM events WHERE event_type <> 'click'),
+          FROM events),
     st AS (SELECT *, CASE WHEN event_id % 3 = 0 AND event_id % 2 = 0 THEN 'SUCCESS' WHEN event_id % 3 = 0 THEN 'FAILED'
                      ELSE 'PENDING' END AS outcome FROM f)"""
 _SHEETS = """
@@ -199,10 +216,9 @@ _STATS = (f"{_count('COMPLETED')} AS total_processed, {_count('IN_PROGRESS')} AS
           f" {_count('FAILED')} AS failed")
 _OLD = """old AS (SELECT store_id, country, economic_region, 'OLD' AS urban_rural FROM geo_stores WHERE s_suppkey % 3 > 0),
     new AS (SELECT store_id, country, economic_region, urban_rural FROM geo_stores WHERE s_suppkey % 2 = 0)"""
-_MARCH = "date BETWEEN DATE '1998-03-01' AND DATE '1998-03-31'"
-_CHAIN = f"""{_COPIES.replace('FROM sales', 'FROM sales WHERE ' + _MARCH, 1).replace('WHERE qty', f'WHERE {_MARCH} AND qty')},
-    {_FIRST}, march AS (SELECT store_id, date, product_id, abs(revenue) AS revenue, ingest_ord FROM first_rows), {_GAPS},
-    done AS (SELECT store_id, date, revenue, false AS is_interpolated FROM march
+_CHAIN = f"""{_COPIES},
+    {_FIRST}, rows_in AS (SELECT store_id, date, product_id, abs(revenue) AS revenue, ingest_ord FROM first_rows), {_GAPS},
+    done AS (SELECT store_id, date, revenue, false AS is_interpolated FROM rows_in
              UNION ALL SELECT m.store_id, m.date, revenue, true FROM missing m JOIN last_rows l ON m.store_id = l.store_id),
     chain AS (SELECT d.*, economic_region, country, original_currency,
                      CASE WHEN original_currency = 'USD' THEN revenue ELSE revenue * usd_rate END AS revenue_usd
@@ -241,11 +257,10 @@ SQL = {
         WITH {_OLD} SELECT * FROM old UNION ALL SELECT * FROM new ANTI JOIN old USING (store_id)""",
     "load_stores_replace": f"WITH {_OLD} SELECT * FROM new",
     "staged_sales_by_day": f"""
-        SELECT date, count(*) AS sales, {money_sum('revenue')} AS revenue FROM sales
-        WHERE date >= DATE '2001-01-01' GROUP BY date""",
+        SELECT date, count(*) AS sales, {money_sum('revenue')} AS revenue FROM sales GROUP BY date""",
     "transform_regional": f"""
-        WITH {_CHAIN} SELECT economic_region, DATE '1998-03-31' AS period, {money_sum('revenue_usd')} AS revenue_sum,
-            count(*) AS revenue_count, count(DISTINCT store_id) AS store_count FROM chain GROUP BY economic_region""",
+        WITH {_CHAIN} SELECT economic_region, last_day(date) AS period, {money_sum('revenue_usd')} AS revenue_sum,
+            count(*) AS revenue_count, count(DISTINCT store_id) AS store_count FROM chain GROUP BY ALL""",
     "transform_cleaned": f"""
         WITH {_CHAIN} SELECT store_id, economic_region, country, original_currency, count(*) AS sales,
             {money_sum('revenue_usd')} AS revenue_usd, count_if(is_interpolated)::BIGINT AS interpolated
