@@ -25,6 +25,7 @@ SYMBOLS = r"[#*$%&|<>]"
 LEAST_WORDS = 50
 KEEP_AT = 0.5
 ROUNDS = 60
+FALSE_ALARMS = 0.01  # at most this share of good documents has a bad vote of a given rule
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -91,15 +92,25 @@ def _share(column: str, of: str) -> Column:
     return F.col(column) / F.greatest(F.col(of), F.lit(1))
 
 
+def never() -> Column:
+    return F.lit(False)
+
+
+def _prose() -> Column:
+    """Characters as in running text."""
+    return (_per_word("n_symbols") < 0.05) & (_share("n_capitals", "word_chars") < 0.15) & (_per_word("n_marks") < 0.1) & \
+        _share("word_chars", "n_words").between(3, 14)
+
+
 RULES = (
     Rule("length", lambda: F.col("n_words") < LEAST_WORDS, lambda: F.col("n_words") >= 2 * LEAST_WORDS),
-    Rule("symbols", lambda: _per_word("n_symbols") > 0.2, lambda: _per_word("n_symbols") < 0.05),
-    Rule("repetition", lambda: _per_word("n_repeat_words") > 0.5, lambda: _per_word("n_repeat_words") < 0.25),
-    Rule("lines", lambda: _share("n_dup_lines", "n_lines") > 0.3, lambda: _share("n_dup_lines", "n_lines") < 0.1),
-    Rule("capitals", lambda: _share("n_capitals", "word_chars") > 0.4, lambda: _share("n_capitals", "word_chars") < 0.15),
-    Rule("marks", lambda: _per_word("n_marks") > 0.4, lambda: _per_word("n_marks") < 0.1),
-    Rule("word_length", lambda: (_share("word_chars", "n_words") < 2.5) | (_share("word_chars", "n_words") > 25),
-         lambda: _share("word_chars", "n_words").between(3, 14)),
+    Rule("prose", never, _prose),
+    Rule("symbols", lambda: _per_word("n_symbols") > 0.2, never),
+    Rule("repetition", lambda: _per_word("n_repeat_words") > 0.5, never),
+    Rule("lines", lambda: _share("n_dup_lines", "n_lines") > 0.5, never),
+    Rule("capitals", lambda: _share("n_capitals", "word_chars") > 0.4, never),
+    Rule("marks", lambda: _per_word("n_marks") > 0.4, never),
+    Rule("word_length", lambda: (_share("word_chars", "n_words") < 2.5) | (_share("word_chars", "n_words") > 25), never),
 )
 
 
@@ -111,7 +122,9 @@ def votes(found: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 @dataclass(frozen=True)
 class LabelModel:
-    """``chance[y][j][v]``: how often rule j votes v on documents of class y; ``prior``: the share of good ones."""
+    """``chance[y][j][v]``: how often rule j votes v on documents of class y; ``prior``: the share of good ones.
+
+    To abstain is a third answer: a rule that finds most bad documents makes a document likelier good by its silence."""
     prior: float
     chance: tuple
 
@@ -125,7 +138,8 @@ class LabelModel:
 
 def fit(counts: list[tuple[tuple[int, ...], int]], n_rules: int, rounds: int = ROUNDS) -> LabelModel:
     """Expectation-maximisation over vote patterns and their numbers of documents, started from the vote itself:
-    a document counts as bad in so far as rules vote bad, since on clean text a rule seldom does."""
+    a document counts as bad in so far as rules vote bad. The share of good documents with a bad vote is bounded for each
+    rule, else a kind of bad document that one rule alone finds would pass for that rule's errors."""
     counts = sorted(counts)
     good = [0.9 if 0 not in p else 0.3 if p.count(0) == 1 else 0.05 for p, _ in counts]
     total = sum(n for _, n in counts)
@@ -139,7 +153,11 @@ def fit(counts: list[tuple[tuple[int, ...], int]], n_rules: int, rounds: int = R
                 seen = [1.0, 1.0, 1.0]
                 for w, (p, _) in zip(weight[y], counts):
                     seen[p[j]] += w
-                rows.append(tuple(s / sum(seen) for s in seen))
+                share = [s / sum(seen) for s in seen]
+                if y and share[0] > FALSE_ALARMS:  # rules are precise on good text: frequent alarms are bad documents
+                    rest = (1 - FALSE_ALARMS) / (1 - share[0])
+                    share = [FALSE_ALARMS, share[1] * rest, share[2] * rest]
+                rows.append(tuple(share))
             chance.append(tuple(rows))
         model = LabelModel(min(0.999, max(0.001, sum(weight[1]) / total)), tuple(chance))
         good = [model.posterior(p) for p, _ in counts]

@@ -63,19 +63,22 @@ def test_filter_keeps_whole_rows(spark):
     assert sorted((r.doc_id or 0, r.kept) for r in kept.collect()) == [(0, 7), (1, 5), (1, 5)]
 
 
-def test_label_model_finds_the_reliable_rules():
+def test_label_model_finds_bad_documents_that_one_rule_sees():
     rnd = random.Random(1)
-    counts = {}
-    truth = {}
-    for _ in range(4000):
+    counts, truth = {}, {}
+    recall = (0.6, 0.5, 0.05, 0.3)
+    for _ in range(8000):
         good = rnd.random() < 0.85
-        pattern = tuple((1 if good else 0) if rnd.random() < accuracy else rnd.randrange(3) for accuracy in (0.95, 0.9, 0.8, 0.2))
+        kind = rnd.randrange(4)  # bad documents come in kinds that mostly one rule finds
+        bad_vote = [rnd.random() < (0.004 if good else 0.95 if j == kind else recall[j] * 0.2) for j in range(4)]
+        prose = 1 if (good and rnd.random() < 0.97) or (not good and rnd.random() < 0.4) else 2
+        pattern = (prose, *(0 if b else 2 for b in bad_vote))
         counts[pattern] = counts.get(pattern, 0) + 1
         truth.setdefault(pattern, [0, 0])[good] += 1
-    model = quality.fit(list(counts.items()), 4)
+    model = quality.fit(list(counts.items()), 5)
     right = sum(truth[p][model.posterior(p) >= 0.5] for p in counts)
-    assert right / 4000 > 0.97 and abs(model.prior - 0.85) < 0.05
-    assert model.chance[0][0][0] > model.chance[0][3][0]
+    assert right / 8000 > 0.97 and abs(model.prior - 0.85) < 0.05
+    assert all(model.chance[1][j][0] <= quality.FALSE_ALARMS + 1e-9 for j in range(5))
     assert quality.fit([], 4).prior == 0.9
 
 
