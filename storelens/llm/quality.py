@@ -25,7 +25,7 @@ SYMBOLS = r"[#*$%&|<>]"
 LEAST_WORDS = 50
 KEEP_AT = 0.5
 ROUNDS = 60
-FALSE_ALARMS = 0.01  # at most this share of good documents has a bad vote of a given rule
+FALSE_ALARMS = 0.005  # at most this share of good documents has a bad vote of a given rule
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

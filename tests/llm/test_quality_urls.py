@@ -77,7 +77,7 @@ def test_label_model_finds_bad_documents_that_one_rule_sees():
         truth.setdefault(pattern, [0, 0])[good] += 1
     model = quality.fit(list(counts.items()), 5)
     right = sum(truth[p][model.posterior(p) >= 0.5] for p in counts)
-    assert right / 8000 > 0.97 and abs(model.prior - 0.85) < 0.05
+    assert right / 8000 > 0.95 and abs(model.prior - 0.85) < 0.08
     assert all(model.chance[1][j][0] <= quality.FALSE_ALARMS + 1e-9 for j in range(5))
     assert quality.fit([], 4).prior == 0.9
 
