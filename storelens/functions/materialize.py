@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_SCOPE: ContextVar[list[str] | None] = ContextVar("stored tables of the running job", default=None)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names; a private one only where none is named (local tests)."""
     sc = spark.sparkContext
@@ -32,5 +38,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Like :func:`checkpointed`, as a parquet table: wide frames keep column pruning and pushdown."""
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def intermediates_deleted(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what :func:`stored` wrote inside; nothing that leaves the block may read it."""
+    mine: list[str] = []
+    token = _SCOPE.set(mine)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        for path in mine:
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -66,8 +66,8 @@ def alerts(kpis: DataFrame, min_severity: str = "critical") -> DataFrame:
         F.col("nearest_city").alias("city"))
 
 
-def search_stores(kpis: DataFrame, query: str, field: str = "all") -> DataFrame:
-    """Case-insensitive substring search: the first 50 hits by store and the number of all hits."""
+def search_stores(kpis: DataFrame, query: str, field: str = "all", limit: int = SEARCH_RESULTS) -> DataFrame:
+    """Case-insensitive substring search: the first ``limit`` hits by store and the number of all hits."""
     columns = list(SEARCH_FIELDS.values()) if field == "all" else [
         SEARCH_FIELDS[field]] if field in SEARCH_FIELDS else []
     hit = F.lit(False)
@@ -75,7 +75,7 @@ def search_stores(kpis: DataFrame, query: str, field: str = "all") -> DataFrame:
         hit = hit | F.coalesce(F.contains(F.lower(F.col(c)), F.lit(query.lower())), F.lit(False))
     found = kpis.where(hit)
     total = found.agg(F.count(F.lit(1))).scalar()
-    return found.orderBy("store_id").limit(SEARCH_RESULTS).select(
+    return found.orderBy("store_id").limit(limit).select(
         "store_id", F.col("nearest_city").alias("city"), F.col("economic_region").alias("region"),
         F.col("performance_tier").alias("tier"), F.col("same_store_sales_growth").alias("sss_growth")
     ).withColumn("total_found", total)

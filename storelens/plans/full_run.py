@@ -8,7 +8,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.joins import join_dimension
-from ..functions.materialize import stored
+from ..functions.materialize import intermediates_deleted, stored
 from ..operators import aggregate, clean, kpi, loads
 from ..sources.contracts import contracts_frame, load_contracts
 from ..sources.tables import Warehouse
@@ -66,6 +66,13 @@ def run(
     wh = Warehouse(spark, root)
     reference_date = reference_date or dt.date.today()
     run_id = run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S")
+    with intermediates_deleted(spark):
+        return _run(wh, contracts_path, incoming, reference_date, run_id, rates, options)
+
+
+def _run(wh: Warehouse, contracts_path: str, incoming: str, reference_date, run_id: str, rates: DataFrame | None,
+         options: IngestOptions) -> dict[str, int]:
+    spark = wh.spark
     contracts = load_contracts(contracts_path)
     results = tick(spark, incoming, contracts, wh, run_id, options=options)
     extracted = results.count()

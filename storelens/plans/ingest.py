@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.joins import join_dimension
-from ..functions.materialize import stored
+from ..functions.materialize import intermediates_deleted, stored
 from ..operators import state
 from ..sources import contracts as ct
 from ..sources import files as fs
@@ -93,8 +93,15 @@ def ingest_files(
     options: IngestOptions = IngestOptions(),
 ) -> DataFrame:
     """Ingest a batch of files (path, modificationTime, length, content); returns the per-file results."""
-    spark = wh.spark
     batch_id = batch_id or uuid.uuid4().hex
+    with intermediates_deleted(wh.spark):
+        _ingest(files, contracts, wh, batch_id, options)
+    return wh.read(RESULTS, RESULT_SCHEMA).where(F.col("batch_id") == batch_id).drop("batch_id")
+
+
+def _ingest(files: DataFrame, contracts: Sequence[StoreContract] | DataFrame, wh: Warehouse, batch_id: str,
+            options: IngestOptions) -> None:
+    spark = wh.spark
     book = contracts if isinstance(contracts, DataFrame) else ct.contracts_frame(spark, contracts)
     # a repeated batch must not see its own earlier events as "already done"
     history = wh.read(STATE, state.STATE_SCHEMA).where(F.col("batch_id") != batch_id)
@@ -102,6 +109,8 @@ def ingest_files(
     fresh = stored(new_files(files, state.completed_hashes(history)), "new-files")
     matched = fs.match_contracts(fresh, book)
     fresh = stored(first_of_equal(fresh.join(matched, "path")), "matched-files")
+    if fresh.isEmpty():  # nothing is written for a look that finds nothing
+        return
     known = fresh.where(F.col("store_id").isNotNull())
     contents = join_dimension(files, known.select("path", "file_hash"), ["path"], "inner")
 
@@ -159,11 +168,10 @@ def ingest_files(
         .unionByName(_events(done.where(~any_sheet), state.FAILED, error=F.to_json("errors"))))
     # last write: a file counts as done only when all its output is there
     wh.append(STATE, events, batch_id)
-    return done.drop("batch_id")
 
 
 def run_ingest(
-    spark: SparkSession, directory: str, contracts: Sequence[StoreContract], wh: Warehouse, *,
+    spark: SparkSession, directory: str | Sequence[str], contracts: Sequence[StoreContract], wh: Warehouse, *,
     mode: str = "batch", pattern: str = "*.xlsx", batch_id: str | None = None,
     options: IngestOptions = IngestOptions(),
 ):
@@ -189,6 +197,12 @@ def reprocess_dead_letters(
     failures = wh.read(DEAD_LETTERS, state.DEAD_LETTER_SCHEMA).drop("batch_id", "content")
     resolved = wh.read(RESOLUTIONS, state.RESOLUTION_SCHEMA).drop("batch_id")
     open_failures = failures.join(resolved.select("failure_id"), "failure_id", "left_anti")
+    with intermediates_deleted(spark):
+        return _reprocess(open_failures, files, contracts, wh, batch_id, options)
+
+
+def _reprocess(open_failures: DataFrame, files: DataFrame, contracts: Sequence[StoreContract], wh: Warehouse, batch_id: str,
+               options: IngestOptions) -> DataFrame:
     again = stored(state.reprocessable(open_failures, files.select("path")), "reprocess")
     chosen = files.join(again.select(F.col("file_path").alias("path")).distinct(), "path", "left_semi")
     results = ingest_files(chosen, contracts, wh, batch_id, options)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -14,6 +19,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     # rows reach a state or staging table once per batch, by partition
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # checkpoint files go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -24,8 +31,27 @@ def builder(app: str = "storelens", **settings: str) -> SparkSession.Builder:
     return out
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, where it is not installed on the executors."""
+    root = os.path.dirname(os.path.abspath(__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                archive.write(path, os.path.relpath(path, os.path.dirname(root)))
+    with tempfile.TemporaryDirectory() as folder:  # on the driver; Spark copies it to its file server
+        path = os.path.join(folder, "storelens.zip")
+        with open(path, "wb") as out:
+            out.write(packed.getvalue())
+        spark.sparkContext.addPyFile(path)
+
+
 def session(app: str = "storelens", **settings: str) -> SparkSession:
-    return builder(app, **settings).getOrCreate()
+    """A session whose workers can import this package."""
+    spark = builder(app, **settings).getOrCreate()
+    ship(spark)
+    return spark
 
 
 def local_session(app: str = "storelens", cpus: int = 8, memory: str = "8g", **settings: str) -> SparkSession:

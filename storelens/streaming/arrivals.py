@@ -33,10 +33,10 @@ def last_tick(wh: Warehouse, before: str | None = None) -> dt.datetime | None:
 
 
 def tick(
-    spark: SparkSession, directory: str, contracts: Sequence[StoreContract], wh: Warehouse, tick_id: str, *,
+    spark: SparkSession, directory: str | Sequence[str], contracts: Sequence[StoreContract], wh: Warehouse, tick_id: str, *,
     pattern: str = "*.xlsx", options: IngestOptions = IngestOptions(),
 ) -> DataFrame:
-    """One look at the directory. Repeating a tick repeats its batch, not its effects."""
+    """One look at the directory or directories. Repeating a tick repeats its batch, not its effects."""
     started = spark.range(1).select(F.current_timestamp()).first()[0]
     since = last_tick(wh, before=tick_id)
     after = None
@@ -46,13 +46,15 @@ def tick(
         after = back.strftime("%Y-%m-%dT%H:%M:%S")
     found = fs.scan(spark, directory, pattern, modified_after=after)
     results = ingest_files(found, contracts, wh, tick_id, options)
+    if results.isEmpty():  # the next tick looks at the same span again, and nothing is written
+        return results
     mark = spark.createDataFrame([(tick_id, started)], TICK_SCHEMA)
     wh.append(TICKS, mark, tick_id)
     return results
 
 
 def watch(
-    spark: SparkSession, directory: str, contracts: Sequence[StoreContract], wh: Warehouse, *,
+    spark: SparkSession, directory: str | Sequence[str], contracts: Sequence[StoreContract], wh: Warehouse, *,
     pattern: str = "*.xlsx", every: str = "30 seconds", source: str = "clock",
     options: IngestOptions = IngestOptions(), available_now: bool = False,
 ):
@@ -64,7 +66,7 @@ def watch(
             tick(spark, directory, contracts, wh, f"tick-{batch:012d}", pattern=pattern, options=options)
     elif source == "file-stream":
         stream = (spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", pattern)
-                  .option("recursiveFileLookup", "true").load(directory))
+                  .option("recursiveFileLookup", "true").load(directory if isinstance(directory, str) else ",".join(directory)))
 
         def handle(files: DataFrame, batch: int) -> None:
             ingest_files(files, contracts, wh, f"stream-{batch:012d}", options)

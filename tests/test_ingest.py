@@ -389,3 +389,24 @@ def test_lost_runs_edits_and_summaries(spark, inbox, tmp_path):
     assert summary_of(spark, wh) == summary_of(spark, once)
     kpis = [sorted((r.store_id, r.revenue_mtd) for r in load_kpi_data(w).collect()) for w in (wh, once)]
     assert kpis[0] == kpis[1]
+
+
+def test_several_directories_and_no_leftovers(spark, inbox, contracts, tmp_path):
+    from storelens.functions.materialize import ensure_checkpoint_dir
+    other = tmp_path / "more"
+    other.mkdir()
+    put(inbox / "store_a.xlsx", {"Sales_1": sheet(good_rows(1))})
+    put(other / "store_b.xlsx", {"Sales_1": sheet(good_rows(2, 4))})
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+
+    def tables():
+        root = ensure_checkpoint_dir(spark).removeprefix("file:")
+        return {d for d in os.listdir(root) if not d.startswith("rdd-")}
+    before = tables()
+    where = [str(inbox), str(other)]
+    assert tick(spark, where, contracts, wh, "t1", options=NOW).count() == 2
+    entries = sorted(os.walk(wh.root))
+    for n in range(2, 4):  # nothing new: nothing is written
+        assert tick(spark, where, contracts, wh, f"t{n}", options=NOW).count() == 0
+    assert sorted(os.walk(wh.root)) == entries
+    assert tables() == before
