@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from ..functions.materialize import stored
+from ..functions.materialize import checkpointed, stored
 from ..functions.quantiles import exact_quantiles
 
 REPORT_SCHEMA = "check string, column string, metric string, value double"
@@ -97,8 +97,12 @@ def duplicate_counts(df: DataFrame, config: CleanConfig = CleanConfig()) -> Data
     """One row: exact copies and later rows of a key."""
     content = [c for c in df.columns if c != config.order_by]
     keys = [k for k in config.dedupe_keys if k in df.columns]
-    copies = df.groupBy(*content).agg(F.count(F.lit(1)).alias("_rows"))
-    if len(keys) == len(config.dedupe_keys) and keys:
+    # two hashes stand for the whole row, so a few fixed-width columns are shuffled and not the wide rows
+    hashes = {"_h1": F.xxhash64(*content), "_h2": F.xxhash64(F.lit(7), *content)}
+    by_key = len(keys) == len(config.dedupe_keys) and bool(keys)
+    copies = df.select(*(keys if by_key else ()), *[h.alias(n) for n, h in hashes.items()]).groupBy(
+        *(keys if by_key else ()), *hashes).agg(F.count(F.lit(1)).alias("_rows"))
+    if by_key:
         per_key = copies.groupBy(*keys).agg(
             F.sum("_rows").alias("_rows"), F.count(F.lit(1)).alias("_distinct"))
         fuzzy = F.sum("_distinct") - F.count(F.lit(1))
@@ -339,7 +343,7 @@ def clean(df: DataFrame, config: CleanConfig = CleanConfig()) -> tuple[DataFrame
     The deduplicated frame is stored once, because the report and the remaining steps read it.
     """
     parts: list[DataFrame] = []
-    start = duplicate_counts(df, config)
+    start = checkpointed(duplicate_counts(df, config))  # one row, read by two parts of the report
     deduped = stored(remove_duplicates(df, config) if config.deduplicate else df, "deduplicated")
     names = {n: (None, n) for n in ("exact_removed", "fuzzy_removed", "total_removed")}
     if config.deduplicate:
