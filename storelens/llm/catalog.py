@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import sql
 from .bpe import op1_bpe
 from .embeddings import op5_embedding_dedup
 from .minhash import op6_minhash
@@ -30,4 +31,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_pii": op10_pii,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_url_filters": sql.url_filters(),
+    "op5_embedding_dedup": sql.EMBEDDINGS,
+    "op6_minhash": sql.MINHASH,
+}

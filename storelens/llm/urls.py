@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ..functions.materialize import checkpointed
 
 UNIT = 10 ** 12
-LINK = r"(?i)<(?:a|area|link|iframe|form)\b[^>]{0,2000}?(?:href|src|action)\s*=\s*[\"']?\s*((?:https?:)?//[^\"'\s>]+)"
+LINK = r"(?i)<(?:a|area|link|iframe|form)\b[^>]*?(?:href|src|action)\s*=\s*[\"']?\s*((?:https?:)?//[^\"'\s>]+)"
 
 
 @dataclass(frozen=True)
