@@ -183,7 +183,7 @@ def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES, keep_at: float = KE
 def filtered(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, all columns; ids may repeat or be null, so rows carry a key of their own.
 
-    The kept ids come back by a join on a hash of id and text, which is equal for equal rows alone.
+    The kept ids come back by a join on a 64-bit hash of id and text, equal for equal rows and, by chance, hardly else.
     """
     key = F.xxhash64("doc_id", "text")
     keyed = docs.withColumn("row_key__", key)
