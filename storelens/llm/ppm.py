@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import kept
+from .scratch import drop_unused_shuffles, kept
 from .words import Words, chunks, plain
 
 ORDER = 4
@@ -167,6 +167,7 @@ def score(docs: DataFrame, held_out, order: int = ORDER, block_bytes: int = BLOC
         block = pa.array(np.full(len(keys), table.column("block")[0].as_py(), np.int32))
         return pa.Table.from_arrays([block, pa.array(keys.view(np.int64)), pa.array(n)], ["block", "key", "n"])
     named = kept(blocks.groupBy("block").applyInArrow(count, "block int, key long, n long"))
+    drop_unused_shuffles(spark)
     totals = kept(named.groupBy("key").agg(F.sum("n").alias("n")))
     is_word = F.col("key") < 0
     facts = totals.agg(F.sum(F.when(is_word, F.col("n"))), F.count_if(is_word & (F.col("n") > 0))).first()
@@ -177,6 +178,7 @@ def score(docs: DataFrame, held_out, order: int = ORDER, block_bytes: int = BLOC
     trie = Trie(codes.where("n > 0"), order)
     values = kept(trie.log_probabilities(codes).select(F.col("code").alias("key"), "value").unionByName(
         totals.where(is_word).select("key", F.col("n").cast("double").alias("value"))))
+    drop_unused_shuffles(spark)
     wanted = named.select("block", "key").join(values, "key").select("block", "key", "value")
 
     def add_up(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:

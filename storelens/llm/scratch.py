@@ -7,6 +7,7 @@ are deleted.
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,3 +40,10 @@ class Scratch:
 def kept(df: DataFrame, name: str = "table") -> DataFrame:
     """``df`` computed once, stored and read back."""
     return Scratch(df.sparkSession, name).keep(df)
+
+
+def drop_unused_shuffles(spark: SparkSession) -> None:
+    """Have the driver collect its garbage now: Spark then deletes the shuffle files that no plan refers to any more,
+    which otherwise stay on the executors' disks until the driver happens to collect."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
