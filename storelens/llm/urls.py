@@ -1,10 +1,12 @@
 """URL filters: explicit rules first, then trust and distrust spread over the host graph.
 
 A host's trust seed is the share of its pages that rules allow, its distrust seed the share they block. Trust follows
-links (personalised PageRank), distrust follows them backwards: who links to blocked hosts becomes suspect. Edges are
-the distinct pairs of hosts with the number of linking pages. Masses are whole numbers, each contribution rounded
-down, so sums do not depend on the order of rows and a retried task changes nothing. A page no rule fits is blocked
-if its host's distrust reaches ``block_at`` and exceeds its trust.
+links, distrust follows them backwards: who links to blocked hosts becomes suspect. Edges are the distinct pairs of
+hosts with the number of linking pages. What a host receives is the damped mean over its own edges (distrust over the
+hosts it links to, trust over those that link to it), and counts for the share of its pages that the seed leaves open.
+So both stay between 0 and 1 and compare between hosts of any size and number of links. Masses are whole numbers,
+each contribution rounded down, so sums do not depend on the order of rows and a retried task changes nothing. A page
+no rule fits is blocked if its host's distrust reaches ``block_at`` and exceeds its trust.
 
 Only built-in expressions run. Defined results: null urls and urls without ``://`` have an empty host and path, which
 no rule fits, and are allowed; null html has no links; links to other protocols, relative links and links within a
@@ -77,13 +79,20 @@ def host_edges(pages: DataFrame) -> DataFrame:
         .where("src <> dst and src <> '' and dst <> ''").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def spread(seeds: DataFrame, edges: DataFrame, damping: float, steps: int) -> DataFrame:
+def spread(seeds: DataFrame, edges: DataFrame, damping: float, steps: int, mean: bool = False) -> DataFrame:
     """(host, mass) after ``steps`` rounds from ``seeds`` (host, seed) along ``edges`` (src, dst, n).
 
-    A hub's edges all need its mass; the join's larger side is the edges, which adaptive execution splits.
+    A host deals its mass out over its edges (personalised PageRank), or with ``mean`` receives the mean over its edges
+    for what its seed leaves open. A hub's edges all need its mass; the join's larger side is the edges, which
+    adaptive execution splits.
     """
-    out = edges.groupBy("src").agg(F.sum("n").alias("all_n"))
-    flows = checkpointed(edges.join(out, "src").select("src", "dst", (F.lit(damping) * F.col("n") / F.col("all_n")).alias("part")))
+    end = "dst" if mean else "src"
+    part = F.lit(damping) * F.col("n") / F.col("all_n")
+    flows = edges.join(edges.groupBy(end).agg(F.sum("n").alias("all_n")), end)
+    if mean:
+        flows = flows.join(seeds.select(F.col("host").alias("dst"), "seed"), "dst", "left")
+        part = part * (1 - F.coalesce("seed", F.lit(0)) / F.lit(float(UNIT)))
+    flows = checkpointed(flows.select("src", "dst", part.alias("part")))
     mass = seeds.select("host", F.col("seed").alias("mass"))
     for step in range(steps):
         sent = flows.join(mass, flows["src"] == mass["host"]).select(
@@ -107,8 +116,9 @@ def judge(pages: DataFrame, rules: Sequence[Rule], damping: float = 0.85, steps:
     if edges.isEmpty():  # no link leaves its host: nothing spreads
         trust, distrust = (s.withColumnRenamed("seed", "mass") for s in (trust, distrust))
     else:
-        trust = spread(trust, edges, damping, steps)
-        distrust = spread(distrust, edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n"), damping, steps)
+        trust = spread(trust, edges, damping, steps, mean=True)
+        distrust = spread(distrust, edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n"), damping, steps,
+                          mean=True)
     masses = trust.select("host", F.col("mass").alias("trust"), F.lit(0).cast("long").alias("distrust")).unionByName(
         distrust.select("host", F.lit(0).cast("long").alias("trust"), F.col("mass").alias("distrust")))
     blocked = masses.groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")) \

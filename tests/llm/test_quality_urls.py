@@ -143,3 +143,18 @@ def test_trust_and_distrust_follow_links(spark):
     got = urls.spread(spark.createDataFrame(list(seeds.items()), "host string, seed long"),
                       spark.createDataFrame(edges, "src string, dst string, n long"), 0.85, 7)
     assert {r.host: r.mass for r in got.collect()} == plain_spread(seeds, edges, 0.85, 7)
+
+
+def test_linkers_of_a_blocked_host_are_blocked_whatever_their_number(spark):
+    rules = [urls.Rule.parse(r) for r in ("allow good.net/", "block bad.net/", "block part.net/x")]
+    link = '<a href="http://{}/">t</a>'.format
+    rows = [("http://bad.net/1", "")] + [(f"http://shill{i}.net/{k}", link("bad.net")) for i in range(300) for k in range(1 + i % 3)]
+    rows += [("http://farm.net/1", link("shill0.net")), ("http://some.net/1", link("bad.net") + link("fine.net") + link("other.net")),
+             ("http://part.net/1", link("some.net")), ("http://part.net/x", ""), ("http://part.net/2", ""),
+             ("http://good.net/1", link("liked.net")), ("http://liked.net/1", link("bad.net") + link("fine.net"))]
+    rows += [(f"http://ring{i}.net/{p}", link(f"ring{1 - i}.net")) for i in range(2) for p in range(10)]
+    rules += [urls.Rule.parse(f"block ring{i}.net/0") for i in range(2)]
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string").repartition(4)
+    found = {r.host: r.verdict for r in urls.judge(pages, rules).collect() if r.rule is None}
+    assert {h for h, v in found.items() if v == "block"} == {f"shill{i}.net" for i in range(300)} | {"farm.net"}
+    assert {h for h, v in found.items() if v == "allow"} == {"some.net", "part.net", "liked.net", "ring0.net", "ring1.net"}
