@@ -191,3 +191,19 @@ def test_field_carries_labels_to_alike_tokens(spark):
     assert by_id[9000].n_chars == len(by_id[9000].text) and by_id[9000].spans == "t"
     assert by_id[9002].text is None and by_id[9002].n_chars is None
     assert pii.found(frame.limit(0), field).count() == 0 and pii.fit(frame.limit(0).select("doc_id", "text")).shapes == {}
+
+
+def test_field_counts_every_document(spark):
+    rnd = random.Random(3)
+    texts = ["order 12x reached" if i % 997 == 0 else f"x{'ab'[i % 2]}{i % 7} +1 (386) 555-{1000 + i} é9é" if i % 5 == 0 else f"a {i} b" for i in range(45_000)]
+    texts += [f"{rnd.randrange(10 ** 9):x}-{'z' * rnd.randrange(30)}9" for _ in range(500)] + [None, "", "mail a.b@c.de twice a.b@c.de 1a2b"]
+    field = pii.fit(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4))
+    counts = Counter()
+    for t in texts:
+        counts.update(pii.statistics(t or ""))
+    whole = pii.Field(counts)
+    assert np.array_equal(field.next, whole.next) and field.alike == whole.alike
+    shapes = [k for what, k, *_ in counts if what == "shape"]
+    for key in {*shapes, "no such shape 9"}:
+        assert np.array_equal(field.unary(key), whole.unary(key)), key
+    assert set(field.shapes) == {k for what, k, a, _ in counts if what == "shape" and a} and len(field.shapes) < len(set(shapes)) / 10
