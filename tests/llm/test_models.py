@@ -207,3 +207,21 @@ def test_field_counts_every_document(spark):
     for key in {*shapes, "no such shape 9"}:
         assert np.array_equal(field.unary(key), whole.unary(key)), key
     assert set(field.shapes) == {k for what, k, a, _ in counts if what == "shape" and a} and len(field.shapes) < len(set(shapes)) / 10
+
+
+def test_field_runs_without_a_confirmed_span(monkeypatch):
+    rnd = random.Random(5)
+    counts = Counter()
+    for i in range(400):
+        counts.update(pii.statistics(" ".join(str(rnd.randrange(10, 100)) for _ in range(30))))
+    for i in range(4):
+        counts.update(pii.statistics(f"write +4 ({386 + i}) (5{i}) 37-{i} 12-2 11-1 please"))
+    field = pii.Field(counts)
+    text = "or else (431) (77) 21-4 66-5 13-9 tonight, 12 34 pieces"
+    base, spans = field.spans(text)
+    assert base == [] and [(k, text[a:b]) for k, a, b in spans] == [("phone", "(431) (77) 21-4 66-5 13-9")]
+    assert field.spans("(431) alone, 12 34 56") == ([], []) == field.spans("no marks") == field.spans("")
+    texts = [" ".join(rnd.choice(["(431)", "(77)", "21-4", "66-5", "12", "word", "12", "a@b", "+4 (386) (55) 37-1 12-2 11-1"]) for _ in range(rnd.randrange(1, 14))) for _ in range(400)]
+    got = [field.spans(t) for t in texts]
+    monkeypatch.setattr(pii.math, "log", lambda x, log=math.log: -1e9 if x == pii.SURE / (1 - pii.SURE) else log(x))  # nothing left out
+    assert got == [field.spans(t) for t in texts] and any(s and not b for b, s in got)
