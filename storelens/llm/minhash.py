@@ -294,9 +294,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` with one document of each component; rows that share an id are one document."""
-    ids = near_duplicates(docs, width, percent).where("kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(kept(ids), "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns) \
+    """The rows of ``docs`` with one document of each component, that of the smallest id.
+
+    Rows that share id and text are one document, other texts under the id are documents of their own; rows without an
+    id stay.
+    """
+    own = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text"))
+    keyed = docs.select("doc_id", own.alias("own"))
+    parts = near_duplicates(docs.select(own.alias("doc_id"), "text"), width, percent).where("doc_id is not null") \
+        .select(F.col("doc_id").alias("own"), "component_id").distinct()
+    firsts = keyed.join(kept(parts), "own").groupBy("component_id").agg(F.min(F.struct("doc_id", "own")).alias("first"))
+    ids = kept(firsts.select(F.col("first.own").alias("dedup_key")))
+    return docs.withColumn("dedup_key", own).join(ids, "dedup_key", "left_semi").dropDuplicates(["dedup_key"]).select(docs.columns) \
         .unionByName(docs.where("doc_id is null"))
 
 

@@ -156,3 +156,12 @@ def test_bounds_keep_true_pairs():
     assert len(alive) >= 3990
     alive, _ = minhash.survivors(left, np.where(rnd.random((4000, 144)) < 0.6, left, left ^ 1), bounds)
     assert len(alive) < 100
+
+
+def test_other_texts_under_a_repeated_id_stay(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(1, a, "a"), (1, b, "b"), (1, b, "b"), (2, a + " end", "a"), (3, c, "c"), (3, c.upper(), "c"), (0, b + " end", "b"), (1, None, "n"), (1, "", "e")]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, lang string").repartition(3)
+        got = sorted((r.doc_id, r.lang) for r in minhash.deduplicated(docs).collect())
+        assert got == [(0, "b"), (1, "a"), (1, "e"), (1, "n"), (3, "c")]
