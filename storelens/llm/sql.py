@@ -84,3 +84,30 @@ def url_filters(rules=RULES, damping: float = 0.85, steps: int = 16, block_at: f
     SELECT page_id, host, path, rule,
            CASE WHEN coalesce(allows, host NOT IN (SELECT host FROM bad)) THEN 'allow' ELSE 'block' END AS verdict
     FROM d"""
+
+
+def centroids(k: int = 40, rounds: int = 5, dims: int = 64, scale: int = 256, seed: str = "2:") -> str:
+    """Plain assignment of every vector to every centroid, the rounds one after the other."""
+    parts = [f"""vectors AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * {scale}) AS BIGINT)) AS q
+  FROM embeddings WHERE len(embedding) = {dims}
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND NOT isnan(x) AND abs(CAST(x AS DOUBLE) * {scale}) < {1 << 27})) = {dims}),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, q) - 1 AS c, q AS v
+  FROM (SELECT sha256('{seed}' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, q FROM vectors ORDER BY h, q LIMIT {k}))"""]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (
+  SELECT n, any_value(vec_id) AS vec_id, any_value(q) AS q, min({{'d': d, 'c': c}}) AS nearest FROM (
+    SELECT n, vec_id, q, c, list_sum(list_transform(range(1, {dims + 1}), lambda i: (q[i] - v[i]) * (q[i] - v[i]))) AS d
+    FROM (SELECT row_number() OVER () AS n, * FROM vectors), c{r}) GROUP BY n)""")
+        if r < rounds:
+            parts.append(f"""m{r} AS MATERIALIZED (
+  SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM (
+    SELECT nearest.c AS c, i, sum(q[i]) AS s, count(*) AS n FROM a{r}, range(1, {dims + 1}) AS dim(i) GROUP BY 1, 2) GROUP BY c),
+c{r + 1} AS MATERIALIZED (SELECT c, coalesce(m{r}.v, c{r}.v) AS v FROM c{r} LEFT JOIN m{r} USING (c))""")
+    last = f"a{rounds}"
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, CAST(nearest.c AS INTEGER) AS cluster, CAST(nearest.d AS BIGINT) AS distance,
+  CAST(sum(nearest.d) OVER (PARTITION BY nearest.c) AS BIGINT) AS cluster_inertia, CAST(sum(nearest.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(v, ',')) AS centroid_sha256
+FROM {last} JOIN c{rounds} ON nearest.c = c{rounds}.c"""
