@@ -1,15 +1,16 @@
 """Column-wise Burrows-Wheeler transform and common prefixes of a collection of short strings.
 
 Round j inserts one symbol of every string, the j-th from its end: it stands before the suffix inserted one round
-earlier. Suffixes are held by their first symbol, one segment per symbol in alphabetical order, each segment with the
-symbols before its suffixes (the transform) and the lengths of the common prefix of each suffix with the one before it.
-The segments follow one another in one file. A round reads the file of the last round from its start to its end,
-segment by segment, merges the new suffixes of the segment, learns from the merged segment where the next suffixes go,
-and writes the segment to a new file. In memory are one segment and some numbers for each string.
-
-Where a suffix goes: the suffix c + S stands in segment c behind as many others as the transform has symbols c before
-the place of S. Its common prefix with its neighbours is one longer than the smallest common prefix between the place
-of S and the next c on that side, and 0 or 1 where that lies in another segment.
+earlier. A symbol is 16 bits, for bytes a pair of them (see :func:`pairs`), which halves the rounds. Suffixes are held
+in segments by the upper half of their first symbol, each segment with the symbols before its suffixes (the transform)
+and the lengths of the common prefix of each suffix with the one before it. The segments follow one another in one
+file. A round reads the file of the last round from its start to its end, segment by segment, merges the new suffixes
+of the segment, learns from the merged segment where the next suffixes go, and writes the segment to a new file. In
+memory are one segment and some numbers for each string.
+
+Where a suffix goes: the suffix c + S stands among those that begin with c behind as many others as the transform has
+symbols c before the place of S. Its common prefix with its neighbours is one longer than the smallest common prefix
+between the place of S and the next c on that side: 1 where that lies in another segment, 0 where there is none.
 """
 
 from __future__ import annotations
@@ -18,8 +19,22 @@ import uuid
 
 import numpy as np
 
-#: Stands behind the last symbol of a string; no UTF-8 text holds this byte.
-END = 0xFF
+#: Stands behind the last symbol of a string; no pair of bytes of UTF-8 text has this value.
+END = 0xFFFF
+SYMBOLS = 1 << 16
+
+
+def pairs(strings: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte strings (a right-aligned matrix) as strings of byte pairs: row i holds the suffixes of string i with an even
+    number of bytes, row m + i those with an odd number, without the string's last byte."""
+    m, width = strings.shape
+    room = np.zeros((m, 2 * (width // 2 + 2)), np.uint8)
+    room[:, room.shape[1] - width:] = strings
+    even = np.ascontiguousarray(room).view(">u2")
+    shifted = np.zeros_like(room)
+    shifted[:, 1:] = room[:, :-1]
+    odd = np.ascontiguousarray(shifted).view(">u2")
+    return np.concatenate((even, odd)).astype(np.uint16), np.concatenate((lengths // 2, np.maximum(lengths - 1, 0) // 2))
 
 
 def _smallest(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -33,61 +48,62 @@ def _smallest(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
     return out
 
 
+def _next_suffixes(b: np.ndarray, common: np.ndarray, place: np.ndarray, who: np.ndarray, passed: np.ndarray) -> tuple[np.ndarray, ...]:
+    """For the suffixes at ``place`` of a segment: (symbol before it, which of these symbols it is, string, common prefixes
+    with both neighbours or -1 where these lie in another segment)."""
+    order = np.argsort(b, kind="stable")
+    is_new = np.zeros(len(b), bool)
+    is_new[place] = True
+    index = np.flatnonzero(is_new[order])
+    at = order[index]
+    c = b[at]
+    on = c != END
+    index, at, c = index[on], at[on], c[on]
+    by_symbol = b[order]
+    before, after = np.full(len(at), -1), np.full(len(at), -1)
+    has = np.flatnonzero((index > 0) & (by_symbol[index - 1] == c))
+    before[has] = 1 + _smallest(common, order[index[has] - 1] + 1, at[has] + 1)
+    following = np.minimum(index + 1, len(b) - 1)
+    has = np.flatnonzero((index + 1 < len(b)) & (by_symbol[following] == c))
+    after[has] = 1 + _smallest(common, at[has] + 1, order[index[has] + 1] + 1)
+    c = c.astype(np.int64)
+    nth = passed[c] + index - np.searchsorted(by_symbol, c.astype(np.uint16))
+    return c, nth, who[np.searchsorted(place, at)], before, after
+
+
 class _Inserted:
-    """The suffixes to insert next: segment, place in it, string, common prefixes with both neighbours."""
+    """The suffixes to insert next: segment, place in it, string, common prefixes with both neighbours (-1: none behind)."""
 
-    def __init__(self, parts: list[tuple[np.ndarray, ...]]):
-        letter, place, who, before, after = (np.concatenate(x) for x in zip(*parts)) if parts else [np.zeros(0, np.int64)] * 5
-        order = np.lexsort((place, letter))
-        self.letter, self.place, self.who, self.before, self.after = (x[order] for x in (letter, place, who, before, after))
+    def __init__(self, parts: list[tuple[np.ndarray, ...]], total: np.ndarray):
+        c, nth, who, before, after = (np.concatenate(x) for x in zip(*parts)) if parts else [np.zeros(0, np.int64)] * 5
+        smaller = np.cumsum(total) - total
+        place = smaller[c] - smaller[c & 0xFF00] + nth
+        before = np.where(before >= 0, before, np.where(nth > 0, 1, 0))
+        after = np.where(after >= 0, after, np.where(nth + 1 < total[c], 1, -1))
+        order = np.lexsort((place, c >> 8))
+        self.letter, self.place, self.who, self.before, self.after = (x[order] for x in (c >> 8, place, who, before, after))
 
 
 def transform(strings: np.ndarray, lengths: np.ndarray, folder: str) -> tuple[np.ndarray, np.ndarray]:
     """(transform, common prefixes) over all suffixes of ``strings``, the empty ones first.
 
-    ``strings`` is a matrix of bytes, every string right-aligned in its row; strings hold at most 254 bytes, none of
-    them ``END``. The file of the current round lies in ``folder`` (any file system that Arrow can write).
+    ``strings`` is a matrix of 16-bit symbols, every string right-aligned in its row; strings hold at most 254 symbols,
+    none of them ``END``. The file of the current round lies in ``folder`` (any file system that Arrow can write).
     """
     from pyarrow import fs
     files, root = fs.FileSystem.from_uri(folder)
     files.create_dir(root, recursive=True)
     m, width = strings.shape
     if int(lengths.max(initial=0)) > 254:
-        raise ValueError("strings of at most 254 bytes, please")
-
-    def symbol(j: int, who: np.ndarray) -> np.ndarray:
-        """The j-th symbol from the end, ``END`` behind the first."""
-        if j >= width:
-            return np.full(len(who), END, np.uint8)
-        return np.where(lengths[who] > j, strings[who, width - 1 - j], END).astype(np.uint8)
+        raise ValueError("strings of at most 254 symbols, please")
+    columns = np.full((width + 1, m), END, np.uint16)  # by round
+    columns[:width] = np.where(np.arange(width)[:, None] < lengths[None, :], strings[:, ::-1].T, END)
     own = f"{root}/{uuid.uuid4().hex}"
-
-    def next_suffixes(b: np.ndarray, common: np.ndarray, place: np.ndarray, who: np.ndarray, passed: np.ndarray):
-        """Where the suffixes go that are one symbol longer than those at ``place`` in this segment."""
-        order = np.argsort(b, kind="stable")
-        is_new = np.zeros(len(b), bool)
-        is_new[place] = True
-        index = np.flatnonzero(is_new[order])
-        at = order[index]
-        c = b[at].astype(np.int64)
-        count = np.bincount(b, minlength=256)
-        nth = index - (np.cumsum(count) - count)[c]
-        goes = passed[c] + nth
-        before, after = np.where(goes > 0, 1, 0), np.ones(len(at), np.int64)
-        has = np.flatnonzero(nth > 0)
-        before[has] = 1 + _smallest(common, order[index[has] - 1] + 1, at[has] + 1)
-        has = np.flatnonzero(nth + 1 < count[c])
-        after[has] = 1 + _smallest(common, at[has] + 1, order[index[has] + 1] + 1)
-        on = c != END
-        return c[on], goes[on], who[np.searchsorted(place, at[on])], before[on], after[on]
-
     everyone = np.arange(m)
-    b, common = symbol(0, everyone), np.zeros(m, np.uint8)
+    empty, none = columns[0].copy(), np.zeros(m, np.uint8)
+    first = np.bincount(empty, minlength=SYMBOLS)
+    new = _Inserted([_next_suffixes(empty, none, everyone, everyone, np.zeros(SYMBOLS, np.int64))], first)
     sizes: dict[int, int] = {}  # of the segments, without the first one of the empty suffixes
-    passed = np.zeros(256, np.int64)
-    new = _Inserted([next_suffixes(b, common, everyone, everyone, passed)])
-    first = np.bincount(b, minlength=256)
-    empty = b
     j = 0
     try:
         while len(new.who):
@@ -98,33 +114,34 @@ def transform(strings: np.ndarray, lengths: np.ndarray, folder: str) -> tuple[np
             with files.open_output_stream(f"{own}-{j}") as out:
                 for letter in sorted({*sizes, *np.unique(new.letter).tolist()}):
                     n = sizes.get(letter, 0)
-                    held = np.frombuffer(reader.read(2 * n), np.uint8) if n else np.zeros(0, np.uint8)
+                    b = np.frombuffer(reader.read(2 * n), np.uint16) if n else np.zeros(0, np.uint16)
+                    common = np.frombuffer(reader.read(n), np.uint8) if n else np.zeros(0, np.uint8)
                     low, high = np.searchsorted(new.letter, (letter, letter + 1))
-                    place = new.place[low:high]
-                    b, common = np.empty(n + len(place), np.uint8), np.empty(n + len(place), np.uint8)
-                    old = np.ones(len(b), bool)
-                    old[place] = False
-                    b[old], common[old] = held[:n], held[n:]
-                    b[place], common[place] = symbol(j, new.who[low:high]), new.before[low:high]
-                    follows = place + 1 < len(b)
-                    common[place[follows] + 1] = new.after[low:high][follows]
+                    if high > low:
+                        place, who, after = new.place[low:high], new.who[low:high], new.after[low:high]
+                        old = np.ones(n + len(place), bool)
+                        old[place] = False
+                        held_b, held_common = b, common
+                        b, common = np.empty(len(old), np.uint16), np.empty(len(old), np.uint8)
+                        b[old], common[old] = held_b, held_common
+                        b[place], common[place] = columns[j][who], new.before[low:high]
+                        follows = after >= 0
+                        common[place[follows] + 1] = after[follows]
+                        found.append(_next_suffixes(b, common, place, who, passed))
                     out.write(b.tobytes())
                     out.write(common.tobytes())
-                    if len(place):
-                        found.append(next_suffixes(b, common, place, new.who[low:high], passed))
-                    passed += np.bincount(b, minlength=256)
+                    passed += np.bincount(b, minlength=SYMBOLS)
                     grown[letter] = len(b)
             if reader is not None:
                 reader.close()
                 files.delete_file(f"{own}-{j - 1}")
-            sizes, new = grown, _Inserted(found)
-        if not sizes:
-            return empty, np.zeros(m, np.uint8)
-        symbols, prefixes = [empty], [np.zeros(m, np.uint8)]
-        with files.open_input_stream(f"{own}-{j}") as reader:
-            for letter in sorted(sizes):
-                symbols.append(np.frombuffer(reader.read(sizes[letter]), np.uint8))
-                prefixes.append(np.frombuffer(reader.read(sizes[letter]), np.uint8))
+            sizes, new = grown, _Inserted(found, passed)
+        symbols, prefixes = [empty], [none]
+        if sizes:
+            with files.open_input_stream(f"{own}-{j}") as reader:
+                for letter in sorted(sizes):
+                    symbols.append(np.frombuffer(reader.read(2 * sizes[letter]), np.uint16))
+                    prefixes.append(np.frombuffer(reader.read(sizes[letter]), np.uint8))
         return np.concatenate(symbols), np.concatenate(prefixes)
     finally:
         for k in (j - 1, j):
@@ -147,20 +164,25 @@ def places(symbols: np.ndarray, lengths: np.ndarray):
 
 
 def smallest_owner(strings: np.ndarray, lengths: np.ndarray, owner: np.ndarray, width: int, folder: str) -> np.ndarray:
-    """For each string and place, the smallest ``owner`` of a string that holds the ``width`` bytes which start there.
+    """For each byte string and place, the smallest ``owner`` of a string that holds the ``width`` bytes which start there.
 
-    Row k of the result has ``lengths[k] - width + 1`` meaningful entries at its start.
+    ``width`` is even. Row k of the result has ``lengths[k] - width + 1`` meaningful entries at its start.
     """
-    symbols, common = transform(strings, lengths, folder)
+    rows, halves = pairs(strings, lengths)
+    m, depth = len(lengths), width // 2
+    usable = np.flatnonzero(halves >= depth)
+    halves, of_string = halves[usable], usable % m
+    cut = np.where(usable < m, 0, 1)  # bytes missing at the end
+    symbols, common = transform(rows[usable], halves, folder)
     none = np.iinfo(np.int64).max
     of = np.full(len(symbols), none, np.int64)
-    out = np.full((len(lengths), max(1, strings.shape[1] - width + 1)), none, np.int64)
-    steps = [(j, who, at) for j, who, at in places(symbols, lengths) if j >= width]
+    out = np.full((m, max(1, strings.shape[1] - width + 1)), none, np.int64)
+    steps = [(j, who, at) for j, who, at in places(symbols, halves) if j >= depth]
     for _, who, at in steps:
-        of[at] = owner[who]
-    starts = np.flatnonzero(common < width)  # suffixes between two starts share their first ``width`` bytes
-    group = np.cumsum(common < width) - 1
+        of[at] = owner[of_string[who]]
+    starts = np.flatnonzero(common < depth)  # suffixes between two starts share their first ``width`` bytes
+    group = np.cumsum(common < depth) - 1
     least = np.minimum.reduceat(of, starts) if len(starts) else of
     for j, who, at in steps:
-        out[who, lengths[who] - j] = least[group[at]]
+        out[of_string[who], lengths[of_string[who]] - cut[who] - 2 * j] = least[group[at]]
     return out

@@ -8,18 +8,20 @@ to be in one collection and keep collections small.
   anchors wherever they stand, so windows are dealt by anchor. Neighbouring windows mostly share theirs: a document falls
   into pieces of at most ``2 * width - GRAM`` bytes, one per anchor.
 * An anchor that stands in one document only cannot be part of a match. Anchors are counted as 32-bit hashes inside
-  buckets, once per chunk of documents; what comes back to a chunk is one bit per anchor. An accidental collision
+  buckets, once per chunk of documents; what comes back to a chunk is two bits per anchor. An accidental collision
   only lets a piece go on that matches nothing.
-* Equal pieces become one string with the smallest id that holds it, and strings of one anchor meet in one slot. An
-  anchor with more than ``hot`` pieces is cut into single windows, which are dealt by their own hashes.
-* In each slot the columns of its strings are inserted round by round; windows next to each other in suffix order with
-  common prefixes of ``width`` or more are equal, and the smallest id among them is the origin of them all.
+* A chunk sends each of its remaining pieces once, with the smallest id that holds it, to the slot of the anchor; pieces
+  of one chunk and slot travel as one compressed row. An anchor that stands in more than ``hot`` chunks is dealt as
+  single windows, by their own hashes. Where the pieces stand stays with the chunk.
+* In each slot equal pieces become one string, the columns of the strings are inserted round by round, and windows next
+  to each other in suffix order with common prefixes of ``width`` or more are equal: the smallest id among them is the
+  origin of them all. The origins go back to the chunks in the order in which the pieces came.
 
-Chunks are stored as a table bucketed by chunk, so the texts are not shuffled when bits and spans come back to them.
+Chunks are stored as a table bucketed by chunk, so the texts are not shuffled when bits and origins come back to them.
 
 Ids are whole numbers. Defined results: null texts are empty; rows without an id are neither origins nor shortened;
 rows that share an id do not shorten each other; windows never cross documents; other columns are ignored; an empty
-table gives no rows.
+table gives no rows. A very long text is one chunk, looked at in blocks.
 """
 
 from __future__ import annotations
@@ -37,17 +39,27 @@ from .scratch import Scratch
 from .words import chunks, mix
 
 GRAM = 24
+BLOCK = 1 << 22
 BUCKET_BYTES = 256_000_000
-SLOT_BYTES = 12_000_000
-HOT = 100_000
+SLOT_BYTES = 16_000_000
+HOT = 2_000
+SHORT = np.uint64(0xFFFFFFFF)
 
 
 def pieces(data: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(start, number of windows, document, anchor) of the pieces of the documents that end at ``ends``."""
+    parts = []
+    for base in range(0, max(1, len(data) - width + 1), BLOCK):
+        block = data[base:base + BLOCK + width - 1]
+        start, count, anchor = _pieces(block, np.clip(ends - base, 0, len(block)), width)
+        parts.append((start + base, count, np.searchsorted(ends, start + base, side="right"), anchor))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def _pieces(data: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(data) - width + 1
-    none = np.zeros(0, np.int64)
     if n <= 0:
-        return none, none, none, none.astype(np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     padded = np.concatenate((data, np.zeros(GRAM, np.uint8)))
     eight = np.ndarray((len(data) + GRAM - 7,), "<u8", padded, 0, (1,))
     with np.errstate(over="ignore"):
@@ -71,15 +83,14 @@ def pieces(data: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.ndarray,
     changes = inside.copy()
     changes[1:] &= (h[1:] != h[:-1]) | ~inside[:-1]
     start = np.flatnonzero(changes)
-    stop = np.append(np.flatnonzero(inside[:-1] & (changes[1:] | ~inside[1:])) + 1, n if inside[-1] else [])[:len(start)].astype(np.int64)
+    stop = np.append(np.flatnonzero(inside[:-1] & (changes[1:] | ~inside[1:])) + 1, n if inside[-1] else []).astype(np.int64)
     count = stop - start
     # text that repeats itself has long stretches under one anchor: cut them
     parts = -(-count // wanted)
     first = np.repeat(start, parts) + wanted * (np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
     count = np.minimum(np.repeat(stop, parts), first + wanted) - first
     with np.errstate(over="ignore"):
-        anchor = mix(h[first])
-    return first, count, np.searchsorted(ends, first, side="right"), anchor
+        return first, count, mix(h[first])
 
 
 def _chunk_rows(part: pa.RecordBatch):
@@ -104,13 +115,47 @@ class _Chunk:
         start, count, doc, anchor = pieces(np.frombuffer(self.data, np.uint8), self.ends, width)
         on = self.named[doc]
         self.start, self.count, self.doc, self.anchor = start[on], count[on], doc[on], anchor[on]
-        short = ((self.anchor >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32)) | (self.anchor & np.uint64(0xFFFFFFFF))
+        short = ((self.anchor >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32)) | (self.anchor & SHORT)
         self.entries, self.which = np.unique(short, return_inverse=True)
         low, high = np.full(len(self.entries), len(self.ends)), np.full(len(self.entries), -1)
         np.minimum.at(low, self.which, self.doc)
         np.maximum.at(high, self.which, self.doc)
         self.several = low < high
 
+    def gather(self, found: list, width: int, slots: int) -> None:
+        """The distinct pieces that other documents may share, by slot, and where they stand."""
+        import xxhash
+        bits = {f["bucket"]: (f["bits"], f["hot"]) for f in found}
+        here, sizes = np.unique((self.entries >> np.uint64(32)).astype(np.int64), return_counts=True)
+
+        def flags(k: int) -> np.ndarray:
+            rows = [np.unpackbits(np.frombuffer(bits[b][k], np.uint8))[:n] for b, n in zip(here.tolist(), sizes.tolist())]
+            return np.concatenate(rows) > 0 if rows else np.zeros(0, bool)
+        on = np.flatnonzero((self.several | flags(0))[self.which])
+        start, count, doc, key = self.start[on], self.count[on], self.doc[on], self.anchor[on]
+        hot = flags(1)[self.which][on]
+        if hot.any():
+            each, times = np.flatnonzero(hot), count[hot]
+            single = np.repeat(start[each], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            names = np.fromiter((xxhash.xxh3_64_intdigest(self.data[a:a + width], 1) for a in single.tolist()), np.uint64, len(single))
+            start, count = np.concatenate((start[~hot], single)), np.concatenate((count[~hot], np.ones(len(single), np.int64)))
+            doc, key = np.concatenate((doc[~hot], np.repeat(doc[each], times))), np.concatenate((key[~hot], names))
+        numbers: dict[bytes, int] = {}
+        texts = (self.data[a:b] for a, b in zip(start.tolist(), (start + count + width - 1).tolist()))
+        group = np.fromiter((numbers.setdefault(t, len(numbers)) for t in texts), np.int64, len(start))
+        strings, sample = list(numbers), np.zeros(len(numbers), np.int64)
+        sample[group] = np.arange(len(group))
+        slot = (key[sample] % np.uint64(slots)).astype(np.int64)
+        order = np.argsort(slot, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.place, self.piece, self.owner = start, rank[group], self.ids[doc]
+        self.slot, self.strings = slot[order], [strings[k] for k in order.tolist()]
+        none = np.iinfo(np.int64)
+        self.least, self.most = np.full(len(order), none.max), np.full(len(order), none.min)
+        np.minimum.at(self.least, self.piece, self.owner)
+        np.maximum.at(self.most, self.piece, self.owner)
+
 
 def _store_chunks(docs: DataFrame, scratch: Scratch) -> DataFrame:
     from pyspark import TaskContext
@@ -130,8 +175,9 @@ def _store_chunks(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.keep_bucketed(made, "chunk")
 
 
-def _shared_anchors(stored: DataFrame, width: int, buckets: int, parts: int) -> DataFrame:
-    """(chunk, found: array of (bucket, bits)): for each anchor of the chunk, whether another chunk has it too."""
+def _shared_anchors(stored: DataFrame, width: int, buckets: int, hot: int, parts: int) -> DataFrame:
+    """(chunk, found: array of (bucket, bits, hot), n): for each anchor of the chunk, whether another chunk has it too and
+    whether more than ``hot`` have it."""
     def count(batches):
         for batch in batches:
             for row in batch.to_pylist():
@@ -140,179 +186,156 @@ def _shared_anchors(stored: DataFrame, width: int, buckets: int, parts: int) ->
                 bucket = (c.entries >> np.uint64(32)).astype(np.int64)
                 here, begins = np.unique(bucket, return_index=True)
                 hashes = pa.ListArray.from_arrays(pa.array(np.append(begins, len(bucket)), pa.int32()),
-                                                  pa.array((c.entries & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)))
+                                                  pa.array((c.entries & SHORT).astype(np.uint32).view(np.int32)))
                 yield pa.RecordBatch.from_arrays([pa.array(here), pa.array(np.full(len(here), row["chunk"])), hashes],
                                                  ["bucket", "chunk", "hashes"])
 
     def decide(batches):
         for table in runs(batches, ["bucket"]):
             t = table.combine_chunks()
-            lists = t.column("hashes").combine_chunks() if isinstance(t.column("hashes"), pa.ChunkedArray) else t.column("hashes")
+            lists = t.column("hashes").combine_chunks()
             _, which, counts = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
-            several = counts[which] > 1
-            at = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
-            bits = [np.packbits(several[a:b]).tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([t.column("chunk").combine_chunks(), t.column("bucket").combine_chunks(),
-                                              pa.array(bits, pa.binary())], ["chunk", "bucket", "bits"])
+            times = counts[which]
+            at = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy()))).tolist()
+            several, very = ([np.packbits(times[a:b] > most).tobytes() for a, b in zip(at[:-1], at[1:])] for most in (1, hot))
+            n = np.concatenate(([0], np.cumsum(times > 1)))
+            yield pa.RecordBatch.from_arrays([
+                t.column("chunk").combine_chunks(), t.column("bucket").combine_chunks(), pa.array(several, pa.binary()),
+                pa.array(very, pa.binary()), pa.array(np.diff(n[at]))], ["chunk", "bucket", "bits", "hot", "n"])
     listed = stored.select("chunk", "ids", "ends", "payload").mapInArrow(count, "bucket long, chunk long, hashes array<int>")
-    told = listed.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(decide, "chunk long, bucket long, bits binary")
-    return told.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias("found"))
+    told = listed.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(
+        decide, "chunk long, bucket long, bits binary, hot binary, n long")
+    return told.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits", "hot")).alias("found"), F.sum("n").alias("n"))
 
 
-PIECES = "anchor long, piece binary, size int, least long, most long, chunk long, starts array<int>, docs array<long>"
+def _packed(*arrays: np.ndarray | bytes) -> bytes:
+    import zstandard
+    return zstandard.ZstdCompressor(3).compress(b"".join(x if isinstance(x, bytes) else x.tobytes() for x in arrays))
 
 
-def _equal_strings(keys: list[bytes], docs: np.ndarray):
-    """Groups of equal keys: (first of each group, order by group, begins of the groups, smallest and largest doc)."""
-    numbers: dict[bytes, int] = {}
-    group = np.fromiter((numbers.setdefault(k, len(numbers)) for k in keys), np.int64, len(keys))
-    order = np.lexsort((docs, group))
-    begins = np.flatnonzero(np.concatenate(([True], group[order][1:] != group[order][:-1]))) if len(keys) else np.zeros(0, np.int64)
-    last = (np.append(begins[1:], len(keys)) - 1)[:len(begins)]
-    return list(numbers), order, begins, docs[order[begins]], docs[order[last]]
+def _unpacked(packed: bytes) -> bytes:
+    import zstandard
+    return zstandard.ZstdDecompressor().decompress(packed)
 
 
-def _cut_pieces(stored: DataFrame, shared: DataFrame, width: int, buckets: int) -> DataFrame:
-    """The distinct pieces of each chunk that another document may share, with all their places in it."""
+def _send_pieces(stored: DataFrame, shared: DataFrame, width: int, buckets: int, slots: int) -> DataFrame:
+    """(slot, chunk, n, packed): the pieces of a chunk for a slot, their lengths and the smallest and largest ids."""
     def work(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 c = _Chunk(row["payload"], row["ends"], row["ids"])
                 c.cut(width, buckets)
-                bits = {f["bucket"]: f["bits"] for f in row["found"]}
-                bucket = (c.entries >> np.uint64(32)).astype(np.int64)
-                here, sizes = np.unique(bucket, return_counts=True)
-                elsewhere = np.concatenate([np.unpackbits(np.frombuffer(bits[b], np.uint8))[:n] for b, n in zip(here.tolist(), sizes.tolist())]) \
-                    if len(here) else np.zeros(0, np.uint8)
-                on = np.flatnonzero((c.several | (elsewhere > 0))[c.which])
-                start, doc = c.start[on], c.doc[on]
-                texts = [c.data[a:b] for a, b in zip(start.tolist(), (start + c.count[on] + width - 1).tolist())]
-                distinct, order, begins, least, most = _equal_strings(texts, c.ids[doc])
-                offsets = pa.array(np.append(begins, len(on)), pa.int32())
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(c.anchor[on][order[begins]].view(np.int64)), pa.array(distinct, pa.binary()),
-                    pa.array([len(x) for x in distinct], pa.int32()), pa.array(least, pa.int64()), pa.array(most, pa.int64()),
-                    pa.array(np.full(len(distinct), row["chunk"]), pa.int64()),
-                    pa.ListArray.from_arrays(offsets, pa.array(start[order].astype(np.int32))),
-                    pa.ListArray.from_arrays(offsets, pa.array(c.ids[doc][order]))],
-                    ["anchor", "piece", "size", "least", "most", "chunk", "starts", "docs"])
-    return stored.select("chunk", "ids", "ends", "payload").join(shared, "chunk").mapInArrow(work, PIECES)
-
-
-def _windows(cut: DataFrame, width: int) -> DataFrame:
-    """Pieces of hot anchors as single windows, dealt by the hash of the window itself."""
-    each = cut.select("*", F.explode(F.sequence(F.lit(0), F.col("size") - width)).alias("k"))
-    piece = F.expr(f"substring(piece, k + 1, {width})")
-    return each.select(F.xxhash64(F.lit(11), piece).alias("anchor"), piece.alias("piece"), F.lit(width).alias("size"), "least", "most",
-                       "chunk", F.expr("transform(starts, s -> s + k)").alias("starts"), "docs")
-
-
-def _origins(cut: DataFrame, width: int, slots: int, parts: int, folder: str) -> DataFrame:
-    """(anchor, pid, counts, least): for each distinct piece the smallest id holding its windows, run-length coded."""
-    distinct = cut.groupBy("anchor", "piece").agg(F.min("least").alias("least"), F.max("most").alias("most")).select(
-        F.pmod(F.xxhash64("anchor"), F.lit(slots)).alias("slot"), "anchor", F.xxhash64("piece").alias("pid"), "piece", "least", "most")
-
+                c.gather(row["found"], width, slots)
+                here, begins = np.unique(c.slot, return_index=True)
+                bounds = [*begins.tolist(), len(c.slot)]
+                sizes = np.fromiter(map(len, c.strings), np.uint8, len(c.strings))
+                rows = [_packed(sizes[a:b], c.least[a:b], c.most[a:b], b"".join(c.strings[a:b])) for a, b in zip(bounds, bounds[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(here), pa.array(np.full(len(here), row["chunk"])), pa.array(np.diff(bounds).astype(np.int64)),
+                     pa.array(rows, pa.binary())], ["slot", "chunk", "n", "packed"])
+    return stored.select("chunk", "ids", "ends", "payload").join(shared.select("chunk", "found"), "chunk").mapInArrow(
+        work, "slot long, chunk long, n long, packed binary")
+
+
+def _origins(sent: DataFrame, width: int, parts: int, folder: str) -> DataFrame:
+    """(chunk, origins: array of (slot, n, packed)): for each piece sent the smallest id holding its windows, run-length
+    coded; pieces none of whose windows another document has earlier have no run."""
     def work(batches):
         for table in runs(batches, ["slot"]):
-            t = table.combine_chunks()
-            raw = t.column("piece").combine_chunks()
-            flat = np.frombuffer(b"".join(raw.to_pylist()), np.uint8)
-            lengths = np.array([len(x) for x in raw.to_pylist()], np.int64)
-            wide = int(lengths.max())
-            strings = np.zeros((len(lengths), wide), np.uint8)
-            column = np.arange(wide)[None, :]
-            strings[column >= wide - lengths[:, None]] = flat
-            least, most = t.column("least").to_numpy(), t.column("most").to_numpy()
+            rows = table.to_pylist()
+            numbers: dict[bytes, int] = {}
+            groups, highs, lows = [], [], []
+            for row in rows:
+                raw, n = _unpacked(row["packed"]), row["n"]
+                sizes = np.frombuffer(raw, np.uint8, n).astype(np.int64)
+                lows.append(np.frombuffer(raw, np.int64, n, n))
+                highs.append(np.frombuffer(raw, np.int64, n, 9 * n))
+                at = np.concatenate(([17 * n], 17 * n + np.cumsum(sizes))).tolist()
+                groups.append(np.fromiter((numbers.setdefault(raw[a:b], len(numbers)) for a, b in zip(at, at[1:])), np.int64, n))
+            lengths = np.fromiter(map(len, numbers), np.int64, len(numbers))
+            strings = np.zeros((len(lengths), int(lengths.max())), np.uint8)
+            strings[np.arange(strings.shape[1])[None, :] >= strings.shape[1] - lengths[:, None]] = np.frombuffer(b"".join(numbers), np.uint8)
+            least = np.full(len(lengths), np.iinfo(np.int64).max)
+            for group, low in zip(groups, lows):
+                np.minimum.at(least, group, low)
+            numbers.clear()
             found = smallest_owner(strings, lengths, least, width, folder)
             here = np.arange(found.shape[1])[None, :] <= (lengths - width)[:, None]
-            useful = (most > least) | ((found != least[:, None]) & here).any(axis=1)
-            found, here = found[useful], here[useful]
-            changes = here.copy()
-            changes[:, 1:] &= found[:, 1:] != found[:, :-1]
-            per_row = changes.sum(axis=1)
-            row, col = np.nonzero(changes)
-            total = (lengths - width + 1)[useful]
-            nxt = np.append(col[1:], 0)
-            lasts = np.cumsum(per_row) - 1
-            nxt[lasts] = total
-            offsets = pa.array(np.concatenate(([0], np.cumsum(per_row))), pa.int32())
-            keep = pa.array(useful)
-            yield pa.RecordBatch.from_arrays([
-                t.column("anchor").combine_chunks().filter(keep), t.column("pid").combine_chunks().filter(keep),
-                pa.ListArray.from_arrays(offsets, pa.array((nxt - col).astype(np.int32))),
-                pa.ListArray.from_arrays(offsets, pa.array(found[row, col]))], ["anchor", "pid", "counts", "origins"])
-    return distinct.repartition(parts, "slot").sortWithinPartitions("slot").mapInArrow(
-        work, "anchor long, pid long, counts array<int>, origins array<long>")
-
-
-def _spans(cut: DataFrame, origins: DataFrame, width: int) -> DataFrame:
-    """(chunk, spans): begin and end of every stretch of windows whose origin is an earlier document."""
-    placed = cut.select("anchor", F.xxhash64("piece").alias("pid"), "chunk", "starts", "docs").join(origins, ["anchor", "pid"])
-
-    def work(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            places, stretches = (batch.column(c).value_lengths().to_numpy() for c in ("starts", "counts"))
-            starts, docs, counts, least = (batch.column(c).flatten().to_numpy() for c in ("starts", "docs", "counts", "origins"))
-            stretch_row = np.repeat(np.arange(batch.num_rows), stretches)
-            begin = np.cumsum(stretches) - stretches
-            offset = np.cumsum(counts) - counts
-            offset = offset - offset[np.minimum(begin, len(offset) - 1)][stretch_row]
-            # every place of a row with every stretch of it: at most ``width`` of these
-            place_row = np.repeat(np.arange(batch.num_rows), places)
-            times = stretches[place_row]
-            place = np.repeat(np.arange(len(starts)), times)
-            stretch = begin[place_row][place] + np.arange(len(place)) - np.repeat(np.cumsum(times) - times, times)
-            gone = least[stretch] < docs[place]
-            place, stretch = place[gone], stretch[gone]
-            low = starts[place] + offset[stretch]
-            pairs = np.column_stack((low, low + counts[stretch] + width - 1)).astype("<i4")
-            row, begins = np.unique(place_row[place], return_index=True)
-            chunk = batch.column("chunk").to_numpy()[row]
-            packed = [pairs[a:b].tobytes() for a, b in zip(begins.tolist(), [*begins[1:].tolist(), len(pairs)])]
-            yield pa.RecordBatch.from_arrays([pa.array(chunk), pa.array(packed, pa.binary())], ["chunk", "spans"])
-    return placed.select("chunk", "starts", "docs", "counts", "origins").mapInArrow(work, "chunk long, spans binary") \
-        .groupBy("chunk").agg(F.collect_list("spans").alias("spans"))
+            packed = []
+            for group, high in zip(groups, highs):
+                mine, valid = found[group], here[group]
+                useful = ((mine < high[:, None]) & valid).any(axis=1)
+                changes = valid & useful[:, None]
+                changes[:, 1:] &= mine[:, 1:] != mine[:, :-1]
+                per_piece = changes.sum(axis=1)
+                row, col = np.nonzero(changes)
+                stop = np.append(col[1:], 0)
+                stop[np.cumsum(per_piece)[useful] - 1] = (lengths - width + 1)[group][useful]
+                packed.append(_packed(per_piece.astype(np.uint8), (stop - col).astype(np.uint8), mine[row, col]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[c] for r in rows], pa.int64()) for c in ("chunk", "slot", "n")] + [pa.array(packed, pa.binary())],
+                ["chunk", "slot", "n", "packed"])
+    dealt = sent.repartition(parts, "slot").sortWithinPartitions("slot")
+    return dealt.mapInArrow(work, "chunk long, slot long, n long, packed binary").groupBy("chunk").agg(
+        F.collect_list(F.struct("slot", "n", "packed")).alias("origins"))
+
+
+def _removed(c: _Chunk, origins: list, width: int) -> np.ndarray:
+    """Which bytes of a chunk go; its pieces are gathered."""
+    per_piece, counts, least = [np.zeros(0, np.uint8)], [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)]
+    for row in sorted(origins, key=lambda o: o["slot"]):
+        raw, n = _unpacked(row["packed"]), row["n"]
+        per_piece.append(np.frombuffer(raw, np.uint8, n))
+        total = int(per_piece[-1].sum())
+        counts.append(np.frombuffer(raw, np.uint8, total, n))
+        least.append(np.frombuffer(raw, np.int64, total, n + total))
+    stretches, counts, least = np.concatenate(per_piece).astype(np.int64), np.concatenate(counts).astype(np.int64), np.concatenate(least)
+    begin = np.cumsum(stretches) - stretches
+    offset = np.cumsum(counts) - counts
+    offset = offset - np.repeat(offset[np.minimum(begin, max(0, len(offset) - 1))] if len(offset) else begin, stretches)
+    # every place of a piece with every stretch of it: at most ``width`` of these
+    times = stretches[c.piece]
+    place = np.repeat(np.arange(len(times)), times)
+    stretch = begin[c.piece][place] + np.arange(len(place)) - np.repeat(np.cumsum(times) - times, times)
+    gone = least[stretch] < c.owner[place]
+    low = c.place[place[gone]] + offset[stretch[gone]]
+    covered = np.zeros(len(c.data) + 1, np.int32)
+    np.add.at(covered, low, 1)
+    np.add.at(covered, low + counts[stretch[gone]] + width - 1, -1)
+    return np.cumsum(covered[:-1]) > 0
 
 
 def without_repeats(docs: DataFrame, width: int = 50, hot: int = HOT, slot_bytes: int = SLOT_BYTES) -> tuple[DataFrame, Scratch]:
     """((doc_id, n_bytes, removed, kept) per row of ``docs`` (doc_id, text), the tables behind it).
 
     ``removed`` are the maximal stretches of removed bytes (start, end exclusive), ``kept`` the remaining bytes. The frame
-    reads the stored tables; call ``drop()`` on them when it is no longer needed.
+    reads the stored tables; call ``drop()`` on them when it is no longer needed. ``width`` is even, as pairs of bytes
+    are the symbols.
     """
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
     if kind not in ("tinyint", "smallint", "int", "bigint"):
         raise ValueError(f"ids are whole numbers, not {kind}")
-    if not GRAM < width < 128:
-        raise ValueError(f"the width lies between {GRAM} and 128")
+    if not GRAM < width < 128 or width % 2:
+        raise ValueError(f"the width is even and lies between {GRAM} and 128")
     scratch = Scratch(spark, "repeats")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     stored = _store_chunks(docs, scratch)
     total = stored.agg(F.sum("size")).first()[0] or 0
     buckets = max(parts, -(-total // BUCKET_BYTES))
-    cut = scratch.keep(_cut_pieces(stored, _shared_anchors(stored, width, buckets, parts), width, buckets), "zstd")
-    common = cut.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("anchor")
-    common = scratch.keep(common)
-    if not common.isEmpty():
-        cut = cut.join(common, "anchor", "left_anti").select(cut.columns).unionByName(
-            _windows(cut.join(common, "anchor", "left_semi").select(cut.columns), width))
-    slots = max(1, (cut.agg(F.sum("size")).first()[0] or 0) // slot_bytes)
-    origins = scratch.keep(_origins(cut, width, slots, max(parts, min(slots, 100_000)), f"{scratch.folder}/rounds"))
-    spans = scratch.keep(_spans(cut, origins, width))
+    shared = scratch.keep(_shared_anchors(stored, width, buckets, hot, parts))
+    slots = max(1, (shared.agg(F.sum("n")).first()[0] or 0) * (2 * width - GRAM) // slot_bytes)
+    sent = _send_pieces(stored, shared, width, buckets, slots)
+    origins = scratch.keep(_origins(sent, width, max(parts, min(slots, 100_000)), f"{scratch.folder}/rounds"))
 
     def finish(batches):
         for batch in batches:
             for row in batch.to_pylist():
                 c = _Chunk(row["payload"], row["ends"], row["ids"])
+                c.cut(width, buckets)
+                c.gather(row["found"] or [], width, slots)
+                gone = _removed(c, row["origins"] or [], width)
                 size = len(c.data)
-                covered = np.zeros(size + 1, np.int32)
-                pairs = np.frombuffer(b"".join(row["spans"] or []), "<i4").reshape(-1, 2)
-                np.add.at(covered, pairs[:, 0], 1)
-                np.add.at(covered, pairs[:, 1], -1)
-                gone = np.cumsum(covered[:-1]) > 0
                 first = np.zeros(size, bool)
                 lengths = np.diff(c.ends, prepend=0)
                 first[(c.ends - lengths)[lengths > 0]] = True  # removed stretches end with their document
@@ -328,7 +351,8 @@ def without_repeats(docs: DataFrame, width: int = 50, hot: int = HOT, slot_bytes
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(
                         [pa.array(begins - base), pa.array(stops - base)], names=["start", "end"])),
                     pa.array([kept[a:b] for a, b in zip(left[:-1], left[1:])], pa.binary())], ["doc_id", "n_bytes", "removed", "kept"])
-    return stored.select("chunk", "ids", "ends", "payload").join(spans, "chunk", "left").mapInArrow(
+    told = shared.select("chunk", "found").join(origins, "chunk", "left")
+    return stored.select("chunk", "ids", "ends", "payload").join(told, "chunk", "left").mapInArrow(
         finish, f"doc_id {kind}, n_bytes long, removed array<struct<start:bigint,end:bigint>>, kept binary"), scratch
 
 

@@ -9,11 +9,11 @@ import pytest
 from storelens.llm import columnwise, repeats
 
 
-def matrix(strings):
+def matrix(strings, kind=np.uint8):
     lengths = np.array([len(s) for s in strings], np.int64)
-    out = np.zeros((len(strings), int(lengths.max())), np.uint8)
+    out = np.zeros((len(strings), int(lengths.max())), kind)
     for i, s in enumerate(strings):
-        out[i, out.shape[1] - len(s):] = np.frombuffer(s, np.uint8)
+        out[i, out.shape[1] - len(s):] = list(s)
     return out, lengths
 
 
@@ -27,27 +27,35 @@ def common(a, b):
 @pytest.mark.parametrize("seed", range(12))
 def test_transform_against_sorted_suffixes(tmp_path, seed):
     rnd = random.Random(seed)
-    letters, width = rnd.choice([1, 2, 3, 12]), rnd.choice([1, 2, 5])
-    strings = [bytes(rnd.randrange(97, 97 + letters) for _ in range(rnd.randrange(width, 25))) for _ in range(rnd.randrange(1, 70))]
+    letters = [rnd.randrange(0xFFFF) for _ in range(rnd.choice([1, 2, 3, 12]))] + [0x4142, 0x4143][:seed % 3]
+    strings = [tuple(rnd.choice(letters) for _ in range(rnd.randrange(0, 25))) for _ in range(rnd.randrange(1, 70))]
     strings += strings[:5]
-    rows, lengths = matrix(strings)
+    rows, lengths = matrix(strings, np.uint16)
     symbols, prefixes = columnwise.transform(rows, lengths, f"file://{tmp_path}/rounds")
     suffixes = sorted(((s[k:], i) for i, s in enumerate(strings) for k in range(len(s) + 1)), key=lambda x: x[0])
     assert prefixes.tolist() == [0] + [common(a[0], b[0]) for a, b in zip(suffixes, suffixes[1:])]
-    assert sorted(symbols.tolist()) == sorted([*b"".join(strings), *[columnwise.END] * len(strings)])
+    assert sorted(symbols.tolist()) == sorted([*(x for s in strings for x in s), *[columnwise.END] * len(strings)])
     for j, who, at in columnwise.places(symbols, lengths):
         for k, p in zip(who.tolist(), at.tolist()):
             assert suffixes[p][0] == strings[k][len(strings[k]) - j:]
             assert symbols[p] == (strings[k][len(strings[k]) - j - 1] if j < len(strings[k]) else columnwise.END)
+    assert not list((tmp_path / "rounds").iterdir())  # the files of the rounds are gone
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_smallest_owner_of_byte_windows(tmp_path, seed):
+    rnd = random.Random(seed)
+    letters, width = rnd.choice([1, 2, 3, 12]), rnd.choice([2, 4, 6])
+    strings = [bytes(rnd.randrange(97, 97 + letters) for _ in range(rnd.randrange(width, 25))) for _ in range(rnd.randrange(1, 70))]
     owner = np.array([rnd.randrange(50) for _ in strings], np.int64)
     least = {}
     for s, o in zip(strings, owner):
         for k in range(len(s) - width + 1):
             least[s[k:k + width]] = min(least.get(s[k:k + width], 99), o)
+    rows, lengths = matrix(strings)
     found = columnwise.smallest_owner(rows, lengths, owner, width, f"file://{tmp_path}/rounds")
     for i, s in enumerate(strings):
         assert found[i, :len(s) - width + 1].tolist() == [least[s[k:k + width]] for k in range(len(s) - width + 1)]
-    assert not list((tmp_path / "rounds").iterdir())  # the files of the rounds are gone
 
 
 def brute(rows, width):
@@ -82,7 +90,7 @@ def corpus(seed=3):
     return rows
 
 
-@pytest.mark.parametrize("hot", [repeats.HOT, 2])
+@pytest.mark.parametrize("hot", [repeats.HOT, 1])
 def test_removal_against_brute_force(spark, hot):
     rows = corpus()
     docs = spark.createDataFrame([(d, t, 1, b"") for d, t in rows], "doc_id long, text string, chunk int, kept binary").repartition(5)
@@ -96,14 +104,19 @@ def test_removal_against_brute_force(spark, hot):
     assert sum(len(x[2]) for x in got) > 100
 
 
-def test_texts_longer_than_a_chunk(spark, monkeypatch):
+def test_pieces_of_long_texts_are_cut_in_blocks(monkeypatch):
     rnd = random.Random(9)
-    body = "".join(rnd.choice("abcdefgh ") for _ in range(40_000))
-    rows = [(1, body), (2, body[20_000:] + body[:20_000]), (0, body[500:600])]
-    monkeypatch.setattr("storelens.llm.words.CHUNK_BYTES", 1000)
-    found, _ = repeats.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
-    got = sorted((r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.removed], bytes(r.kept)) for r in found.collect())
-    assert got == sorted(brute(rows, 50))
+    texts = ["".join(rnd.choice("ab") for _ in range(n)).encode() for n in (5000, 0, 30, 49, 50, 51, 2500, 999, 1000)]
+    data, ends = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts])
+
+    def windows():
+        start, count, doc, anchor = repeats.pieces(data, ends, 50)
+        return sorted((s + k, d, a) for s, n, d, a in zip(start.tolist(), count.tolist(), doc.tolist(), anchor.tolist()) for k in range(n))
+    whole = windows()
+    assert [(s, d) for s, d, _ in whole] == [(int(ends[d]) - len(t) + k, d) for d, t in enumerate(texts) for k in range(len(t) - 49)]
+    assert len({(bytes(data[s:s + 50]), a) for s, _, a in whole}) == len({bytes(data[s:s + 50]) for s, _, _ in whole})
+    monkeypatch.setattr(repeats, "BLOCK", 700)
+    assert windows() == whole
 
 
 def test_edge_cases(spark):
