@@ -21,7 +21,6 @@ import numpy as np
 
 #: Stands behind the last symbol of a string; no pair of bytes of UTF-8 text has this value.
 END = 0xFFFF
-SYMBOLS = 1 << 16
 
 
 def pairs(strings: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -38,17 +37,20 @@ def pairs(strings: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _smallest(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """The minimum of ``values[begin:end]`` for each pair; pairs of one symbol do not overlap, so this is linear per symbol."""
+    """The minimum of ``values[begin:end]`` for each pair; pairs of one symbol do not overlap, so this is linear per symbol.
+    ``values`` has one entry more than places."""
     if not len(begin):
         return np.zeros(0, np.int64)
-    order = np.argsort(-begin, kind="stable")  # descending, so that what lies between two pairs is not looked at
-    at = np.column_stack((begin[order], end[order])).ravel()
+    order = np.argsort(begin)[::-1]  # descending, so that what lies between two pairs is not looked at
+    at = np.empty(2 * len(order), np.int64)
+    at[::2], at[1::2] = begin[order], end[order]
     out = np.empty(len(begin), np.int64)
-    out[order] = np.minimum.reduceat(np.append(values, np.uint8(255)), at)[::2]
+    out[order] = np.minimum.reduceat(values, at)[::2]
     return out
 
 
-def _next_suffixes(b: np.ndarray, common: np.ndarray, place: np.ndarray, who: np.ndarray, passed: np.ndarray) -> tuple[np.ndarray, ...]:
+def _next_suffixes(b: np.ndarray, common: np.ndarray, place: np.ndarray, who: np.ndarray, passed: np.ndarray,
+                   count: np.ndarray) -> tuple[np.ndarray, ...]:
     """For the suffixes at ``place`` of a segment: (symbol before it, which of these symbols it is, string, common prefixes
     with both neighbours or -1 where these lie in another segment)."""
     order = np.argsort(b, kind="stable")
@@ -56,32 +58,33 @@ def _next_suffixes(b: np.ndarray, common: np.ndarray, place: np.ndarray, who: np
     is_new[place] = True
     index = np.flatnonzero(is_new[order])
     at = order[index]
-    c = b[at]
-    on = c != END
-    index, at, c = index[on], at[on], c[on]
-    by_symbol = b[order]
+    c = b[at].astype(np.int64)
+    if len(c) and c[-1] == len(count) - 1:  # sorted by symbol: strings that have ended stand last
+        on = int(np.searchsorted(c, len(count) - 1))
+        index, at, c = index[:on], at[:on], c[:on]
+    nth = index - (np.cumsum(count) - count)[c]
+    padded = np.append(common, np.uint8(255))
     before, after = np.full(len(at), -1), np.full(len(at), -1)
-    has = np.flatnonzero((index > 0) & (by_symbol[index - 1] == c))
-    before[has] = 1 + _smallest(common, order[index[has] - 1] + 1, at[has] + 1)
-    following = np.minimum(index + 1, len(b) - 1)
-    has = np.flatnonzero((index + 1 < len(b)) & (by_symbol[following] == c))
-    after[has] = 1 + _smallest(common, at[has] + 1, order[index[has] + 1] + 1)
-    c = c.astype(np.int64)
-    nth = passed[c] + index - np.searchsorted(by_symbol, c.astype(np.uint16))
-    return c, nth, who[np.searchsorted(place, at)], before, after
+    has = np.flatnonzero(nth > 0)
+    before[has] = 1 + _smallest(padded, order[index[has] - 1] + 1, at[has] + 1)
+    has = np.flatnonzero(nth + 1 < count[c])
+    after[has] = 1 + _smallest(padded, at[has] + 1, order[index[has] + 1] + 1)
+    return c, passed[c] + nth, who[np.searchsorted(place, at)], before, after
 
 
 class _Inserted:
     """The suffixes to insert next: segment, place in it, string, common prefixes with both neighbours (-1: none behind)."""
 
-    def __init__(self, parts: list[tuple[np.ndarray, ...]], total: np.ndarray):
+    def __init__(self, parts: list[tuple[np.ndarray, ...]], total: np.ndarray, letters: np.ndarray):
         c, nth, who, before, after = (np.concatenate(x) for x in zip(*parts)) if parts else [np.zeros(0, np.int64)] * 5
         smaller = np.cumsum(total) - total
-        place = smaller[c] - smaller[c & 0xFF00] + nth
+        place = smaller[c] + nth
         before = np.where(before >= 0, before, np.where(nth > 0, 1, 0))
         after = np.where(after >= 0, after, np.where(nth + 1 < total[c], 1, -1))
-        order = np.lexsort((place, c >> 8))
-        self.letter, self.place, self.who, self.before, self.after = (x[order] for x in (c >> 8, place, who, before, after))
+        order = np.argsort(place)
+        first = np.searchsorted(letters, letters)  # the first symbol with the same letter
+        self.letter, self.place = letters[c[order]], (place - smaller[first[c]])[order]
+        self.who, self.before, self.after = who[order], before[order], after[order]
 
 
 def transform(strings: np.ndarray, lengths: np.ndarray, folder: str) -> tuple[np.ndarray, np.ndarray]:
@@ -98,11 +101,15 @@ def transform(strings: np.ndarray, lengths: np.ndarray, folder: str) -> tuple[np
         raise ValueError("strings of at most 254 symbols, please")
     columns = np.full((width + 1, m), END, np.uint16)  # by round
     columns[:width] = np.where(np.arange(width)[:, None] < lengths[None, :], strings[:, ::-1].T, END)
+    alphabet = np.union1d(np.flatnonzero(np.bincount(columns.ravel(), minlength=END + 1)), [END])
+    codes = np.zeros(END + 1, np.uint16)
+    codes[alphabet] = np.arange(len(alphabet))
+    columns, letters, symbols = codes[columns], (alphabet[:-1] >> 8).astype(np.int64), len(alphabet)
     own = f"{root}/{uuid.uuid4().hex}"
     everyone = np.arange(m)
     empty, none = columns[0].copy(), np.zeros(m, np.uint8)
-    first = np.bincount(empty, minlength=SYMBOLS)
-    new = _Inserted([_next_suffixes(empty, none, everyone, everyone, np.zeros(SYMBOLS, np.int64))], first)
+    first = np.bincount(empty, minlength=symbols)
+    new = _Inserted([_next_suffixes(empty, none, everyone, everyone, np.zeros(symbols, np.int64), first)], first, letters)
     sizes: dict[int, int] = {}  # of the segments, without the first one of the empty suffixes
     j = 0
     try:
@@ -127,22 +134,24 @@ def transform(strings: np.ndarray, lengths: np.ndarray, folder: str) -> tuple[np
                         b[place], common[place] = columns[j][who], new.before[low:high]
                         follows = after >= 0
                         common[place[follows] + 1] = after[follows]
-                        found.append(_next_suffixes(b, common, place, who, passed))
-                    out.write(b.tobytes())
-                    out.write(common.tobytes())
-                    passed += np.bincount(b, minlength=SYMBOLS)
+                    count = np.bincount(b, minlength=symbols)
+                    if high > low:
+                        found.append(_next_suffixes(b, common, place, who, passed, count))
+                    out.write(b)
+                    out.write(common)
+                    passed += count
                     grown[letter] = len(b)
             if reader is not None:
                 reader.close()
                 files.delete_file(f"{own}-{j - 1}")
-            sizes, new = grown, _Inserted(found, passed)
-        symbols, prefixes = [empty], [none]
+            sizes, new = grown, _Inserted(found, passed, letters)
+        made, prefixes = [empty], [none]
         if sizes:
             with files.open_input_stream(f"{own}-{j}") as reader:
                 for letter in sorted(sizes):
-                    symbols.append(np.frombuffer(reader.read(2 * sizes[letter]), np.uint16))
+                    made.append(np.frombuffer(reader.read(2 * sizes[letter]), np.uint16))
                     prefixes.append(np.frombuffer(reader.read(sizes[letter]), np.uint8))
-        return np.concatenate(symbols), np.concatenate(prefixes)
+        return alphabet.astype(np.uint16)[np.concatenate(made)], np.concatenate(prefixes)
     finally:
         for k in (j - 1, j):
             if files.get_file_info(f"{own}-{k}").type != fs.FileType.NotFound:
@@ -153,7 +162,7 @@ def places(symbols: np.ndarray, lengths: np.ndarray):
     """Walks the transform from the empty suffixes: yields (j, strings, places) of the suffixes of j symbols."""
     m = len(lengths)
     order = np.argsort(symbols, kind="stable")
-    to = np.empty(len(symbols), np.int64)
+    to = np.empty(len(symbols), np.int32 if len(symbols) < 1 << 30 else np.int64)
     to[order] = m + np.arange(len(symbols))
     at = np.arange(m)
     who = np.arange(m)

@@ -41,7 +41,7 @@ from .words import chunks, mix
 GRAM = 24
 BLOCK = 1 << 22
 BUCKET_BYTES = 256_000_000
-SLOT_BYTES = 16_000_000
+SLOT_BYTES = 20_000_000
 HOT = 2_000
 SHORT = np.uint64(0xFFFFFFFF)
 
