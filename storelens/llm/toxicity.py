@@ -7,13 +7,13 @@ smoothed alike in both and its class evidence comes from what was seen. Both lik
 length; the score is a logistic curve over the difference of the two, for the whole text and for its most suspicious
 passage of ``PASSAGE`` words, since a long text may be toxic in one place.
 
-Labels may be learnt from a bounded sample: about ``SAMPLE`` labelled rows, drawn by a hash of the id. The model's size
-is bounded by it. Three quarters of the sample give the counts and the last quarter the curve. Every text is
+Labels may be learnt from a bounded sample: about ``SAMPLE`` labelled ids, drawn by a hash of the id, whatever the
+number of labels of one id. The model's size is bounded by it. Three quarters of the sample give the counts and the last quarter the curve. Every text is
 scored whole; a word's evidence is computed once per slice of texts.
 
 Defined results: null and empty texts have no evidence and get the score of a difference of zero; rows labelled null
 or not 0 or 1 are not learnt from, several labels of one id count each; with labels of one class or none the score is
-that class's or 0; an empty table gives no rows.
+that class's or 0; rows without an id are not held out; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -131,15 +131,19 @@ def text_evidence(model: KneserNey, texts: pa.Array) -> np.ndarray:
 class Curve:
     """A logistic curve over the evidence, fitted by Newton steps with a small ridge."""
 
-    def __init__(self, evidence: np.ndarray, labels: np.ndarray):
+    def __init__(self, evidence: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray):
+        """``toxic`` and ``ordinary``: how many labels of either class a row has."""
         self.weights = np.zeros(evidence.shape[1] + 1)
-        self.center = evidence.mean(axis=0) if len(evidence) else np.zeros(evidence.shape[1])
-        self.scale = np.maximum(evidence.std(axis=0), 1e-9) if len(evidence) else np.ones(evidence.shape[1])
+        times = toxic + ordinary
+        some = bool(times.sum())
+        self.center = np.average(evidence, axis=0, weights=times) if some else np.zeros(evidence.shape[1])
+        spread = np.sqrt(np.average((evidence - self.center) ** 2, axis=0, weights=times)) if some else np.ones(evidence.shape[1])
+        self.scale = np.maximum(spread, 1e-9)
         x = self._features(evidence)
         for _ in range(30):
             p = 1 / (1 + np.exp(-np.clip(x @ self.weights, -30, 30)))
-            slope = x.T @ (labels - p) - 1e-3 * self.weights
-            bend = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(x.shape[1])
+            slope = x.T @ (toxic - p * times) - 1e-3 * self.weights
+            bend = (x * (times * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(x.shape[1])
             self.weights = self.weights + np.clip(np.linalg.solve(bend, slope), -5, 5)
 
     def _features(self, evidence: np.ndarray) -> np.ndarray:
@@ -154,38 +158,39 @@ def remainder(doc_id: Column, by: int) -> Column:
 
 
 def sampled(labels: DataFrame, bound: int) -> DataFrame:
-    """(doc_id, toxic) of about ``bound`` usable labelled rows, by a hash of the id; all where there are fewer."""
+    """(doc_id, n0, n1): the labels of about ``bound`` ids, drawn by a hash of the id; all where there are fewer."""
     usable = labels.where("toxic in (0, 1) and doc_id is not null").select("doc_id", "toxic")
-    n = usable.count()
-    share = min(1.0, bound / max(1, n))
-    return usable.where(F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    ids = usable.select("doc_id").distinct().count()
+    below = min(2 ** 63 - 1, (bound << 64) // max(1, ids) - 2 ** 63)  # of all 64-bit hashes, the share of the bound
+    return usable.where(F.xxhash64(F.lit(11), "doc_id") <= F.lit(below)).groupBy("doc_id").agg(
+        F.count_if(F.col("toxic") == 0).alias("n0"), F.count_if(F.col("toxic") == 1).alias("n1"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, order: int = ORDER, bound: int = SAMPLE) -> tuple[KneserNey | None, Curve | float]:
     """Models from ``labels`` (doc_id, toxic) of ``docs`` (doc_id, text); of one class alone, its constant score."""
     spark = docs.sparkSession
     chosen = checkpointed(sampled(labels, bound))
-    share = {r["toxic"]: r["count"] for r in chosen.groupBy("toxic").count().collect()}
-    if len(share) < 2:
-        return None, float(next(iter(share), 0))
-    if sum(share.values()) > 2 * bound:  # the draw's bound is what makes it fit to be sent to every task
-        raise RuntimeError(f"{sum(share.values())} sampled rows, more than twice the bound of {bound}")
+    ids, n0, n1 = chosen.agg(F.count("*"), F.coalesce(F.sum("n0"), F.lit(0)), F.coalesce(F.sum("n1"), F.lit(0))).first()
+    if not n0 or not n1:
+        return None, 1.0 if n1 else 0.0
+    if ids > 2 * bound:  # the draw's bound is what makes it fit to be sent to every task
+        raise RuntimeError(f"{ids} sampled ids, more than twice the bound of {bound}")
     texts = checkpointed(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select(
-        "text", "toxic", (F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(4)) == 0).alias("for_curve")))
+        "text", "n0", "n1", (F.pmod(F.xxhash64(F.lit(12), "doc_id"), F.lit(4)) == 0).alias("for_curve")))
 
     def count(batches):
         for batch in batches:
             for part in chunks(batch, "text"):
                 words = Words(part.column("text"), "unicode", APART)
-                label = np.repeat(part.column("toxic").to_numpy(zero_copy_only=False), words.lengths())
-                times = np.stack([np.bincount(words.codes[label == y], minlength=len(words.vocabulary)) for y in range(2)], axis=1)
+                labels_of = [np.repeat(part.column(c).to_numpy(), words.lengths()) for c in ("n0", "n1")]
+                times = np.stack([np.bincount(words.codes, n, len(words.vocabulary)) for n in labels_of], axis=1)
                 windows, sizes = letters(words.vocabulary, order)
                 per = times[np.repeat(np.arange(len(sizes)), sizes)]
                 keys, first, inverse = np.unique(code(windows), return_index=True, return_inverse=True)
                 sums = [np.bincount(inverse, per[:, y], len(keys)).astype(np.int64) for y in range(2)]
                 yield pa.RecordBatch.from_arrays([pa.array(list(windows[first].astype(np.int32)), pa.list_(pa.int32())),
                                                   pa.array(sums[0]), pa.array(sums[1])], ["letters", "n0", "n1"])
-    counted = texts.where("not for_curve").select("text", "toxic").mapInArrow(count, "letters array<int>, n0 long, n1 long")
+    counted = texts.where("not for_curve").select("text", "n0", "n1").mapInArrow(count, "letters array<int>, n0 long, n1 long")
     table = counted.groupBy("letters").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).where("n0 + n1 > 0").orderBy("letters").toArrow()
     windows = table.column("letters").combine_chunks().flatten().to_numpy().astype(np.uint32).reshape(-1, order)
     model = KneserNey(windows, np.stack([table.column(c).to_numpy() for c in ("n0", "n1")], axis=1))
@@ -195,10 +200,11 @@ def fit(docs: DataFrame, labels: DataFrame, order: int = ORDER, bound: int = SAM
         for batch in batches:
             for part in chunks(batch, "text"):
                 found = text_evidence(shared.value, part.column("text"))
-                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1]), part.column("toxic")], ["e0", "e1", "toxic"])
-    seen = texts.where("for_curve").select("text", "toxic").mapInArrow(measure, "e0 double, e1 double, toxic int").orderBy("e0", "e1", "toxic").toArrow()
+                yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1]), part.column("n0"), part.column("n1")], ["e0", "e1", "n0", "n1"])
+    seen = texts.where("for_curve").select("text", "n0", "n1").mapInArrow(
+        measure, "e0 double, e1 double, n0 long, n1 long").orderBy("e0", "e1", "n0", "n1").toArrow()
     evidence = np.stack([seen.column(c).to_numpy() for c in ("e0", "e1")], axis=1)
-    return model, Curve(evidence, seen.column("toxic").to_numpy().astype(float))
+    return model, Curve(evidence, *[seen.column(c).to_numpy().astype(float) for c in ("n1", "n0")])
 
 
 def scored(docs: DataFrame, model: KneserNey | None, curve: Curve | float) -> DataFrame:
@@ -240,5 +246,5 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model, curve = fit(docs, learnable(spark.read.parquet(f"{sf_dir}/labels.parquet")))
     return scored(docs, model, curve).select(
-        "doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score",
+        "doc_id", F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "score",
         F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))

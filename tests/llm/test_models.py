@@ -9,9 +9,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from storelens.llm import pii, ppm, toxicity
 from pyspark.sql import functions as F
 
+from storelens.llm import pii, ppm, toxicity
+
 INSULTS = ["grumbol", "snirtok", "blaffen"]
 
 
@@ -62,6 +63,20 @@ def test_toxicity_without_two_classes(spark):
     assert toxicity.scored(docs.limit(0), None, 0.0).count() == 0
 
 
+def test_many_labels_of_one_id(spark):
+    docs, labels = labelled(600)
+    frame = spark.createDataFrame(docs, DOCS).repartition(3)
+    # one id with far more labels than the bound has ids, for and against
+    crowd = spark.range(3000).select(F.lit(5).cast("long").alias("doc_id"), (F.col("id") % 3 > 0).cast("int").alias("toxic"))
+    truth = spark.createDataFrame(labels, "doc_id long, toxic int").unionByName(crowd)
+    chosen = {r.doc_id: (r.n0, r.n1) for r in toxicity.sampled(truth, 1000).collect()}
+    assert len(chosen) == 600 and chosen[5] == (1000 + (labels[5][1] == 0), 2000 + (labels[5][1] == 1))
+    assert 200 < toxicity.sampled(truth, 300).count() < 400 and toxicity.sampled(truth, 1).count() < 10
+    model, curve = toxicity.fit(frame, truth, bound=1000)
+    scores = {r.doc_id: r.score for r in toxicity.scored(frame, model, curve).collect()}
+    assert np.mean([(scores[i] >= 0.3) == y for i, y in labels if i != 5]) > 0.8  # one id has five sixths of all labels
+
+
 def test_kneser_ney_is_a_distribution():
     words = ["abba", "ab", "baab", "bab"]
     windows, sizes = toxicity.letters(words, 3)
