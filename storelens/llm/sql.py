@@ -49,14 +49,17 @@ def _fits(rule) -> str:
 
 
 def _spread(name: str, seed: str, src: str, dst: str, damping: float, steps: int) -> str:
-    """CTEs ``<name>0`` to ``<name><steps>``: masses from ``seed`` along the edges."""
-    flows = (f"{name}_flows AS (SELECT {src} AS src, {dst} AS dst, CAST({damping} AS DOUBLE) * n"
-             f" / sum(n) OVER (PARTITION BY {src}) AS part FROM edges)")
-    out = [flows, f"{name}0 AS (SELECT host, {seed} AS mass FROM seeds WHERE {seed} > 0)"]
+    """CTEs ``<name>0`` to ``<name><steps>``: masses from ``seed`` along the edges, and what could have arrived (room)."""
+    out = [f"""{name}_flows AS (SELECT {src} AS src, {dst} AS dst, CAST({damping} AS DOUBLE) * n
+                / sum(n) OVER (PARTITION BY {src}) AS part FROM edges)""",
+           f"""{name}0 AS (SELECT host, {seed} AS mass, CAST({UNIT} AS BIGINT) AS room FROM seeds WHERE {seed} IS NOT NULL
+                UNION ALL SELECT DISTINCT {src}, CAST(0 AS BIGINT), CAST({UNIT} AS BIGINT) FROM edges
+                WHERE {src} NOT IN (SELECT {dst} FROM edges) AND {src} NOT IN (SELECT host FROM seeds WHERE {seed} IS NOT NULL))"""]
     for k in range(steps):
-        out.append(f"""{name}{k + 1} AS (SELECT host, CAST(sum(mass) AS BIGINT) AS mass FROM (
-            SELECT dst AS host, CAST(floor(part * mass) AS BIGINT) AS mass FROM {name}_flows JOIN {name}{k} ON src = host
-            UNION ALL SELECT host, mass FROM {name}0) GROUP BY host)""")
+        out.append(f"""{name}{k + 1} AS (SELECT host, CAST(sum(mass) AS BIGINT) AS mass, CAST(sum(room) AS BIGINT) AS room FROM (
+            SELECT dst AS host, CAST(floor(part * mass) AS BIGINT) AS mass, CAST(floor(part * room) AS BIGINT) AS room
+            FROM {name}_flows JOIN {name}{k} ON src = host
+            UNION ALL SELECT host, mass, room FROM {name}0) GROUP BY host)""")
     return ",\n        ".join(out)
 
 
@@ -71,8 +74,10 @@ def url_filters(rules=RULES, damping: float = 0.85, steps: int = 16, block_at: f
     WITH h AS (SELECT page_id, html, {host.format("coalesce(url, '')")} AS host,
                       regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
         d AS (SELECT *, CASE {rule} END AS rule, CASE {allows} END AS allows FROM h),
-        seeds AS (SELECT host, CAST(floor(count_if(allows) * CAST({UNIT} AS DOUBLE) / count(*)) AS BIGINT) AS trust,
-                         CAST(floor(count_if(NOT allows) * CAST({UNIT} AS DOUBLE) / count(*)) AS BIGINT) AS distrust
+        seeds AS (SELECT host, CASE WHEN count(allows) > 0 THEN
+                             CAST(floor(count_if(allows) * CAST({UNIT} AS DOUBLE) / count(*)) AS BIGINT) END AS trust,
+                         CASE WHEN count(allows) > 0 THEN
+                             CAST(floor(count_if(NOT allows) * CAST({UNIT} AS DOUBLE) / count(*)) AS BIGINT) END AS distrust
                   FROM d GROUP BY host),
         links AS (SELECT host AS src, unnest(list_distinct(list_transform(
                       regexp_extract_all(coalesce(html, ''), '{link}', 1), lambda l: {linked}))) AS dst FROM d),
@@ -80,7 +85,8 @@ def url_filters(rules=RULES, damping: float = 0.85, steps: int = 16, block_at: f
         {_spread('t', 'trust', 'src', 'dst', damping, steps)},
         {_spread('b', 'distrust', 'dst', 'src', damping, steps)},
         bad AS (SELECT b{steps}.host FROM b{steps} LEFT JOIN t{steps} ON b{steps}.host = t{steps}.host
-                WHERE b{steps}.mass >= {int(block_at * UNIT)} AND b{steps}.mass > coalesce(t{steps}.mass, 0))
+                WHERE b{steps}.mass > 0 AND b{steps}.mass / b{steps}.room >= {block_at}
+                  AND b{steps}.mass / b{steps}.room > coalesce(t{steps}.mass / t{steps}.room, 0))
     SELECT page_id, host, path, rule,
            CASE WHEN coalesce(allows, host NOT IN (SELECT host FROM bad)) THEN 'allow' ELSE 'block' END AS verdict
     FROM d"""

@@ -1,12 +1,16 @@
-"""URL filters: explicit rules first, then trust and distrust spread over the host graph.
+"""URL filters: explicit rules first, then personalised PageRank over the host graph.
 
 A host's trust seed is the share of its pages that rules allow, its distrust seed the share they block. Trust follows
 links, distrust follows them backwards: who links to blocked hosts becomes suspect. Edges are the distinct pairs of
-hosts with the number of linking pages. What a host receives is the damped mean over its own edges (distrust over the
-hosts it links to, trust over those that link to it), and counts for the share of its pages that the seed leaves open.
-So both stay between 0 and 1 and compare between hosts of any size and number of links. Masses are whole numbers,
-each contribution rounded down, so sums do not depend on the order of rows and a retried task changes nothing. A page
-no rule fits is blocked if its host's distrust reaches ``block_at`` and exceeds its trust.
+hosts with the number of linking pages; in every round a host deals its damped mass out over its edges. How much mass
+arrives depends on how many others share in it, so it is compared with what could have arrived: the same spread from
+the hosts where something may originate, each with a full seed. These are the hosts that rules judge and those at the
+end of the direction (for distrust hosts that link to no other, for trust hosts that no other links to). The share of
+it that did arrive lies between 0 and 1: of the flow that ends in a host, how much comes from blocked (or allowed) pages.
+A page no rule fits is blocked if its host's share of distrust reaches ``block_at`` and exceeds that of trust.
+
+Masses are whole numbers, each contribution rounded down, so sums do not depend on the order of rows and a retried task
+changes nothing.
 
 Only built-in expressions run. Defined results: null urls and urls without ``://`` have an empty host and path, which
 no rule fits, and are allowed; null html has no links; links to other protocols, relative links and links within a
@@ -22,6 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.joins import join_dimension
 from ..functions.materialize import checkpointed
 
 UNIT = 10 ** 12
@@ -79,54 +84,66 @@ def host_edges(pages: DataFrame) -> DataFrame:
         .where("src <> dst and src <> '' and dst <> ''").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def spread(seeds: DataFrame, edges: DataFrame, damping: float, steps: int, mean: bool = False) -> DataFrame:
-    """(host, mass) after ``steps`` rounds from ``seeds`` (host, seed) along ``edges`` (src, dst, n).
+def spread(seeds: DataFrame, edges: DataFrame, damping: float, steps: int) -> DataFrame:
+    """(host, mass) after ``steps`` rounds from ``seeds`` (host, seed) along ``edges`` (src, dst, n)."""
+    return spread_all(seeds, edges, damping, steps).withColumnRenamed("seed", "mass")
+
 
-    A host deals its mass out over its edges (personalised PageRank), or with ``mean`` receives the mean over its edges
-    for what its seed leaves open. A hub's edges all need its mass; the join's larger side is the edges, which
-    adaptive execution splits.
+def spread_all(seeds: DataFrame, edges: DataFrame, damping: float, steps: int) -> DataFrame:
+    """``seeds`` (host and any columns of masses) after ``steps`` rounds of personalised PageRank, each column by itself.
+
+    A host deals its mass out over its edges. A hub's edges all need its mass; the join's larger side is the edges,
+    which adaptive execution splits.
     """
-    end = "dst" if mean else "src"
-    part = F.lit(damping) * F.col("n") / F.col("all_n")
-    flows = edges.join(edges.groupBy(end).agg(F.sum("n").alias("all_n")), end)
-    if mean:
-        flows = flows.join(seeds.select(F.col("host").alias("dst"), "seed"), "dst", "left")
-        part = part * (1 - F.coalesce("seed", F.lit(0)) / F.lit(float(UNIT)))
-    flows = checkpointed(flows.select("src", "dst", part.alias("part")))
-    mass = seeds.select("host", F.col("seed").alias("mass"))
+    columns = [c for c in seeds.columns if c != "host"]
+    flows = edges.join(edges.groupBy("src").agg(F.sum("n").alias("all_n")), "src")
+    flows = checkpointed(flows.select("src", "dst", (F.lit(damping) * F.col("n") / F.col("all_n")).alias("part")))
+    mass = seeds
     for step in range(steps):
         sent = flows.join(mass, flows["src"] == mass["host"]).select(
-            F.col("dst").alias("host"), F.floor(F.col("part") * F.col("mass")).alias("mass"))
-        mass = sent.unionByName(seeds.select("host", F.col("seed").alias("mass"))).groupBy("host").agg(F.sum("mass").alias("mass"))
+            F.col("dst").alias("host"), *[F.floor(F.col("part") * F.col(c)).alias(c) for c in columns])
+        mass = sent.unionByName(seeds).groupBy("host").agg(*[F.sum(c).alias(c) for c in columns])
         if step % 4 == 3:
             mass = checkpointed(mass)
     return mass
 
 
+def received(seeds: DataFrame, edges: DataFrame, column: str, damping: float, steps: int) -> DataFrame:
+    """(host, ``column``): the share of the mass that could have arrived at a host that came from the seeds of ``column``.
+
+    ``seeds`` has a row per host with pages and null masses where no rule judges any of them; along ``edges`` mass may
+    originate there and wherever no edge ends.
+    """
+    full = F.lit(UNIT).cast("long")
+    judged_hosts = seeds.where(f"{column} is not null").select("host", F.col(column).alias("mass"), full.alias("room"))
+    ends = edges.select(F.col("src").alias("host")).distinct().join(edges.select(F.col("dst").alias("host")).distinct(), "host", "left_anti")
+    ends = ends.join(judged_hosts.select("host"), "host", "left_anti").select("host", F.lit(0).cast("long").alias("mass"), full.alias("room"))
+    arrived = spread_all(checkpointed(judged_hosts.unionByName(ends)), edges, damping, steps)
+    return arrived.where("mass > 0").select("host", (F.col("mass") / F.col("room")).alias(column))
+
+
 def judge(pages: DataFrame, rules: Sequence[Rule], damping: float = 0.85, steps: int = 16, block_at: float = 0.5) -> DataFrame:
     """(page_id, host, path, rule, verdict) of each page."""
     found = decided(pages.select("page_id", "url", "html"), rules)
     narrow = checkpointed(found.select("page_id", "host", "path", "rule", "rule_allows"))
     hosts = narrow.groupBy("host").agg(
         F.count("*").alias("n"), F.count_if("rule_allows").alias("allowed"), F.count_if(~F.col("rule_allows")).alias("blocked"))
-    seeds = checkpointed(hosts.select("host", F.floor(F.col("allowed") * F.lit(float(UNIT)) / F.col("n")).alias("trust"),
-                                      F.floor(F.col("blocked") * F.lit(float(UNIT)) / F.col("n")).alias("distrust")))
+    ruled = F.col("allowed") + F.col("blocked") > 0
+    seeds = checkpointed(hosts.select("host", *[F.when(ruled, F.floor(F.col(c) * F.lit(float(UNIT)) / F.col("n"))).alias(name)
+                                                for c, name in (("allowed", "trust"), ("blocked", "distrust"))]))
     edges = checkpointed(host_edges(found))
-    trust, distrust = (seeds.where(F.col(c) > 0).select("host", F.col(c).alias("seed")) for c in ("trust", "distrust"))
-    if edges.isEmpty():  # no link leaves its host: nothing spreads
-        trust, distrust = (s.withColumnRenamed("seed", "mass") for s in (trust, distrust))
+    if edges.isEmpty():  # no link leaves its host: what could arrive is a full seed of one's own
+        shares = seeds.where("trust is not null").select("host", *[(F.col(c) / F.lit(float(UNIT))).alias(c) for c in ("trust", "distrust")])
     else:
-        trust = spread(trust, edges, damping, steps, mean=True)
-        distrust = spread(distrust, edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n"), damping, steps,
-                          mean=True)
-    masses = trust.select("host", F.col("mass").alias("trust"), F.lit(0).cast("long").alias("distrust")).unionByName(
-        distrust.select("host", F.lit(0).cast("long").alias("trust"), F.col("mass").alias("distrust")))
-    blocked = masses.groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")) \
-        .where((F.col("distrust") >= int(block_at * UNIT)) & (F.col("distrust") > F.col("trust"))) \
-        .select(F.col("host").alias("blocked_host"))
-    return narrow.join(blocked, narrow["host"] == blocked["blocked_host"], "left").select(
-        "page_id", "host", "path", "rule",
-        F.when(F.coalesce("rule_allows", F.col("blocked_host").isNull()), "allow").otherwise("block").alias("verdict"))
+        trust = received(seeds, edges, "trust", damping, steps)
+        back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "n")
+        shares = received(seeds, back, "distrust", damping, steps).join(trust, "host", "left")
+    blocked = shares.where((F.col("distrust") >= block_at) & (F.col("distrust") > F.coalesce("trust", F.lit(0.0)))).select(
+        "host", F.lit(True).alias("is_blocked"))
+    # a host may have a third of all pages, and nobody knows how many hosts are blocked: counted there
+    marked = join_dimension(narrow, blocked, ["host"])
+    return marked.select("page_id", "host", "path", "rule",
+                         F.when(F.coalesce("rule_allows", F.col("is_blocked").isNull()), "allow").otherwise("block").alias("verdict"))
 
 
 RULES = tuple(map(Rule.parse, (

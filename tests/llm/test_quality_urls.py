@@ -3,7 +3,7 @@
 import random
 import re
 
-from storelens.llm import quality, urls
+from storelens.llm import quality, sql, urls
 
 BAD = "!! ".join(["WORTH", "NOTHING"] * 60)
 
@@ -158,3 +158,34 @@ def test_linkers_of_a_blocked_host_are_blocked_whatever_their_number(spark):
     found = {r.host: r.verdict for r in urls.judge(pages, rules).collect() if r.rule is None}
     assert {h for h, v in found.items() if v == "block"} == {f"shill{i}.net" for i in range(300)} | {"farm.net"}
     assert {h for h, v in found.items() if v == "allow"} == {"some.net", "part.net", "liked.net", "ring0.net", "ring1.net"}
+
+
+def linked_pages(seed=1):
+    rnd = random.Random(seed)
+    link = '<a href="http://{}/p">t</a>'.format
+    hosts = [f"h{i}.{tld}" for i in range(120) for tld in ("net", "com", "org")]
+    rows = []
+    for h in hosts:
+        for k in range(rnd.randrange(1, 6)):
+            path = rnd.choice(["/fr/1", "/de/1", "/x", "/es/1", "/"])
+            out = [rnd.choice(hosts) for _ in range(rnd.randrange(0, 5))] + [h] * (k == 0)
+            rows.append((f"http://{h}{path}", "".join(map(link, out)) + link(f"never-seen{rnd.randrange(40)}.info") * rnd.randrange(2)))
+    rows += [(f"http://spoke{i}.info/", link("hub.com")) for i in range(300)] + [("http://hub.com/de/1", ""), ("http://farm.info/1", link("spoke7.info"))]
+    rows += [(f"http://ring{i}.info/", link(f"ring{(i + 1) % 4}.info") + link("hub.com") * (i == 0)) for i in range(4)]
+    rows += [("http://portal.info/", "".join(link(h) for h in hosts)), (None, link("hub.com")), ("http://lone.com/de/1", None), ("http://lone.com/x", "")]
+    return rows + rows[:3]
+
+
+def test_spread_equals_its_sql_on_linked_pages(spark, tmp_path):
+    import duckdb
+    rows = linked_pages()
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string").repartition(5)
+    pages.write.parquet(str(tmp_path / "pages"))
+    found = {r.page_id: tuple(r) for r in urls.judge(spark.read.parquet(str(tmp_path / "pages")), urls.RULES).collect()}
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS FROM '{tmp_path}/pages/*.parquet'")
+    want = {r[0]: r for r in con.sql(sql.url_filters()).fetchall()}
+    assert found == want
+    spread_only = {r[1] for r in want.values() if r[3] is None and r[4] == "block"}
+    assert {f"spoke{i}.info" for i in range(300)} | {"farm.info"} <= spread_only and "portal.info" not in spread_only
+    assert {f"ring{i}.info" for i in range(4)} <= spread_only and found[len(rows) - 4][4] == "block"  # half of the lone host's pages
