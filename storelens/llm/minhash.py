@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .graph import Sets, components, runs
+from .rows import absent_name, content_key
 from .scratch import kept
 from .words import chunks, mix, shingle_sets
 
@@ -96,7 +97,7 @@ def _table(column: pa.ChunkedArray | pa.Array, n: int) -> np.ndarray:
 
 
 class Similar:
-    """One run over documents (doc_id, text): ``width``-word shingles, links from ``percent`` per hundred on."""
+    """One run over documents (doc_id of any ordered type, text): ``width``-word shingles, links from ``percent`` per hundred on."""
 
     def __init__(self, docs: DataFrame, width: int, percent: int, bands: int = BANDS, rows: int = ROWS,
                  miss: float = MISS, block: int = BLOCK):
@@ -104,6 +105,7 @@ class Similar:
         self.n, self.rows = bands * rows, rows
         self.bounds = least_matches(percent / 100, self.n, STEP, miss)
         self.docs = docs.select("doc_id", "text")
+        self.kind = docs.schema["doc_id"].dataType.simpleString()
         self.parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         n = self.n
 
@@ -126,7 +128,7 @@ class Similar:
                         pa.array([keys[i] if i >= 0 else None for i in at], pa.list_(pa.int64()))],
                         ["doc_id", "n_shingles", "k1", "k2", "signature", "bands"])
         self.features = kept(self.docs.mapInArrow(
-            features, "doc_id long, n_shingles long, k1 long, k2 long, signature binary, bands array<long>"))
+            features, f"doc_id {self.kind}, n_shingles long, k1 long, k2 long, signature binary, bands array<long>"))
 
     def run(self) -> DataFrame:
         """(doc_id, n_shingles, component_id, kept) per document."""
@@ -179,7 +181,7 @@ class Similar:
                         pa.array([s.tobytes() for s in sets], pa.binary())], ["cls", "k1", "own", "shingles"])
         wanted = self.signed.select("cls", "k1")
         found = self.docs.join(wanted, F.col("doc_id") == F.col("cls")).select("cls", "k1", "text").mapInArrow(
-            full, "cls long, k1 long, own long, shingles binary").where("k1 = own")  # another row's text under the id
+            full, f"cls {self.kind}, k1 long, own long, shingles binary").where("k1 = own")  # another row's text under the id
         self.sets = kept(found.dropDuplicates(["cls"]).select("cls", "shingles"))
 
     def _pruned(self, pairs: DataFrame) -> DataFrame:
@@ -196,7 +198,7 @@ class Similar:
         right = s.select(F.col("cls").alias("b"), F.col("n_shingles").alias("n2"), F.col("signature").alias("s2"))
         sized = 100 * F.least("n1", "n2") >= self.percent * F.greatest("n1", "n2")
         both = kept(pairs).join(left, "a").join(right, "b").where(sized)
-        return kept(both.select("a", "b", "s1", "s2").mapInArrow(test, "a long, b long"))
+        return kept(both.select("a", "b", "s1", "s2").mapInArrow(test, f"a {self.kind}, b {self.kind}"))
 
     def _verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose full sets reach the threshold."""
@@ -213,7 +215,7 @@ class Similar:
         x = self.sets.select(F.col("cls").alias("a"), F.col("shingles").alias("x"))
         y = self.sets.select(F.col("cls").alias("b"), F.col("shingles").alias("y"))
         return kept(pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(
-            compare, "a long, b long"))
+            compare, f"a {self.kind}, b {self.kind}"))
 
     def _labelled(self, roots: DataFrame) -> DataFrame:
         return self.members.select("cls", "band", "band_no", "n_shingles").join(
@@ -251,7 +253,11 @@ class Similar:
                 li, ri = np.flatnonzero(outside), np.flatnonzero(~outside)
                 if not len(li) or not len(ri):
                     continue
-                cls, comp, big, size = (t.column(c).to_numpy() for c in ("cls", "component", "big", "n_shingles"))
+                size = t.column("n_shingles").to_numpy()
+                # ids of any type as numbers in their order
+                cls = np.unique(t.column("cls").to_numpy(zero_copy_only=False), return_inverse=True)[1]
+                both_ids = np.concatenate([t.column(c).to_numpy(zero_copy_only=False) for c in ("component", "big")])
+                comp, big = np.split(np.unique(both_ids, return_inverse=True)[1], 2)
                 allowed = comp[li][:, None] != comp[ri][None, :]
                 least = np.minimum(size[li][:, None], size[ri][None, :])
                 allowed &= 100 * least >= percent * np.maximum(size[li][:, None], size[ri][None, :])
@@ -281,11 +287,12 @@ class Similar:
                     both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
                     if 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
                         met.join(of[x], of[y])
-                        a.append(cls[x])
-                        b.append(cls[y])
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                        a.append(x)
+                        b.append(y)
+                ids = t.column("cls").combine_chunks()
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(a, pa.int64())), ids.take(pa.array(b, pa.int64()))], ["a", "b"])
         dealt = outside.unionByName(everyone).repartition(self.parts, "band", "lc", "rc").sortWithinPartitions("band", "lc", "rc")
-        return dealt.mapInArrow(meet, "a long, b long")
+        return dealt.mapInArrow(meet, f"a {self.kind}, b {self.kind}")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -294,19 +301,21 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 
 def deduplicated(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` with one document of each component, that of the smallest id.
+    """The rows of ``docs`` with one document of each component: that of the smallest id, one without an id only where
+    no other is in it.
 
-    Rows that share id and text are one document, other texts under the id are documents of their own; rows without an
-    id stay.
+    Ids play no further part: rows that share id and text, or have no id and share the text, are one document, other
+    texts under an id are documents of their own. Texts without words are in no component; of equal rows among them one
+    stays.
     """
-    own = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text"))
-    keyed = docs.select("doc_id", own.alias("own"))
-    parts = near_duplicates(docs.select(own.alias("doc_id"), "text"), width, percent).where("doc_id is not null") \
+    name, key = absent_name(docs, "dedup_key"), content_key("doc_id", "text")
+    keyed = docs.select("doc_id", key.alias("own"))
+    parts = near_duplicates(docs.select(key.alias("doc_id"), "text"), width, percent) \
         .select(F.col("doc_id").alias("own"), "component_id").distinct()
-    firsts = keyed.join(kept(parts), "own").groupBy("component_id").agg(F.min(F.struct("doc_id", "own")).alias("first"))
-    ids = kept(firsts.select(F.col("first.own").alias("dedup_key")))
-    return docs.withColumn("dedup_key", own).join(ids, "dedup_key", "left_semi").dropDuplicates(["dedup_key"]).select(docs.columns) \
-        .unionByName(docs.where("doc_id is null"))
+    firsts = keyed.join(kept(parts), "own").groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "own")).alias("first"))
+    ids = kept(firsts.select(F.col("first.own").alias(name)))
+    return docs.withColumn(name, key).join(ids, name, "left_semi").dropDuplicates([name]).select(docs.columns)
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.materialize import checkpointed
+from .rows import absent_name, content_key
 
 SEPARATORS = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -183,13 +184,12 @@ def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES, keep_at: float = KE
 def filtered(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, all columns; ids may repeat or be null, so rows carry a key of their own.
 
-    The kept ids come back by a join on a 64-bit hash of id and text, equal for equal rows and, by chance, hardly else.
+    The kept ids come back by a join on 128 bits of id and text, the same for equal rows.
     """
-    key = F.xxhash64("doc_id", "text")
-    keyed = docs.withColumn("row_key__", key)
+    name, key = absent_name(docs, "row_key"), content_key("doc_id", "text")
     found = judged(docs.select(key.alias("doc_id"), "text"))
-    kept = found.where("kept").select(F.col("doc_id").alias("row_key__")).distinct()
-    return keyed.join(kept, "row_key__", "left_semi").drop("row_key__")
+    kept = found.where("kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.withColumn(name, key).join(kept, name, "left_semi").drop(name)
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

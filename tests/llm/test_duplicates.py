@@ -48,7 +48,7 @@ def vectors(seed=1, n=600, dim=16):
         rows.append((key, base[9].tolist()))
         key += 1
     rows.append((key, (base[9] * 3).tolist()))
-    odd = [None, [], [0.0] * dim, [math.nan] * dim, [math.inf] + [1.0] * (dim - 1), [None] + [1.0] * (dim - 1), [1.0, 2.0], [1.0, 2.0]]
+    odd = [None, [], [0.0] * dim, [math.nan] * dim, [math.inf] + [1.0] * (dim - 1), [None] + [1.0] * (dim - 1)]
     return rows + [(10_000 + i, v) for i, v in enumerate(odd)], len(odd)
 
 
@@ -75,6 +75,31 @@ def test_vectors_against_brute_force(spark):
     assert all(r.kept == (r.vec_id == r.component_id) for r in found.values())
 
 
+def test_vectors_of_several_lengths_and_sizes(spark):
+    rnd = np.random.default_rng(8)
+    rows, key = [], 0
+    for dim in [2, 3, 7, 16, *range(20, 60)]:  # more lengths than have pivots of their own
+        for v in rnd.normal(size=(40 if dim > 16 else 300, dim)):
+            rows.append((key, v.tolist()))
+            rows.append((key + 1, (v * 1e60 + rnd.normal(size=dim) * 1e58).tolist()))
+            key += 2
+    rows += [(key, [1e60, 2e60]), (key + 1, [1e60, 2e60]), (key + 2, [1e-60, 2e-60]), (key + 3, [1e-320, 2e-320]), (key + 4, [1.7e308, 0.1e308])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    found = {r.vec_id: r for r in embeddings.link(frame, block=64).collect()}
+    want = {}
+    for dim in {len(v) for _, v in rows}:
+        ids = [i for i, v in rows if len(v) == dim]
+        m = np.array([v for _, v in rows if len(v) == dim])
+        m = m / np.abs(m).max(axis=1, keepdims=True)
+        m /= np.linalg.norm(m, axis=1, keepdims=True)
+        close = m @ m.T >= 0.95
+        np.fill_diagonal(close, False)
+        want |= dict(zip(ids, close.sum(axis=1)))
+    assert all(found[i].n_links <= n for i, n in want.items())
+    assert sum(r.n_links for r in found.values()) >= 0.99 * sum(want.values())
+    assert found[key + 1].component_id == found[key].component_id and found[key].n_links >= 2 and found[key + 3].n_links >= 2
+
+
 def test_vector_edge_cases(spark):
     schema = "vec_id long, embedding array<float>"
     assert embeddings.link(spark.createDataFrame([], schema)).count() == 0
@@ -143,7 +168,29 @@ def test_document_edge_cases(spark):
                                   (5, None, "d"), (6, "", "e"), (None, None, "f"), (7, "other words here", "g")], schema)
     rows = minhash.deduplicated(docs)
     assert rows.columns == docs.columns
-    assert sorted(r.lang for r in rows.collect()) == ["a", "c", "d", "e", "f", "g"]
+    assert sorted(r.lang for r in rows.collect()) == ["a", "d", "e", "f", "g"]
+
+
+def test_rows_without_ids_and_clashing_names(spark):
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [(None, text, i, "x") for i in range(5)] + [(1, text, 9, "x"), (None, text + " more", 7, "y"), (None, "other words stand here now", 8, "z"),
+                                                      (None, "other words stand here now", 8, "z"), (2, "", 1, "e"), (2, "", 1, "e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, dedup_key int, DEDUP_KEY_ string")
+    for order in (docs, docs.repartition(4)):
+        kept = minhash.deduplicated(order)
+        assert kept.columns == docs.columns and sorted((r.doc_id or 0, r.dedup_key) for r in kept.collect()) == [(0, 8), (1, 9), (2, 1)]
+
+
+def test_text_ids(spark):
+    rnd = random.Random(6)
+    base = [[f"w{rnd.randrange(900)}" for _ in range(60)] for _ in range(30)]
+    texts = [" ".join(b[:k] + [f"e{k}"] + b[k + 1:]) for b in base for k in range(0, 60, 3)]
+    ids = [f"{'ab'[i % 2]}{i:04d}" for i in range(len(texts))]
+    rnd.shuffle(ids)
+    named = minhash.Similar(spark.createDataFrame(list(zip(ids, texts)), "doc_id string, text string").repartition(3), 3, 85, block=8).run()
+    order = {x: n for n, x in enumerate(sorted(ids))}
+    numbered = minhash.Similar(spark.createDataFrame([(order[i], t) for i, t in zip(ids, texts)], "doc_id long, text string"), 3, 85, block=8).run()
+    assert {order[r.doc_id]: order[r.component_id] for r in named.collect()} == {r.doc_id: r.component_id for r in numbered.collect()}
 
 
 def test_bounds_keep_true_pairs():
