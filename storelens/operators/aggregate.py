@@ -187,10 +187,17 @@ def _as_map(split: DataFrame, column: str, name: str) -> DataFrame:
         F.collect_list(F.struct(column, "revenue_usd")))).alias(name))
 
 
-def _per_store(df: DataFrame, *keys: str) -> DataFrame:
-    """Sales reduced to one row per region, store and ``keys``: all the regional record is made of."""
+def _per_store(df: DataFrame, *keys: str, days: bool = False) -> DataFrame:
+    """Sales, or their sums by day, reduced to one row per region, store and ``keys``: all the regional record is made of."""
     has_density = "stores_within_10km" in df.columns
     density = F.col("stores_within_10km") if has_density else F.lit(None).cast("bigint")
+    if days:
+        n = F.col("n")
+        return (df.where(F.col("economic_region").isNotNull())
+                .groupBy("economic_region", "store_id", *keys).agg(
+                    F.sum("usd").cast("decimal(38,10)").alias("_total"), F.sum("n_usd").alias("_n"), F.sum(n).alias("_rows"),
+                    F.sum(density * n).alias("_near"), F.coalesce(F.sum(F.when(density.isNotNull(), n)), F.lit(0)).alias("_near_n"),
+                    F.min("date").alias("_from"), F.max("date").alias("_to")))
     return (df.where(F.col("economic_region").isNotNull())
             .groupBy("economic_region", "store_id", *keys).agg(
                 exact_sum("revenue_usd").alias("_total"), F.count("revenue_usd").alias("_n"),
@@ -216,12 +223,13 @@ def region_totals(df: DataFrame) -> DataFrame:
     return _region_totals(_per_store(df))
 
 
-def full_regional_summary(df: DataFrame, period_start=None, period_end=None) -> DataFrame:
+def full_regional_summary(df: DataFrame, period_start=None, period_end=None, *, days: bool = False) -> DataFrame:
     """The nested regional record: totals, store lists and revenue maps.
 
-    The sales are read once; all parts come from the stored rows per store.
+    The sales, or with ``days`` their sums by store, day and currency, are read once; all parts come from the stored
+    rows per store.
     """
-    pieces = checkpointed(_per_store(in_range(df, period_start, period_end), "original_currency", "urban_rural"))
+    pieces = checkpointed(_per_store(in_range(df, period_start, period_end), "original_currency", "urban_rural", days=days))
     per_store = pieces.groupBy("economic_region", "store_id").agg(
         *[F.sum(c).alias(c) for c in ("_total", "_n", "_rows", "_near", "_near_n")],
         F.min("_from").alias("_from"), F.max("_to").alias("_to"))

@@ -34,24 +34,34 @@ def _since(start: dt.date) -> Column:
     return F.col("date") >= F.lit(start)
 
 
+def _added(days: bool):
+    """(sum of USD, rows, rows with USD) where a condition holds, over sales or over their sums by day."""
+    if days:
+        return (lambda on: F.sum(F.when(on, F.col("usd"))).cast("decimal(38,10)"),
+                lambda on: F.coalesce(F.sum(F.when(on, F.col("n"))), F.lit(0)),
+                lambda on: F.coalesce(F.sum(F.when(on, F.col("n_usd"))), F.lit(0)))
+    usd = F.col("revenue_usd")
+    return lambda on: exact_sum(F.when(on, usd)), F.count_if, lambda on: F.count(F.when(on, usd))
+
+
 def store_kpi_table(
-    stores: DataFrame, sales: DataFrame, reference_date, *, upper_bound: bool = False,
+    stores: DataFrame, sales: DataFrame, reference_date, *, upper_bound: bool = False, days: bool = False,
 ) -> DataFrame:
     """The persisted KPI table: month and year to date, growth over the same month last year, rank.
 
-    Sales are reduced to one row per store before they meet the stores.
+    Sales are reduced to one row per store before they meet the stores. With ``days`` they are sums by store and day
+    (``loads.day_sums``); the figures are the same to the last digit.
     """
     m = _months(reference_date)
     if upper_bound:
         sales = sales.where(F.col("date") <= F.lit(m["ref"]))
-    usd, mtd = F.col("revenue_usd"), _since(m["month"])
+    (total, rows, with_usd), mtd = _added(days), _since(m["month"])
     last_year = _since(m["prior"]) & (F.col("date") < F.lit(m["prior_end"]))
     # only this year and the month a year ago matter, and the predicate reaches the scan
     recent = sales.where(_since(min(m["year"], m["prior"])))
     sums = recent.groupBy("store_id").agg(
-        exact_sum(F.when(mtd, usd)).alias("_mtd"), exact_sum(F.when(_since(m["year"]), usd)).alias("_ytd"),
-        exact_sum(F.when(last_year, usd)).alias("_prior"),
-        F.count_if(mtd).alias("_n"), F.count(F.when(mtd, usd)).alias("_n_usd"))
+        total(mtd).alias("_mtd"), total(_since(m["year"])).alias("_ytd"), total(last_year).alias("_prior"),
+        rows(mtd).alias("_n"), with_usd(mtd).alias("_n_usd"))
     zero = F.lit(0.0)
     per_store = stores.select("store_id", "economic_region").distinct().join(sums, "store_id", "left").select(
         "store_id", "economic_region",
@@ -108,30 +118,32 @@ def tooltip(k: dict[str, Column]) -> Column:
         F.concat(F.lit("Tier: "), F.upper(k["tier"])))
 
 
-def store_sums(df: DataFrame, reference_date, *, upper_bound: bool = False) -> DataFrame:
-    """Per store: month, year and all-time sums, last year's month, counts and items."""
+def store_sums(df: DataFrame, reference_date, *, upper_bound: bool = False, days: bool = False) -> DataFrame:
+    """Per store: month, year and all-time sums, last year's month, counts and items, of sales or sums by day."""
     m = _months(reference_date)
     if upper_bound:
         df = df.where(F.col("date") <= F.lit(m["ref"]))
-    usd, mtd = F.col("revenue_usd"), _since(m["month"])
+    (total, rows, with_usd), mtd = _added(days), _since(m["month"])
     last_year = _since(m["prior"]) & (F.col("date") < F.lit(m["prior_end_31"]))
-    items = F.avg(F.when(mtd, F.col("qty").cast("double"))) if "qty" in df.columns else F.lit(None).cast("double")
+    if days:
+        items = ratio(F.sum(F.when(mtd, F.col("qty"))), F.sum(F.when(mtd, F.col("n_qty"))))
+    else:
+        items = F.avg(F.when(mtd, F.col("qty").cast("double"))) if "qty" in df.columns else F.lit(None).cast("double")
     return df.where(F.col("store_id").isNotNull()).groupBy("store_id").agg(
-        exact_sum(usd).alias("_total"), exact_sum(F.when(mtd, usd)).alias("_mtd"),
-        exact_sum(F.when(_since(m["year"]), usd)).alias("_ytd"),
-        exact_sum(F.when(last_year, usd)).alias("_prior"),
-        F.count_if(mtd).alias("transaction_count_mtd"), F.count(F.when(mtd, usd)).alias("_n_usd"),
+        total(F.lit(True)).alias("_total"), total(mtd).alias("_mtd"), total(_since(m["year"])).alias("_ytd"),
+        total(last_year).alias("_prior"), rows(mtd).alias("transaction_count_mtd"), with_usd(mtd).alias("_n_usd"),
         items.alias("_items"))
 
 
 def calculate_store_kpis(
     df: DataFrame, reference_date, *, stores: DataFrame | None = None, order_by: str = "ingest_ord",
-    upper_bound: bool = False, share_period: str = "all",
+    upper_bound: bool = False, share_period: str = "all", days: bool = False,
 ) -> DataFrame:
     """The full KPI record, one row per store.
 
     ``df`` is the enriched sales frame. With ``stores`` the attributes come from that table and
-    ``df`` needs only store_id, date, revenue_usd and qty; otherwise from each store's last row.
+    ``df`` needs only store_id, date, revenue_usd and qty, or, with ``days``, is their sums by store and day;
+    otherwise from each store's last row.
     All rankings and shares run at store grain on a stored frame.
     """
     attributes = latest_attributes(df, order_by) if stores is None else stores.select(
@@ -142,7 +154,7 @@ def calculate_store_kpis(
         if c not in attributes.columns:
             attributes = attributes.withColumn(c, F.lit(None).cast(t))
     zero = F.lit(0.0)
-    sums = store_sums(df, reference_date, upper_bound=upper_bound)
+    sums = store_sums(df, reference_date, upper_bound=upper_bound, days=days)
     mtd, ytd = F.coalesce(as_money("_mtd"), zero), F.coalesce(as_money("_ytd"), zero)
     prior = F.coalesce(as_money("_prior"), zero)
     base = attributes.join(sums, "store_id").select(

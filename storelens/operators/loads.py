@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
+from ..functions.money import exact_sum
 from ..sources.tables import Warehouse
 
 # Columns of the persisted tables.
@@ -19,6 +20,10 @@ SALES_SCHEMA = ("store_id string, date date, product_id string, qty bigint, reve
                 "source_file string, staged_batch string")
 LINEAGE = ("source_file", "staged_batch")
 LOADED, LOADED_SCHEMA = "loaded_files", "source_file string, staged_batch string"
+# mergeable sums of the loaded sales: one slice per file version, which counts as long as the version does
+DAY_SUMS, DAY_KEYS = "sales_day_sums", ("store_id", "date", "original_currency")
+DAY_SUMS_SCHEMA = ("store_id string, date date, original_currency string, usd decimal(38,10), n_usd bigint, n bigint, "
+                   "qty bigint, n_qty bigint, source_file string, staged_batch string")
 LOAD_MODES = ("replace", "upsert", "append")
 
 
@@ -64,24 +69,50 @@ def load_sales(wh: Warehouse, df: DataFrame, load_id: str) -> int:
     rows = df.select(*present).withColumn("month", F.date_format("date", "yyyy-MM"))
     if "qty" in present:
         rows = rows.withColumn("qty", F.col("qty").cast("bigint"))
-    wh.append("sales_transactions", rows, load_id, ("month",))
-    n = wh.read("sales_transactions", SALES_SCHEMA).where(F.col("batch_id") == load_id).count()
+    written = Observation()
+    wh.append("sales_transactions", rows.observe(written, F.count(F.lit(1)).alias("rows")), load_id, ("month",))
+    n = written.get["rows"]  # counted by the write itself
     record_load(wh, "sales_transactions", n, "append", load_id)
     return n
 
 
+def day_sums(sales: DataFrame) -> DataFrame:
+    """Sales as exact sums per file version, store, day and currency: whatever adds up, adds up from these."""
+    qty = F.col("qty").cast("bigint") if "qty" in sales.columns else F.lit(None).cast("bigint")
+    return sales.groupBy(*[c for c in LINEAGE if c in sales.columns], *DAY_KEYS).agg(
+        exact_sum("revenue_usd").alias("usd"), F.count("revenue_usd").alias("n_usd"), F.count(F.lit(1)).alias("n"),
+        F.sum(qty).alias("qty"), F.count(qty).alias("n_qty"))
+
+
+def load_day_sums(wh: Warehouse, sales: DataFrame, load_id: str) -> None:
+    """The slices of the file versions that a load holds."""
+    wh.append(DAY_SUMS, day_sums(sales), load_id)
+
+
 def mark_loaded(wh: Warehouse, files: DataFrame, load_id: str) -> None:
     """Record the file versions (source_file, staged_batch) that a load holds. Written after its sales, so the sales
     of a load that was cut off belong to no one and are loaded again."""
     wh.append(LOADED, files.select(*LINEAGE), load_id)
 
 
-def loaded_sales(wh: Warehouse, current: DataFrame) -> DataFrame:
-    """The sales of complete loads, of the ``current`` version (source_file, batch_id) of each file."""
-    versions = wh.read(LOADED, LOADED_SCHEMA).join(
+def loaded_versions(wh: Warehouse, current: DataFrame) -> DataFrame:
+    """(batch_id of the load, source_file, staged_batch) of complete loads that hold a ``current`` version (source_file,
+    batch_id) of a file."""
+    return wh.read(LOADED, LOADED_SCHEMA).join(
         current.select("source_file", F.col("batch_id").alias("staged_batch")), [*LINEAGE], "left_semi")
+
+
+def loaded_sales(wh: Warehouse, current: DataFrame) -> DataFrame:
+    """The sales of complete loads, of the ``current`` version of each file."""
     sales = wh.read("sales_transactions", SALES_SCHEMA)
-    return sales.join(versions, ["batch_id", *LINEAGE], "left_semi")
+    return sales.join(loaded_versions(wh, current), ["batch_id", *LINEAGE], "left_semi")
+
+
+def loaded_day_sums(wh: Warehouse, current: DataFrame) -> DataFrame:
+    """:func:`loaded_sales` as sums by store, day and currency, from the stored slices; no sale is read."""
+    slices = wh.read(DAY_SUMS, DAY_SUMS_SCHEMA).join(loaded_versions(wh, current), ["batch_id", *LINEAGE], "left_semi")
+    return slices.groupBy(*DAY_KEYS).agg(*[F.sum(c).cast(t).alias(c) for c, t in (
+        ("usd", "decimal(38,10)"), ("n_usd", "bigint"), ("n", "bigint"), ("qty", "bigint"), ("n_qty", "bigint"))])
 
 
 def load_kpis(wh: Warehouse, kpis: DataFrame) -> None:

@@ -11,6 +11,8 @@ RESOLUTION_SCHEMA = "failure_id string, outcome string, resolved_at timestamp"
 STATE_SCHEMA = (
     "file_hash string, file_path string, store_id string, status string, extraction_id string, "
     "sheets_extracted bigint, errors bigint, error string, event_ts timestamp")
+# every look at a file's content: size and time of the file decide whether it is opened again
+VERSION_SCHEMA = "path string, version bigint, size bigint, modified timestamp, file_hash string, seen_at timestamp"
 
 IN_PROGRESS, COMPLETED, FAILED = "IN_PROGRESS", "COMPLETED", "FAILED"
 
@@ -70,6 +72,46 @@ def completed_hashes(events: DataFrame) -> DataFrame:
     return events.where(F.col("status") == COMPLETED).select("file_hash").distinct()
 
 
+def newest_versions(ledger: DataFrame) -> DataFrame:
+    """The last look at each file."""
+    return _latest(ledger.select("path", "version", "size", "modified", "file_hash", "seen_at"), "path", "seen_at", "version")
+
+
+def changed_files(listing: DataFrame, ledger: DataFrame, completed: DataFrame) -> DataFrame:
+    """(path, length, modificationTime) of listed files that have to be opened: never seen, of another size or time than at
+    the last look, or with a content that no finished extraction holds."""
+    settled = newest_versions(ledger).join(completed.select("file_hash"), "file_hash", "left_semi").select(
+        "path", F.col("size").alias("length"), F.col("modified").alias("modificationTime"))
+    return listing.select("path", "length", "modificationTime").join(
+        settled, ["path", "length", "modificationTime"], "left_anti")
+
+
+def next_versions(looks: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Ledger rows for opened files (path, length, modificationTime, file_hash): another content is the next version of
+    its path, also one that the path or another file held before."""
+    last = newest_versions(ledger).select("path", F.col("version").alias("_version"), F.col("file_hash").alias("_hash"))
+    version = F.coalesce("_version", F.lit(0)) + F.when(F.col("file_hash").eqNullSafe(F.col("_hash")), 0).otherwise(1)
+    return looks.join(last, "path", "left").select(
+        "path", version.cast("bigint").alias("version"), F.col("length").alias("size"),
+        F.col("modificationTime").alias("modified"), "file_hash", F.current_timestamp().alias("seen_at"))
+
+
+def current_contents(ledger: DataFrame, events: DataFrame) -> DataFrame:
+    """(source_file, batch_id): the extraction of every content that some file's newest finished version holds.
+
+    A content counts once, however many files hold it, and as long as one of them does. ``events`` has batch ids; what
+    they finished counts as a look, too.
+    """
+    done = events.where(F.col("status") == COMPLETED)
+    extracted = done.groupBy("file_hash").agg(F.max_by(
+        F.struct(F.col("file_path").alias("source_file"), "batch_id"), F.struct("event_ts", "batch_id")).alias("_e"))
+    looks = ledger.select("path", "file_hash", "seen_at", F.col("version").alias("_n")).unionByName(done.select(
+        F.col("file_path").alias("path"), "file_hash", F.col("event_ts").alias("seen_at"), F.lit(0).cast("bigint").alias("_n")))
+    finished = looks.join(extracted.select("file_hash"), "file_hash", "left_semi")
+    held = _latest(finished, "path", "seen_at", "_n").select("file_hash").distinct()
+    return extracted.join(held, "file_hash", "left_semi").select("_e.source_file", "_e.batch_id")
+
+
 def current_state(events: DataFrame) -> DataFrame:
     """Newest status per file, with the store its IN_PROGRESS event named."""
     rank = F.when(F.col("status") == IN_PROGRESS, 0).otherwise(1)

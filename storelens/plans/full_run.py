@@ -17,12 +17,13 @@ from .ingest import IngestOptions
 from .transform import Transformed, current_versions, staged_sales, transform
 
 KPI_AGE = dt.timedelta(hours=1)
+COUNTED = "figured_versions"
 
 
 def refresh_kpis(
     wh: Warehouse, reference_date, *, force: bool = False, now: dt.datetime | None = None,
 ) -> bool:
-    """Recompute KPI records, markers and region summary from the loaded tables.
+    """Recompute KPI records, markers and region summary from the stored sums of the loaded sales.
 
     Skipped when the last refresh is younger than an hour, unless forced. Returns whether it ran.
     """
@@ -34,7 +35,7 @@ def refresh_kpis(
             return False
     snapshot = now.strftime("%Y%m%dT%H%M%S%f")
     records = kpi.calculate_store_kpis(
-        loads.loaded_sales(wh, current_versions(wh)), reference_date, stores=wh.read_snapshot("stores"))
+        loads.loaded_day_sums(wh, current_versions(wh)), reference_date, stores=wh.read_snapshot("stores"), days=True)
     wh.write_snapshot("kpi_records", records, snapshot)
     records = wh.read_snapshot("kpi_records")
     wh.write_snapshot("kpi_markers", kpi.marker_rows(records), snapshot)
@@ -42,16 +43,36 @@ def refresh_kpis(
     return True
 
 
-def load(wh: Warehouse, result: Transformed, files: DataFrame, load_id: str, reference_date) -> None:
-    """Stores and sales of ``files`` (source_file, staged_batch); KPI table and regional summaries of all loaded sales."""
+def load(wh: Warehouse, result: Transformed, files: DataFrame, load_id: str) -> None:
+    """Stores, sales and the sums by day of ``files`` (source_file, staged_batch)."""
     loads.load_stores(wh, result.enriched, order_by="ingest_ord")
     loads.load_sales(wh, result.cleaned, load_id)
+    loads.load_day_sums(wh, result.cleaned, load_id)
     loads.mark_loaded(wh, files, load_id)
+
+
+def refresh_figures(wh: Warehouse, reference_date) -> None:
+    """KPI table, regional summaries and KPI records over all sales that count now, from the stored sums by day.
+
+    The sums of a file version that was replaced no longer count, those of one that came back count again; no sale is
+    read. The versions counted are written last.
+    """
     stores = wh.read_snapshot("stores")
-    sales = loads.loaded_sales(wh, current_versions(wh))
-    loads.load_kpis(wh, kpi.store_kpi_table(stores, sales, reference_date))
+    days = stored(loads.loaded_day_sums(wh, current_versions(wh)), "days")
+    loads.load_kpis(wh, kpi.store_kpi_table(stores, days, reference_date, days=True))
     places = stores.select("store_id", "economic_region", "urban_rural", "stores_within_10km")
-    loads.load_regional_summaries(wh, aggregate.full_regional_summary(join_dimension(sales, places, ["store_id"])))
+    summary = stored(aggregate.full_regional_summary(join_dimension(days, places, ["store_id"]), days=True), "summary")
+    loads.load_regional_summaries(wh, summary)  # by period, earlier ones stay
+    wh.write_snapshot("regional_summary", summary)  # what holds now
+    refresh_kpis(wh, reference_date, force=True)
+    wh.write_snapshot(COUNTED, loads.loaded_versions(wh, current_versions(wh)).select(*loads.LINEAGE))
+
+
+def figures_are_current(wh: Warehouse) -> bool:
+    """Whether the figures cover exactly the loaded versions that count now."""
+    now = loads.loaded_versions(wh, current_versions(wh)).select(*loads.LINEAGE)
+    counted = wh.read_snapshot(COUNTED, fallback=now.limit(0))
+    return now.subtract(counted).isEmpty() and counted.subtract(now).isEmpty()
 
 
 def run(
@@ -60,8 +81,9 @@ def run(
 ) -> dict[str, int]:
     """One full run over the files that are new; repeating a ``run_id`` repeats its writes in place.
 
-    Only the sales of new file versions are transformed and appended. KPIs read the loaded tables, and neighbours
-    are counted among all stores under contract, so the figures cover everything loaded so far.
+    Only the sales of new file versions are transformed and appended. KPIs come from the stored sums of all loaded
+    sales, and neighbours are counted among all stores under contract, so the figures cover everything loaded so far.
+    They are made anew whenever the versions that count have changed, also when a file went back to an earlier content.
     """
     wh = Warehouse(spark, root)
     reference_date = reference_date or dt.date.today()
@@ -81,14 +103,16 @@ def _run(wh: Warehouse, contracts_path: str, incoming: str, reference_date, run_
     new = stored(current_versions(wh).withColumnRenamed("batch_id", "staged_batch").join(
         held, [*loads.LINEAGE], "left_anti"), "new-versions")
     sales = staged_sales(wh).withColumnRenamed("batch_id", "staged_batch").join(new, [*loads.LINEAGE], "left_semi")
-    if sales.isEmpty():
-        return {"files": extracted, "rows": 0}
-    config = clean.CleanConfig(keep_case=(*loads.LINEAGE, "economic_region", "urban_rural"))
-    stores = contracts_frame(spark, contracts)
-    result = transform(sales, rates=rates, config=config, stores=stores, save_to=wh)
-    load(wh, result, new, run_id, reference_date)
-    refresh_kpis(wh, reference_date, force=True)
-    return {"files": extracted, "rows": result.cleaned.count()}
+    rows = 0
+    if not sales.isEmpty():
+        config = clean.CleanConfig(keep_case=(*loads.LINEAGE, "economic_region", "urban_rural"))
+        stores = contracts_frame(spark, contracts)
+        result = transform(sales, rates=rates, config=config, stores=stores, save_to=wh)
+        load(wh, result, new, run_id)
+        rows = result.cleaned.count()
+    if not figures_are_current(wh):
+        refresh_figures(wh, reference_date)
+    return {"files": extracted, "rows": rows}
 
 
 def main(argv: list[str] | None = None) -> None:

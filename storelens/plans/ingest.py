@@ -1,9 +1,9 @@
 """Ingest: one job over all new files of a batch.
 
-    stable -> content hash -> not yet completed -> contract -> sheets -> decode -> typed and checked
-           -> staging | dead letters | state events | results | manifest
+    stable -> changed since the last look -> content hash -> not yet completed -> contract -> sheets -> decode
+           -> typed and checked -> staging | dead letters | state events | results | manifest | versions
 
-Each stage is a DataFrame over all files. The decoded cells are stored once; everything written
+Files whose size and time are those of the last look are not opened. Each stage is a DataFrame over all files. The decoded cells are stored once; everything written
 after that comes from the stored cells. Every write is keyed by the batch, so running a batch again
 after a lost driver replaces its own output and nothing else.
 """
@@ -11,7 +11,7 @@ after a lost driver replaces its own output and nothing else.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,12 +21,13 @@ from ..functions.materialize import intermediates_deleted, stored
 from ..operators import state
 from ..sources import contracts as ct
 from ..sources import files as fs
-from ..sources import workbook
+from ..sources import text_sheets, workbook
 from ..sources.contracts import StoreContract
 from ..sources.tables import Warehouse
 
 STAGING, DEAD_LETTERS, RESOLUTIONS = "staging", "dead_letter", "dead_letter_resolution"
 STATE, RESULTS, MANIFEST = "extraction_state", "extraction_results", "staging_manifest"
+VERSIONS = "file_versions"
 RESULT_SCHEMA = ("file_hash string, source_file string, store_id string, success boolean, "
                  "sheets_extracted array<string>, errors array<struct<sheet_type:string,error:string>>, rows bigint")
 
@@ -39,10 +40,9 @@ class IngestOptions:
     keep_content: bool = True
 
 
-def new_files(files: DataFrame, completed: DataFrame) -> DataFrame:
-    """(path, file_hash, length, modificationTime) of files whose content is not completed yet."""
-    hashed = files.select("path", "length", "modificationTime", F.sha2("content", 256).alias("file_hash"))
-    return hashed.join(completed.select("file_hash"), "file_hash", "left_anti")
+def new_files(looks: DataFrame, completed: DataFrame) -> DataFrame:
+    """(path, length, modificationTime, file_hash) of opened files whose content is not completed yet."""
+    return looks.join(completed.select("file_hash"), "file_hash", "left_anti")
 
 
 def first_of_equal(matched: DataFrame) -> DataFrame:
@@ -90,35 +90,48 @@ def _events(rows: DataFrame, status: str, **values) -> DataFrame:
 
 def ingest_files(
     files: DataFrame, contracts: Sequence[StoreContract] | DataFrame, wh: Warehouse, batch_id: str | None = None,
-    options: IngestOptions = IngestOptions(),
+    options: IngestOptions = IngestOptions(), reopen: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Ingest a batch of files (path, modificationTime, length, content); returns the per-file results."""
+    """Ingest a batch of files (path, modificationTime, length, content); returns the per-file results.
+
+    ``reopen`` gives the content of chosen files (path) where reading ``files`` would open all of them.
+    """
     batch_id = batch_id or uuid.uuid4().hex
     with intermediates_deleted(wh.spark):
-        _ingest(files, contracts, wh, batch_id, options)
+        _ingest(files, contracts, wh, batch_id, options, reopen)
     return wh.read(RESULTS, RESULT_SCHEMA).where(F.col("batch_id") == batch_id).drop("batch_id")
 
 
 def _ingest(files: DataFrame, contracts: Sequence[StoreContract] | DataFrame, wh: Warehouse, batch_id: str,
-            options: IngestOptions) -> None:
+            options: IngestOptions, reopen: Callable[[DataFrame], DataFrame] | None) -> None:
     spark = wh.spark
     book = contracts if isinstance(contracts, DataFrame) else ct.contracts_frame(spark, contracts)
     # a repeated batch must not see its own earlier events as "already done"
     history = wh.read(STATE, state.STATE_SCHEMA).where(F.col("batch_id") != batch_id)
+    ledger = wh.read(VERSIONS, state.VERSION_SCHEMA).where(F.col("batch_id") != batch_id)
+    completed = state.completed_hashes(history)
     files = fs.stable(fs.only_workbooks(files), seconds=options.stable_seconds)
-    fresh = stored(new_files(files, state.completed_hashes(history)), "new-files")
+    changed = stored(state.changed_files(files, ledger, completed), "changed-files")
+    if changed.isEmpty():  # nothing is opened or written for a look that finds nothing
+        return
+    opened = join_dimension(files, changed.select("path"), ["path"], "inner") if reopen is None else reopen(changed)
+    looks = stored(opened.select("path", "length", "modificationTime", F.sha2("content", 256).alias("file_hash")), "looks")
+    versions = state.next_versions(looks, ledger)
+    fresh = stored(new_files(looks, completed), "new-files")
     matched = fs.match_contracts(fresh, book)
     fresh = stored(first_of_equal(fresh.join(matched, "path")), "matched-files")
-    if fresh.isEmpty():  # nothing is written for a look that finds nothing
+    if fresh.isEmpty():  # touched files, or contents that are extracted already
+        wh.append(VERSIONS, versions, batch_id)
         return
     known = fresh.where(F.col("store_id").isNotNull())
-    contents = join_dimension(files, known.select("path", "file_hash"), ["path"], "inner")
+    contents = join_dimension(opened, known.select("path", "file_hash"), ["path"], "inner")
 
-    sheets = stored(workbook.sheet_names(contents), "sheet-names")
+    books = contents.where(~fs.is_text())
+    sheets = stored(workbook.sheet_names(books).unionByName(text_sheets.sheet_names(known.where(fs.is_text()))), "sheet-names")
     picks = fs.pick_sheets(sheets.where("sheet is not null"), known.select("path", "store_id"), book)
     picks = stored(picks.join(sheets.where("error is not null").select("path", F.col("error").alias("_broken")),
                               "path", "left").withColumn("error", F.coalesce("_broken", "error")).drop("_broken"), "picks")
-    cells = stored(workbook.decode(contents, picks), "cells")
+    cells = stored(workbook.decode(books, picks.where(~fs.is_text())).unionByName(text_sheets.decode(spark, picks)), "cells")
 
     # rows read before a sheet broke off are no rows of that sheet
     broken = cells.where("error is not null").select("path", "sheet_type").distinct()
@@ -151,7 +164,7 @@ def _ingest(files: DataFrame, contracts: Sequence[StoreContract] | DataFrame, wh
     wh.append(RESULTS, results, batch_id)
     wh.append(MANIFEST, state.staging_manifest(rows), batch_id)
 
-    kept = files if options.keep_content else None
+    kept = opened if options.keep_content else None
     unmatched = fresh.where(F.col("store_id").isNull()).withColumns({
         "error": F.concat(F.lit("no contract matches "), "path"), "sheet_type": F.lit(None).cast("string")})
     letters = _failures(unmatched, "NoMatchingContract", kept, batch_id).unionByName(
@@ -166,6 +179,7 @@ def _ingest(files: DataFrame, contracts: Sequence[StoreContract] | DataFrame, wh
                              sheets_extracted=F.size("sheets_extracted").cast("bigint"),
                              errors=F.size("errors").cast("bigint")))
         .unionByName(_events(done.where(~any_sheet), state.FAILED, error=F.to_json("errors"))))
+    wh.append(VERSIONS, versions, batch_id)
     # last write: a file counts as done only when all its output is there
     wh.append(STATE, events, batch_id)
 
@@ -182,7 +196,7 @@ def run_ingest(
         return watch(spark, directory, contracts, wh, pattern=pattern, options=options)
     files = fs.scan(spark, directory, pattern)
     if mode == "batch":
-        return ingest_files(files, contracts, wh, batch_id, options)
+        return ingest_files(files, contracts, wh, batch_id, options, lambda chosen: fs.reopen(spark, chosen))
     if mode == "reprocess-dlq":
         return reprocess_dead_letters(spark, files, contracts, wh, batch_id, options)
     raise ValueError("mode must be batch, watch or reprocess-dlq")

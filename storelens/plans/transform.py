@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.joins import join_dimension
 from ..functions.materialize import stored
 from ..operators import aggregate, clean, fx, geo
-from ..operators.state import COMPLETED, STATE_SCHEMA
+from ..operators.state import STATE_SCHEMA, VERSION_SCHEMA, current_contents
 from ..sources.tables import Warehouse
 
 
@@ -67,10 +67,11 @@ STAGED_SALES = (
 
 
 def current_versions(wh: Warehouse) -> DataFrame:
-    """(source_file, batch_id): the newest finished batch of each file; an edited file replaces what it held before."""
-    done = wh.read("extraction_state", STATE_SCHEMA).where(F.col("status") == COMPLETED)
-    return done.groupBy(F.col("file_path").alias("source_file")).agg(
-        F.max_by("batch_id", F.struct("event_ts", "batch_id")).alias("batch_id"))
+    """(source_file, batch_id): what the newest finished version of each file holds, from the batch that extracted it.
+
+    An edited file replaces what it held before; one that is changed back shows its first extraction again.
+    """
+    return current_contents(wh.read("file_versions", VERSION_SCHEMA), wh.read("extraction_state", STATE_SCHEMA))
 
 
 def staged_sales(wh: Warehouse, *, since=None, sheet_type: str = "sales_transactions") -> DataFrame:

@@ -45,7 +45,7 @@ def tick(
         back = since - dt.timedelta(seconds=2 * options.stable_seconds + 1)
         after = back.strftime("%Y-%m-%dT%H:%M:%S")
     found = fs.scan(spark, directory, pattern, modified_after=after)
-    results = ingest_files(found, contracts, wh, tick_id, options)
+    results = ingest_files(found, contracts, wh, tick_id, options, lambda chosen: fs.reopen(spark, chosen))
     if results.isEmpty():  # the next tick looks at the same span again, and nothing is written
         return results
     mark = spark.createDataFrame([(tick_id, started)], TICK_SCHEMA)
