@@ -129,11 +129,27 @@ def test_globs_and_first_match(spark, contracts):
     assert [got[n] for n in names] == ["store_JP_001", "store_CN_001", "store_any", None, "store_any"]
 
 
-def test_conflicting_types_are_refused(spark):
-    cfg = config()
-    cfg["stores"]["store_any"]["sheets"] = {"x": {"sheet_name": "a", "columns": {"qty": {"source_name": "q", "data_type": "float"}}}}
-    with pytest.raises(ValueError, match="qty"):
-        ct.target_use(ct.contracts_frame(spark, ct.parse_contracts(cfg)))
+def test_contracts_type_one_target_differently(spark):
+    def store(kind, **rules):
+        return {"country": "JP", "region": "R", "lat": 1, "lon": 1, "file_pattern": "x", "sheets": {"s": {"sheet_name": "a", "columns": {
+            "qty": {"source_name": "q", "data_type": kind, "validation_rules": rules}}}}}
+    cells = spark.createDataFrame([(s, "s", f"file-{s}", n, {"q": None if n == 0 else ("s", v)}) for s, vs in (
+        ("whole", ["7", "-3", "1.5", "x"]), ("real", ["1.5", "2", "0.1", "x"]), ("text", ["1.5", "CASH"]), ("day", ["2024-01-02"]))
+        for n, v in enumerate([None, *vs])], "store_id string, sheet_type string, source_file string, row_no long, cells map<string,struct<kind:string,text:string>>")
+
+    def typed(*stores):
+        book = ct.contracts_frame(spark, ct.parse_contracts({"stores": dict(stores)}))
+        rows = ct.apply_contracts(cells, book, signed_integers=True)
+        return dict(rows.dtypes)["qty"], {(r.store_id, r.row_no): (r.qty, r.violations) for r in rows.where("row_no > 0").collect()}
+    whole, real = ("whole", store("integer", min=0)), ("real", store("float", min=1, max=1.9))
+    kind, got = typed(whole, real)
+    assert kind == "double" and [got["whole", n][0] for n in (1, 2, 3, 4)] == [7.0, -3.0, 1.0, None]
+    assert [got["real", n] for n in (1, 2, 3)] == [(1.5, []), (2.0, ["qty:above_max"]), (0.1, ["qty:below_min"])]
+    assert got["whole", 2][1] == ["qty:below_min"] and got["whole", 1][1] == []
+    kind, got = typed(whole, real, ("text", store("category", allowed_values=["CASH"])), ("day", store("date")))
+    assert kind == "string" and got["whole", 1][0] == "7" and got["real", 1][0] == "1.5" and got["day", 1][0] == "2024-01-02"
+    assert got["text", 1] == ("1.5", ["qty:not_allowed"]) and got["text", 2] == ("CASH", []) and got["whole", 2][1] == ["qty:below_min"]
+    assert typed(whole)[0] == "bigint"
 
 
 def test_batch_ingest(spark, inbox, contracts, tmp_path):
