@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
+from ..functions.joins import join_dimension
 from ..functions.materialize import checkpointed, stored
 from ..functions.quantiles import exact_quantiles
 
@@ -65,6 +66,9 @@ def quantity_columns(df: DataFrame) -> list[str]:
     return _named(df, "qty", "quantity")
 
 
+SLICE_ROWS = 2_000_000
+
+
 # duplicates -----------------------------------------------------------------------------------
 
 def drop_exact_copies(df: DataFrame, order_by: str | None = "ingest_ord") -> DataFrame:
@@ -79,10 +83,20 @@ def drop_exact_copies(df: DataFrame, order_by: str | None = "ingest_ord") -> Dat
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: str = "ingest_ord") -> DataFrame:
-    """The earliest row of each key (null keys count as equal), pre-aggregated before the shuffle."""
-    rest = [c for c in df.columns if c not in keys]
-    return (df.groupBy(*keys).agg(F.min_by(F.struct(*rest), order_by).alias("_row"))
-            .select(*keys, "_row.*").select(*df.columns))
+    """The earliest row of each key (null keys count as equal).
+
+    Keys and order alone tell which keys occur more than once and where they begin. Only the rows at those beginnings are
+    compared further (of several there one stays); all other rows pass where they are, unsorted, and are shuffled only if
+    the repeated keys are too many to be sent to every task.
+    """
+    several = stored(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_times"), F.min(order_by).alias("_begin"))
+                     .where("_times > 1"), "repeated-keys")
+    if several.isEmpty():
+        return df
+    marked = join_dimension(df, several, keys)
+    begins = marked.where(F.col("_times").isNotNull() & F.col(order_by).eqNullSafe(F.col("_begin")))
+    first = begins.withColumn("_place", F.row_number().over(W.partitionBy(*keys).orderBy(order_by))).where("_place = 1")
+    return marked.where(F.col("_times").isNull()).select(*df.columns).unionByName(first.select(*df.columns))
 
 
 def remove_duplicates(df: DataFrame, config: CleanConfig = CleanConfig()) -> DataFrame:
@@ -139,8 +153,7 @@ def interpolate(df: DataFrame, columns: Sequence[str], order_by: str = "ingest_o
     Nulls before the first value stay null, nulls after the last value repeat it. The rows are cut
     into ordered slices; what a slice needs from its neighbours is one small row per slice.
     """
-    spark = df.sparkSession
-    n = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = slices or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // SLICE_ROWS))
     w = W.partitionBy("_slice").orderBy(order_by)
     cut = df.repartitionByRange(n, order_by).withColumn("_slice", F.spark_partition_id())
     placed = stored(cut.withColumn("_pos", F.row_number().over(w).cast("bigint")), "interpolate")
@@ -167,17 +180,19 @@ def interpolate(df: DataFrame, columns: Sequence[str], order_by: str = "ingest_o
     back = w.rowsBetween(W.unboundedPreceding, 0)
     # the same running frame from the other end: a frame that shrinks from the left is quadratic
     ahead = W.partitionBy("_slice").orderBy(F.col(order_by).desc()).rowsBetween(W.unboundedPreceding, 0)
-    for c in columns:
-        here = F.when(F.col(c).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(c).cast("double").alias("v")))
-        out = (out.withColumn("_p", F.coalesce(F.last(here, True).over(back), F.col(f"_prev_{c}")))
-               .withColumn("_n", F.coalesce(F.last(here, True).over(ahead), F.col(f"_next_{c}"))))
-        slope = (F.col("_n.v") - F.col("_p.v")) / (F.col("_n.p") - F.col("_p.p"))
-        filled = (F.when(F.col(c).isNotNull(), F.col(c).cast("double"))
-                  .when(F.col("_p").isNull(), F.lit(None).cast("double"))
-                  .when(F.col("_n").isNull(), F.col("_p.v"))
-                  .otherwise(F.col("_p.v") + slope * (F.col("_pos") - F.col("_p.p"))))
-        out = out.withColumn(c, filled)
-    return out.select(*df.columns)
+    here = {c: F.when(F.col(c).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(c).cast("double").alias("v"))) for c in columns}
+    # one sort for all columns each way
+    out = out.withColumns({f"_p_{c}": F.coalesce(F.last(h, True).over(back), F.col(f"_prev_{c}")) for c, h in here.items()})
+    out = out.withColumns({f"_n_{c}": F.coalesce(F.last(h, True).over(ahead), F.col(f"_next_{c}")) for c, h in here.items()})
+
+    def filled(c: str) -> Column:
+        p, following = F.col(f"_p_{c}"), F.col(f"_n_{c}")
+        slope = (following.v - p.v) / (following.p - p.p)
+        return (F.when(F.col(c).isNotNull(), F.col(c).cast("double"))
+                .when(p.isNull(), F.lit(None).cast("double"))
+                .when(following.isNull(), p.v)
+                .otherwise(p.v + slope * (F.col("_pos") - p.p)))
+    return out.withColumns({c: filled(c) for c in columns}).select(*df.columns)
 
 
 # ranges and dates -----------------------------------------------------------------------------
@@ -348,15 +363,22 @@ def clean(df: DataFrame, config: CleanConfig = CleanConfig()) -> tuple[DataFrame
     names = {n: (None, n) for n in ("exact_removed", "fuzzy_removed", "total_removed")}
     if config.deduplicate:
         parts.append(_long(start, "duplicates", names))
-    missing = missing_counts(deduped, [c for c in deduped.columns if c != config.order_by])
-    parts.append(_long(missing, "missing_values", {c: (c, "missing") for c in missing.columns}))
+    counted = [c for c in deduped.columns if c != config.order_by]
     numbers = numeric_columns(deduped, [config.order_by])
     filled = fill_missing(deduped, [config.order_by])
     if config.interpolate_missing:
         filled = fill_missing(interpolate(deduped, numbers, config.order_by), [config.order_by, *numbers])
     checks = {**_range_checks(filled, config), **_date_checks(filled, config)}
-    wide = filled.agg(F.count(F.lit(1)).alias("_rows"), *[
-        e.alias(f"{c}_{m}") for (c, m), e in checks.items()])
+    # nulls, ranges and dates from one pass: what was null is marked before it is filled
+    missing = {f"_null_{c}": F.count_if(F.col(f"_null_{c}")).alias(f"_null_{c}") for c in counted}
+    figures = [F.count(F.lit(1)).alias("_rows"), *[e.alias(f"{c}_{m}") for (c, m), e in checks.items()]]
+    if config.interpolate_missing:
+        nulls, wide = deduped.withColumns({f"_null_{c}": F.col(c).isNull() for c in counted}).agg(*missing.values()), filled.agg(*figures)
+    else:
+        marked = deduped.withColumns({f"_null_{c}": F.col(c).isNull() for c in counted})
+        wide = checkpointed(fill_missing(marked, [config.order_by]).agg(*missing.values(), *figures))  # read by three parts of the report
+        nulls = wide
+    parts.append(_long(nulls, "missing_values", {f"_null_{c}": (c, "missing") for c in counted}))
     ranges = {f"{c}_{m}": (c, m) for c, m in _range_checks(filled, config)}
     dates = {f"{c}_{m}": (c, m) for c, m in _date_checks(filled, config)}
     if ranges:
