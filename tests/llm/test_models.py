@@ -221,7 +221,16 @@ def test_field_counts_every_document(spark):
     shapes = [k for what, k, *_ in counts if what == "shape"]
     for key in {*shapes, "no such shape 9"}:
         assert np.array_equal(field.unary(key), whole.unary(key)), key
-    assert set(field.shapes) == {k for what, k, a, _ in counts if what == "shape" and a} and len(field.shapes) < len(set(shapes)) / 10
+    assert set(field.shapes) == {pii.hash_of(k) for what, k, a, _ in counts if what == "shape" and a} and len(field.shapes) < len(set(shapes)) / 10
+
+
+def test_field_tables_have_a_fixed_size(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SHAPES", 2)
+    monkeypatch.setattr(pii, "NEVER", 4)
+    texts = [f"call +1 (386) 555-{1000 + i} or a{'b' * (i % 40)}@c.de, {'y' * (i % 30)}9 pieces" for i in range(400)]
+    field = pii.fit(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert 1 <= len(field.shapes) <= 2 and len(field.never) == 4 and field.never.max() == pii.OFTEN
+    assert pii.hash_of(pii.shape("+1")) % 2 not in {c % 2 for c in field.shapes} or any(field.shapes[c].sum() >= 400 for c in field.shapes)
 
 
 def test_field_runs_without_a_confirmed_span(monkeypatch):
