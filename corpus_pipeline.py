@@ -8,13 +8,11 @@ duplicates keep one.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.functions.materialize import ensure_checkpoint_dir
 from storelens.llm import minhash, packing, pii, quality, toxicity
+from storelens.llm.scratch import Scratch
 
 TOXIC_AT = 0.3
 
@@ -52,10 +50,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        made = stage(spark, docs, sf_dir)
-        made.write.parquet(f"{folder}/{name}")
-        docs = spark.read.schema(made.schema).parquet(f"{folder}/{name}")
+    docs, stored = spark.read.parquet(f"{sf_dir}/documents.parquet"), Scratch(spark, "pipeline")
+    for _, stage in STAGES:
+        docs = stored.keep(stage(spark, docs, sf_dir))
+        stored.forget(stored.count - 1)  # what the stage read is not needed again
     return docs
