@@ -68,7 +68,7 @@ def geojson(spark, d):
 
 def near_point(spark, d):
     stores = geo.with_country_context(rt.stores(spark, d))
-    kpis = kpi.store_kpi_table(stores, fr.usd_sales_until(spark, d, "country"), fr.REFERENCE_DATE)
+    kpis = kpi.store_kpi_table(stores, fr.usd_sales(spark, d, "country"), fr.REFERENCE_DATE, upper_bound=True)
     return fr.rounded(geo.stores_near(stores, 35.0, 139.0, 700.0, kpis), "distance_km")
 
 

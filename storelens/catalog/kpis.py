@@ -19,9 +19,15 @@ def kpi_table(spark, d):
                   "rank_in_region")
 
 
+def kpi_table_open(spark, d):
+    """Without an upper date, the default: month and year run to the newest sale."""
+    stores = fr.located_stores(spark, d).select("store_id", "economic_region")
+    return fr.big(kpi.store_kpi_table(stores, fr.usd_sales(spark, d, "country"), REF), "rank_in_region")
+
+
 def _records(spark, d):
     stores = spatial.with_density(fr.located_stores(spark, d))
-    records = kpi.calculate_store_kpis(fr.usd_sales_until(spark, d, "country"), REF, stores=stores)
+    records = kpi.calculate_store_kpis(fr.usd_sales(spark, d, "country"), REF, stores=stores, upper_bound=True)
     return checkpointed(records)
 
 
@@ -108,6 +114,7 @@ def ad_hoc(spark, d):
 
 QUERIES = {
     "kpi_table": kpi_table,
+    "kpi_table_open": kpi_table_open,
     "kpi_records": records,
     "kpi_record_sums": record_sums,
     "kpi_record_ranks": record_ranks,
@@ -191,17 +198,22 @@ def _search(condition: str) -> str:
                same_store_sales_growth AS sss_growth, total_found FROM hits ORDER BY store_id LIMIT 50"""
 
 
-SQL = {
-    "kpi_table": f"""
+def _table(dates: str) -> str:
+    return f"""
         WITH p AS (SELECT store_id, coalesce({money_sum(_case(_MTD))}, 0) AS mtd,
                           coalesce({money_sum(_case(_YTD))}, 0) AS ytd, {money_sum(_case(_PRIOR))} AS prior,
-                          count_if({_MTD})::BIGINT AS n FROM usd_sales WHERE date <= DATE '2000-06-30' GROUP BY store_id)
+                          count_if({_MTD})::BIGINT AS n FROM usd_sales{dates} GROUP BY store_id)
         SELECT g.store_id, economic_region, DATE '2000-06-30' AS calculation_date,
                coalesce(mtd, 0) / nullif(prior, 0) - 1 AS same_store_sales_growth,
                coalesce(mtd, 0) AS revenue_mtd, coalesce(ytd, 0) AS revenue_ytd,
                coalesce(n, 0) AS transaction_count_mtd, mtd / nullif(n, 0) AS avg_basket_size,
                rank() OVER (PARTITION BY economic_region ORDER BY coalesce(mtd, 0) DESC) AS rank_in_region
-        FROM geo_stores g LEFT JOIN p ON g.store_id = p.store_id""",
+        FROM geo_stores g LEFT JOIN p ON g.store_id = p.store_id"""
+
+
+SQL = {
+    "kpi_table": _table(" WHERE date <= DATE '2000-06-30'"),
+    "kpi_table_open": _table(""),
     "kpi_records": f"WITH {RECORDS} SELECT * FROM records",
     "kpi_record_sums": f"""WITH {RECORDS} SELECT store_id, revenue_mtd_usd, revenue_ytd_usd, transaction_count_mtd,
         avg_basket_size_usd, avg_items_per_transaction FROM records""",

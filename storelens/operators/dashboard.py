@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from ..functions.materialize import checkpointed
 from ..functions.money import as_money, exact, exact_sum, money_sum, ratio
 from .kpi import TIER_COLORS
 
@@ -176,6 +177,7 @@ def store_ranking(store_rows: DataFrame, n: int = 10, *, revenue: str = "revenue
         means = growth.groupBy("store_id").agg(F.avg("same_store_sales_growth").alias("same_store_sales_growth"))
         rows = rows.drop("same_store_sales_growth").join(means, "store_id", "left")
     down, up = [F.col(revenue).desc(), F.col("store_id")], [F.col(revenue).asc(), F.col("store_id").desc()]
+    rows = checkpointed(rows)  # a row per store, read from both ends
     return rows.orderBy(*down).limit(n), rows.orderBy(*up).limit(n).orderBy(*down)
 
 

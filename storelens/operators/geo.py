@@ -103,9 +103,8 @@ def enrich(
     return join_dimension(df, checkpointed(sites.select(*REQUIRED, *added)), REQUIRED, "left")
 
 
-def geojson_feature() -> Column:
-    """One GeoJSON Feature per row as text; absent properties are left out."""
-    return F.to_json(F.struct(
+def _feature() -> Column:
+    return F.struct(
         F.lit("Feature").alias("type"),
         F.struct(F.lit("Point").alias("type"),
                  F.array("longitude", "latitude").alias("coordinates")).alias("geometry"),
@@ -114,7 +113,22 @@ def geojson_feature() -> Column:
             "distance_to_city_km", F.coalesce("cluster_id", F.lit(-1)).alias("cluster_id"),
             F.coalesce("stores_within_10km", F.lit(0)).alias("competition_density"),
         ).alias("properties"),
-    ))
+    )
+
+
+def geojson_feature() -> Column:
+    """One GeoJSON Feature per row as text; absent properties are left out."""
+    return F.to_json(_feature())
+
+
+def geojson_collection(stores: DataFrame, most: int = 10_000) -> DataFrame:
+    """(collection): all features in one GeoJSON FeatureCollection, by store. For small outputs: more than ``most``
+    stores are refused, and :func:`write_geojson` takes them."""
+    if stores.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} features: write one per line instead")
+    features = F.array_sort(F.collect_list(F.struct("store_id", _feature().alias("f"))))
+    return stores.agg(features.alias("all")).select(F.to_json(F.struct(
+        F.lit("FeatureCollection").alias("type"), F.col("all.f").alias("features"))).alias("collection"))
 
 
 def geojson_features(stores: DataFrame) -> DataFrame:

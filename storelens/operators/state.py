@@ -158,3 +158,11 @@ def staging_manifest(rows: DataFrame) -> DataFrame:
     return rows.groupBy("source_file", "store_id", "sheet_type").agg(
         F.count(F.lit(1)).alias("row_count")).withColumns({
             "column_count": F.lit(len(names)), "columns": F.array(*[F.lit(c) for c in names])})
+
+
+def staged_files(files: DataFrame) -> DataFrame:
+    """(store_id, extraction_date, sheet_type, path, bytes) of staged files (path, bytes), from the directories they are in."""
+    def part(name: str) -> Column:
+        return F.url_decode(F.replace(F.regexp_extract("path", f"/{name}=([^/]+)/", 1), F.lit("+"), F.lit("%2B")))
+    return files.select(part("store_id").alias("store_id"), part("extraction_date").cast("date").alias("extraction_date"),
+                        part("sheet_type").alias("sheet_type"), "path", "bytes")

@@ -27,7 +27,7 @@ from ..sources.tables import Warehouse
 
 STAGING, DEAD_LETTERS, RESOLUTIONS = "staging", "dead_letter", "dead_letter_resolution"
 STATE, RESULTS, MANIFEST = "extraction_state", "extraction_results", "staging_manifest"
-VERSIONS = "file_versions"
+VERSIONS, STAGED_FILES = "file_versions", "staged_files"
 RESULT_SCHEMA = ("file_hash string, source_file string, store_id string, success boolean, "
                  "sheets_extracted array<string>, errors array<struct<sheet_type:string,error:string>>, rows bigint")
 
@@ -163,6 +163,7 @@ def _ingest(files: DataFrame, contracts: Sequence[StoreContract] | DataFrame, wh
         F.coalesce("rows", F.lit(0)).alias("rows"), "error"))
     wh.append(RESULTS, results, batch_id)
     wh.append(MANIFEST, state.staging_manifest(rows), batch_id)
+    wh.append(STAGED_FILES, state.staged_files(wh.files(STAGING, batch_id)), batch_id)
 
     kept = opened if options.keep_content else None
     unmatched = fresh.where(F.col("store_id").isNull()).withColumns({

@@ -39,6 +39,11 @@ class Warehouse:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.path(name)}/batch_id={batch_id}")
 
+    def files(self, name: str, batch_id: str) -> DataFrame:
+        """(path, bytes) of the files of one batch, from their listing."""
+        listed = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        return listed.load(f"{self.path(name)}/batch_id={batch_id}").select("path", F.col("length").alias("bytes"))
+
     def read(self, name: str, schema: str | None = None) -> DataFrame:
         """The table with its ``batch_id``.
 

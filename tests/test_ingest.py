@@ -180,6 +180,9 @@ def test_batch_ingest(spark, inbox, contracts, tmp_path):
     stats = state.event_statistics(wh.read(ingest.STATE, state.STATE_SCHEMA)).first()
     assert (stats.total_processed, stats.failed) == (3, 5)
     assert wh.read(ingest.MANIFEST).agg(F.sum("row_count")).first()[0] == staged.count()
+    written = wh.read(ingest.STAGED_FILES).collect()
+    assert {(r.store_id, r.sheet_type) for r in written} == {(r.store_id, r.sheet_type) for r in staged.select("store_id", "sheet_type").distinct().collect()}
+    assert all(r.bytes == os.path.getsize(r.path.removeprefix("file:")) for r in written)
 
     # nothing new: finished files are skipped, failed ones are tried again
     before = staged.count()

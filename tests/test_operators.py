@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from storelens.operators import aggregate as agg
-from storelens.operators import clean, dashboard, fx, kpi, lookup
+from storelens.operators import clean, dashboard, fx, geo, kpi, lookup
 
 D = dt.date
 
@@ -250,3 +250,16 @@ def test_ranking_bottom_is_descending(spark):
 def test_stores_per_region_by_first_appearance(spark):
     df = spark.createDataFrame([("Z", "a", 1), ("A", "b", 2), ("Z", "c", 3)], "economic_region string, store_id string, i int")
     assert [tuple(r) for r in dashboard.stores_per_region(df, order_by="i").collect()] == [("Z", 2), ("A", 1)]
+
+
+def test_feature_collection(spark):
+    import json
+    rows = [(f"s{i}", "JP", "R", "urban", "Tokyo", 1.5, None, None if i else 3, 35.0 + i, 139.0) for i in range(3)]
+    stores = spark.createDataFrame(rows[::-1], "store_id string, country string, economic_region string, urban_rural string, nearest_city string, "
+                                   "distance_to_city_km double, cluster_id int, stores_within_10km long, latitude double, longitude double")
+    whole = json.loads(geo.geojson_collection(stores).first()["collection"])
+    lines = {json.loads(r["feature"])["properties"]["store_id"]: json.loads(r["feature"]) for r in geo.geojson_features(stores).collect()}
+    assert whole == {"type": "FeatureCollection", "features": [lines[f"s{i}"] for i in range(3)]}
+    assert json.loads(geo.geojson_collection(stores.limit(0)).first()["collection"]) == {"type": "FeatureCollection", "features": []}
+    with pytest.raises(ValueError):
+        geo.geojson_collection(stores, most=2)
