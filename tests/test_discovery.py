@@ -5,7 +5,11 @@ import time
 
 import pytest
 
+from storelens.sources import contracts as ct
+from storelens.sources.tables import Warehouse
+from storelens.streaming import arrivals
 from storelens.streaming import discovery as ds
+from tests.test_ingest import config, good_rows, put, sheet
 
 T = dt.datetime(2024, 1, 1)
 
@@ -65,3 +69,22 @@ def test_forgotten_paths_start_anew(stream):
     assert stream(("x", 1, 0, None), forget=8) == []  # timers run with the batch
     assert stream(("a", 1, 0, None), forget=8) == []  # a first look again
     assert stream(("a", 1, 0, None), forget=8) == [("a", 1, 1)]
+
+
+def test_ready_files_are_ingested_and_reported(spark, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    put(inbox / "store_a.xlsx", {"Sales_1": sheet(good_rows(2))})
+    put(inbox / "store_bad.xlsx", b"no workbook")
+    put(inbox / "other.xlsx", {"Sales_1": sheet(good_rows(1))})
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    arrivals.record_looks(spark, str(inbox), wh, "look-1")
+    looks = wh.read(arrivals.LOOKS, ds.LOOK_SCHEMA)
+    assert looks.where("outcome is null and seen_at is not null").count() == 3
+    ready = looks.select("path", "length", "modificationTime").persist()
+    ready.count()
+    done = arrivals.ingest_ready(ready, ct.parse_contracts(config()), wh, "ready-1")
+    assert done.where("success").count() == 1
+    ended = {r.path.rsplit("/", 1)[1]: (r.outcome, r.length) for r in wh.read(arrivals.LOOKS, ds.LOOK_SCHEMA).where("outcome is not null").collect()}
+    assert {n: o for n, (o, _) in ended.items()} == {"store_a.xlsx": "COMPLETED", "store_bad.xlsx": "FAILED", "other.xlsx": "FAILED"}
+    assert all(size == (inbox / n).stat().st_size for n, (_, size) in ended.items())
