@@ -163,3 +163,20 @@ def test_both_ways_of_quantiles_give_the_same_doubles(spark):
         got, want = plain(large), plain({c: small[c] for c in large})
         for c in got:
             assert [x == y or (x != x and y != y) for x, y in zip(got[c], want[c])] == [True] * len(wanted), (c, large[c], small[c])
+
+
+def test_geodesics_between_nearly_opposite_points():
+    # published values (km): points half a degree from the antipode, the antipode on the equator and of a pole
+    known = [((0, 0, 0.5, 179.5), 19936.288579), ((0, 0, 0.5, 179.7), 19944.127421), ((0, 0, 0, 180), 20003.931459), ((90, 0, -90, 77), 20003.931459)]
+    for swap in (False, True):
+        points = np.array([(c, d, a, b) if swap else (a, b, c, d) for (a, b, c, d), _ in known], float)
+        assert np.abs(_vincenty_km(*points.T) - [km for _, km in known]).max() < 1e-3
+    rnd = np.random.default_rng(3)
+    lat, lon = rnd.uniform(-89, 89, 500), rnd.uniform(-180, 180, 500)
+    step = rnd.uniform(-0.6, 0.6, (2, 500))
+    far = _vincenty_km(lat, lon, -lat + step[0], lon + 180 + step[1])
+    assert ((far > 19880) & (far <= 20003.9315)).all()
+    # a detour over any third point is no shorter
+    mid_lat, mid_lon = rnd.uniform(-80, 80, 500), rnd.uniform(-180, 180, 500)
+    detour = _vincenty_km(lat, lon, mid_lat, mid_lon) + _vincenty_km(mid_lat, mid_lon, -lat + step[0], lon + 180 + step[1])
+    assert (detour >= far - 1e-3).all()
