@@ -223,6 +223,10 @@ SQL = {
         SELECT store_id, arg_max(product_id, ingest_ord) AS store_name, any_value(country) AS country,
                any_value(economic_region) AS economic_region, any_value(urban_rural) AS urban_rural
         FROM usd_sales GROUP BY store_id""",
+    "kpi_tooltips": f"""WITH {RECORDS} SELECT store_id, concat_ws(chr(10), store_id || ' | ' || coalesce(nearest_city, 'Unknown'),
+        'MTD Revenue: $' || format('{{:,.0f}}', revenue_mtd_usd), 'SSS Growth: ' || printf('%+.1f%%', same_store_sales_growth * 100),
+        'Region Rank: #' || rank_in_region || '/' || total_stores_in_region, 'Tier: ' || upper(performance_tier)) AS tooltip_summary
+        FROM records""",
     "kpi_markers": f"""WITH {RECORDS} SELECT store_id AS id, country, economic_region AS region,
         performance_tier AS tier, {_COLORS} AS color,
         round(least(10.0::DOUBLE * (1 + ln(greatest(revenue_mtd_usd, 1.0)) / 10), 40.0), 6) AS size,
