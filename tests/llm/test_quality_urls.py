@@ -1,8 +1,11 @@
 """Quality rules and URL filters against plain versions of their definitions."""
 
+import math
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from storelens.llm import quality, sql, urls
 
 BAD = "!! ".join(["WORTH", "NOTHING"] * 60)
@@ -77,9 +80,77 @@ def test_label_model_finds_bad_documents_that_one_rule_sees():
         truth.setdefault(pattern, [0, 0])[good] += 1
     model = quality.fit(list(counts.items()), 5)
     right = sum(truth[p][model.posterior(p) >= 0.5] for p in counts)
-    assert right / 8000 > 0.95 and abs(model.prior - 0.85) < 0.08
-    assert all(model.chance[1][j][0] <= quality.FALSE_ALARMS + 1e-9 for j in range(5))
-    assert quality.fit([], 4).prior == 0.9
+    assert right / 8000 > 0.96 and abs(model.prior - 0.85) < 0.05  # no decision by pattern reaches more than 0.976
+    assert abs(quality.fit([], 4).prior - 0.9) < 1e-9
+    assert quality.fit([((2,), 5)], 1).posterior((2,)) > 0.5
+
+
+def plain_model(patterns, n, rounds):
+    """Class shares, chances and beliefs by the textbook, one document after the other."""
+    classes = range(n + 1)
+
+    def imagined(y, j):
+        return [0.1, 1, 1] if y == 0 else [2, 0.1, 0.1] if j == y - 1 else [1, 1, 1]
+
+    def first(p):
+        bad = [j for j in range(n) if p[j] == 0]
+        good = {0: 0.95, 1: 0.3}.get(len(bad), 0.05)
+        return [good] + [(1 - good) * (1 / len(bad) if j in bad else 0) if bad else (1 - good) / n for j in range(n)]
+    belief = [first(p) for p in patterns]
+    for _ in range(rounds):
+        share = [(sum(b[y] for b in belief) + 1) / (len(patterns) + n + 1) for y in classes]
+        chance = [[imagined(y, j) for j in range(n)] for y in classes]
+        for b, p in zip(belief, patterns):
+            for y in classes:
+                for j in range(n):
+                    chance[y][j][p[j]] += b[y]
+        chance = [[[c / sum(row) for c in row] for row in rows] for rows in chance]
+        belief = []
+        for p in patterns:
+            like = [share[y] for y in classes]
+            for y in classes:
+                for j in range(n):
+                    like[y] *= chance[y][j][p[j]]
+            belief.append([x / sum(like) for x in like])
+    good = [True]
+    for k in range(1, n + 1):
+        rest = [y for y in classes if y not in (0, k)]
+        gain = 0
+        for j in set(range(n)) - {k - 1}:
+            for v in range(3):
+                other = sum(share[y] * chance[y][j][v] for y in rest) / sum(share[y] for y in rest)
+                gain += chance[k][j][v] * math.log(chance[0][j][v] / other)
+        good.append(gain > 0)
+    return [sum(b for b, g in zip(bs, good) if g) for bs in belief], good
+
+
+def test_label_model_equals_the_plain_one(spark):
+    rnd = random.Random(6)
+    rows = [[rnd.choice((0, 1, 1, 1, 2)) if j == 3 else rnd.choices((0, 1, 2), (1, 6, 3))[0] for j in range(5)] for _ in range(150)]
+    rows += [[0, 0, 0, rnd.choice((1, 2)), 2] for _ in range(20)]
+    counts = {}
+    for p in map(tuple, rows):
+        counts[p] = counts.get(p, 0) + 1
+    model = quality.fit(list(counts.items()), 5, rounds=12)
+    want, good = plain_model(rows, 5, 12)
+    assert list(model.good) == [float(g) for g in good] and 0 < sum(good) < 6
+    assert max(abs(model.posterior(p) - w) for p, w in zip(rows, want)) < 1e-9
+    columns = [f"v{j}" for j in range(5)]
+    got = spark.createDataFrame([(i, *p) for i, p in enumerate(rows)], ["i", *columns]).select(
+        "i", *(F.col(c).cast("int") for c in columns)).select("i", quality.posterior(model, columns).alias("q"))
+    assert all(abs(r.q - want[r.i]) < 1e-9 for r in got.collect())
+
+
+def test_posterior_is_not_all_must_pass(spark):
+    """A rule that fires on good documents as others do loses its say; bad documents that others find too do not pass."""
+    rnd = random.Random(8)
+    prose = [[sentence(rnd, 40).capitalize() + "." for _ in range(5)] for _ in range(300)]
+    refrain = [lines + lines[:1] * 3 for lines in prose[:15]]  # a third of the lines repeat, nothing else is wrong
+    junk = [[" | ".join(sentence(rnd, 60).split()) for _ in range(3)] for _ in range(30)]
+    rows = ["\n".join(lines) for lines in (*prose[15:], *refrain, *junk)]
+    found = {r.doc_id: r for r in quality.judged(frame(spark, rows)).collect()}
+    assert all(found[i].vote_lines == 0 and found[i].kept for i in range(285, 300))
+    assert all(found[i].kept for i in range(285)) and not any(found[i].kept for i in range(300, 330))
 
 
 def test_native_plans(spark):
