@@ -68,6 +68,23 @@ def dated_amounts(spark, d):
         F.min("exchange_rate_usd").alias("lowest_rate"), F.max("exchange_rate_usd").alias("highest_rate"))
 
 
+def ranked_sources(spark, d):
+    """Two sources with gaps of weeks: the second covers part of what the first leaves out."""
+    rates, number = order_day_rates(spark, d), F.datediff("rate_date", F.lit("1990-01-01").cast("date"))
+    market = rates.where(F.floor(number / 60) % 3 != 0)
+    bank = rates.where(F.floor(number / 45) % 4 != 1).withColumn("usd_rate", F.col("usd_rate") * 1.01)
+    return [("market", market), ("bank", bank)]
+
+
+def chained_amounts(spark, d):
+    """Amounts by the first source that covers a day, crossed into SGD by the same chain."""
+    out = fx.normalize(_sales(spark, d), sources=ranked_sources(spark, d), tolerance_days=2, reporting="SGD")
+    return out.groupBy("store_id", "rate_source", "target_rate_source").agg(
+        F.count(F.lit(1)).alias("sales"), msum("revenue_usd").alias("revenue_usd"),
+        F.min("exchange_rate_usd").alias("lowest_rate"), F.max("exchange_rate_usd").alias("highest_rate"),
+        msum("revenue_sgd").alias("revenue_sgd"))
+
+
 def fixed_rates(spark, d):
     """Rates between each store's currency and the reporting currencies."""
     stores = rt.stores(spark, d).select("store_id", fx.country_currency(F.col("country")).alias("source"))
@@ -83,6 +100,7 @@ QUERIES = {
     "fx_reporting_amounts": reporting_amounts,
     "fx_rate_used": rate_used,
     "fx_dated_amounts": dated_amounts,
+    "fx_chained_amounts": chained_amounts,
     "fx_fixed_rates": fixed_rates,
 }
 
@@ -129,6 +147,31 @@ SQL = {
                {money_sum("CASE WHEN original_currency = 'USD' THEN revenue ELSE revenue * rate END")} AS revenue_usd,
                min(rate) AS lowest_rate, max(rate) AS highest_rate
         FROM used GROUP BY store_id, rate_source""",
+    "fx_chained_amounts": f"""
+        WITH micro AS (SELECT * FROM (VALUES {_MICRO}) t(currency, i, micro)),
+        days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS rate_date FROM orders),
+        rates AS (SELECT currency, rate_date, n, floor(micro * (900 + n % 200) / 1000) / 1000000.0::DOUBLE AS usd_rate
+                  FROM (SELECT *, date_diff('day', DATE '1990-01-01', rate_date) AS n FROM days) CROSS JOIN micro
+                  WHERE (n + i) % 7 < 2),
+        sources AS (SELECT 0 AS rank, 'market' AS source, currency, rate_date, usd_rate FROM rates WHERE (n // 60) % 3 <> 0
+                    UNION ALL
+                    SELECT 1, 'bank', currency, rate_date, usd_rate * 1.01::DOUBLE FROM rates WHERE (n // 45) % 4 <> 1),
+        needed AS (SELECT DISTINCT original_currency AS currency, CAST(date AS DATE) AS day FROM usd_sales
+                   UNION SELECT DISTINCT 'SGD', CAST(date AS DATE) FROM usd_sales),
+        chosen AS (SELECT currency, day, usd_rate, source
+                   FROM needed JOIN sources USING (currency) WHERE abs(date_diff('day', rate_date, day)) <= 2
+                   QUALIFY row_number() OVER (PARTITION BY currency, day
+                                              ORDER BY rank, abs(date_diff('day', rate_date, day)), rate_date) = 1),
+        used AS (SELECT s.store_id, s.original_currency, s.revenue, coalesce(r.usd_rate, s.exchange_rate_usd) AS rate,
+                        coalesce(r.source, 'fallback') AS rate_source, coalesce(t.usd_rate, 0.74::DOUBLE) AS target,
+                        coalesce(t.source, 'fallback') AS target_rate_source
+                 FROM usd_sales s LEFT JOIN chosen r ON s.original_currency = r.currency AND CAST(s.date AS DATE) = r.day
+                 LEFT JOIN chosen t ON t.currency = 'SGD' AND CAST(s.date AS DATE) = t.day)
+        SELECT store_id, rate_source, target_rate_source, count(*) AS sales,
+               {money_sum("CASE WHEN original_currency = 'USD' THEN revenue ELSE revenue * rate END")} AS revenue_usd,
+               min(rate) AS lowest_rate, max(rate) AS highest_rate,
+               {money_sum("CASE WHEN original_currency = 'SGD' THEN revenue ELSE revenue * (rate / target) END")} AS revenue_sgd
+        FROM used GROUP BY store_id, rate_source, target_rate_source""",
     "fx_fixed_rates": """
         WITH t(target) AS (VALUES ('USD'), ('SGD'), ('HKD'), ('JPY'), ('EUR')),
         pairs AS (SELECT store_id, original_currency AS source, target, f.usd_rate AS a,

@@ -58,12 +58,54 @@ def with_dated_rate(
     return join_dimension(out, days, [currency, "day"]).drop("day", "_from", "_to")
 
 
+def rate_calendar(sources: list[tuple[str, DataFrame]], tolerance_days: int = 3) -> DataFrame:
+    """(currency, day, usd_rate, rate_source): each day's rate from the first of ``sources`` that covers it.
+
+    ``sources`` are (name, rates) in order of preference, rates as in ``rate_days``. A source covers a day if it has a
+    rate within ``tolerance_days`` of it; the nearest counts, of two equally near ones the earlier. Rates reach
+    out to the days around them, so the choice is a minimum per currency and day: no sort, no range join, and the
+    result is bounded by the calendar. Rates without a value, currency or date cover nothing.
+    """
+    if tolerance_days < 0:
+        raise ValueError("tolerance_days must not be negative")
+    reach = None
+    for rank, (name, rates) in enumerate(sources):
+        known = (rates.where(F.col("currency").isNotNull() & F.col("rate_date").isNotNull() & F.col("usd_rate").isNotNull())
+                 .groupBy("currency", F.to_date("rate_date").alias("rate_date")).agg(F.max("usd_rate").alias("usd_rate")))
+        around = known.select(
+            "currency", "rate_date", "usd_rate", F.lit(rank).alias("rank"), F.lit(name).alias("rate_source"),
+            F.explode(F.sequence(F.date_sub("rate_date", tolerance_days), F.date_add("rate_date", tolerance_days))).alias("day"))
+        reach = around if reach is None else reach.unionByName(around)
+    if reach is None:
+        raise ValueError("no rate source given")
+    order = F.struct("rank", F.abs(F.datediff("day", "rate_date")).alias("away"), "rate_date", "usd_rate", "rate_source")
+    return (reach.groupBy("currency", "day").agg(F.min(order).alias("best"))
+            .select("currency", "day", "best.usd_rate", "best.rate_source"))
+
+
+def with_chained_rate(
+    df: DataFrame, calendar: DataFrame, *, currency: str = "original_currency", date: str = "date",
+    name: str = "usd_rate", origin: str = "rate_source",
+) -> DataFrame:
+    """The rate of a ``rate_calendar`` at each row's currency and date, and the source it comes from; null without one."""
+    named = calendar.select(F.col("currency").alias(currency), F.col("day").alias("_day"), F.col("usd_rate").alias(name),
+                            F.col("rate_source").alias(origin))
+    return join_dimension(df.withColumn("_day", F.to_date(date)), named, [currency, "_day"]).drop("_day")
+
+
 def normalize(
     df: DataFrame, *, amount_column: str = "revenue", currency_column: str | None = None,
     country_column: str = "country", date_column: str = "date", reporting: str = "USD",
-    rates: DataFrame | None = None,
+    rates: DataFrame | None = None, sources: list[tuple[str, DataFrame]] | None = None, tolerance_days: int = 3,
 ) -> DataFrame:
-    """Add original_currency, revenue_usd, revenue_<reporting>, exchange_rate_usd, rate_source."""
+    """Add original_currency, revenue_usd, revenue_<reporting>, exchange_rate_usd, rate_source.
+
+    Rates are fixed, or dated by ``rates`` (nearest earlier one), or by ranked ``sources`` (see ``rate_calendar``), whose
+    names then stand in ``rate_source`` and, for the reporting currency, in ``target_rate_source``. Where no
+    dated rate is found the fixed one counts.
+    """
+    if rates is not None and sources is not None:
+        raise ValueError("give rates or sources, not both")
     if reporting not in dim.REPORTING_CURRENCIES:
         raise ValueError(f"reporting currency must be one of {dim.REPORTING_CURRENCIES}")
     if currency_column and currency_column in df.columns:
@@ -74,7 +116,20 @@ def normalize(
     currency, amount = F.col("original_currency"), F.col(amount_column)
     known = dim.lookup(dim.FALLBACK_USD_RATES, currency)
     fixed_source = F.when(known.isNotNull(), "fallback").otherwise("unknown")
-    if rates is None:
+    if sources is not None:
+        calendar = rate_calendar(sources, tolerance_days)
+        out = with_chained_rate(out, calendar, date=date_column, name="_dated", origin="_origin")
+        dated = F.col("_dated").isNotNull() & (currency != "USD")
+        usd = F.when(dated, F.col("_dated")).otherwise(fallback_usd_rate(currency))
+        origin = F.when(dated, F.col("_origin")).otherwise(fixed_source)
+        target_usd = fallback_usd_rate(F.lit(reporting))
+        if reporting != "USD":
+            out = out.withColumn("_target", F.lit(reporting))
+            out = with_chained_rate(out, calendar, currency="_target", date=date_column, name="_target_rate",
+                                    origin="target_rate_source")
+            target_usd = F.coalesce(F.col("_target_rate"), target_usd)
+            out = out.withColumn("target_rate_source", F.coalesce("target_rate_source", F.lit("fallback")))
+    elif rates is None:
         usd, origin = fallback_usd_rate(currency), fixed_source
         target_usd = fallback_usd_rate(F.lit(reporting))
     else:
@@ -96,4 +151,4 @@ def normalize(
         out = out.withColumn(
             f"revenue_{reporting.lower()}",
             F.when(currency == reporting, amount).otherwise(amount * (usd / target_usd)))
-    return out.drop("_dated", "_target", "_target_rate")
+    return out.drop("_dated", "_origin", "_target", "_target_rate")

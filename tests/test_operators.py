@@ -106,6 +106,34 @@ def test_clean_can_interpolate(spark):
 
 # currency
 
+def test_chain_of_rate_sources(spark):
+    day = "date '2024-01-{:02}'".format
+    rows = [(1, "JP", 10), (2, "JP", 13), (3, "JP", 15), (4, "JP", 20), (5, "JP", 26), (6, "US", 10), (7, "KR", 10), (8, "JP", None), (9, "SG", 13)]
+    df = spark.sql("SELECT * FROM VALUES " + ", ".join(
+        f"({i}, '{c}', 100D, {day(d) if d else 'null'})" for i, c, d in rows) + " AS t(i, country, revenue, date)")
+    first = spark.sql(f"SELECT * FROM VALUES ('JPY', {day(10)}, 0.01D), ('JPY', {day(10)}, 0.009D), ('JPY', {day(16)}, 0.02D), ('JPY', {day(14)}, 0.03D), "
+                      f"('JPY', {day(20)}, null), (null, {day(20)}, 7D), ('JPY', null, 7D) AS t(currency, rate_date, usd_rate)")
+    second = spark.sql(f"SELECT * FROM VALUES ('JPY', {day(10)}, 0.5D), ('JPY', {day(21)}, 0.05D), ('SGD', {day(13)}, 0.8D), ('USD', {day(10)}, 9D) "
+                       "AS t(currency, rate_date, usd_rate)")
+    chain = [("first", first), ("second", second)]
+    got = {r.i: (r.exchange_rate_usd, r.rate_source) for r in fx.normalize(df, sources=chain, tolerance_days=2).collect()}
+    assert got == {1: (0.01, "first"), 2: (0.03, "first"), 3: (0.03, "first"), 4: (0.05, "second"), 5: (0.0067, "fallback"),
+                   6: (1.0, "fallback"), 7: (0.00075, "fallback"), 8: (0.0067, "fallback"), 9: (0.8, "second")}
+    exact = {r.i: r.rate_source for r in fx.normalize(df, sources=chain, tolerance_days=0).collect()}
+    assert [i for i, s in exact.items() if s != "fallback"] == [1, 9]
+    cross = {r.i: r for r in fx.normalize(df, sources=chain, tolerance_days=2, reporting="SGD").collect()}
+    assert abs(cross[2].revenue_sgd - 100 * 0.03 / 0.8) < 1e-12 and cross[2].target_rate_source == "second"
+    assert abs(cross[1].revenue_sgd - 100 * 0.01 / 0.74) < 1e-12 and cross[1].target_rate_source == "fallback"
+    assert cross[9].revenue_sgd == 100
+    empty = {r.rate_source for r in fx.normalize(df, sources=[("none", first.limit(0))]).collect()}
+    assert empty == {"fallback"}
+    plan = fx.normalize(df, sources=chain)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    for bad in ({"sources": []}, {"sources": chain, "rates": first}, {"sources": chain, "tolerance_days": -1}):
+        with pytest.raises(ValueError):
+            fx.normalize(df, **bad)
+
+
 def test_as_of_rates_and_fallbacks(spark):
     rates = spark.createDataFrame([("JPY", D(2024, 1, 10), 0.5), ("JPY", D(2024, 1, 20), 0.25)],
                                   "currency string, rate_date date, usd_rate double")
