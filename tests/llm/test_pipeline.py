@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registry():
     names = __spark_entry__.queries()
-    assert {n.split("_")[0] for n in catalog.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in catalog.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(catalog.QUERIES) <= set(names) and "pipeline" in names
     assert set(catalog.SQL) <= set(catalog.QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "toxicity", "near_duplicates", "personal_data", "packing"]
