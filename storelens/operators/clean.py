@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from ..functions.joins import join_dimension
+from ..functions.joins import BROADCAST_ROWS, join_dimension
 from ..functions.materialize import checkpointed, stored
 from ..functions.quantiles import exact_quantiles
 
@@ -86,13 +86,15 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: str = "ingest_or
     """The earliest row of each key (null keys count as equal).
 
     Keys and order alone tell which keys occur more than once and where they begin. Only the rows at those beginnings are
-    compared further (of several there one stays); all other rows pass where they are, unsorted, and are shuffled only if
-    the repeated keys are too many to be sent to every task.
+    compared further (of several there one stays); all other rows pass where they are, unsorted. Repeated keys too many to
+    be sent to every task are not joined at all: then all rows are shuffled once by key, each map task keeping one of a key.
     """
     several = stored(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_times"), F.min(order_by).alias("_begin"))
                      .where("_times > 1"), "repeated-keys")
     if several.isEmpty():
         return df
+    if several.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return df.withColumn("_place", F.row_number().over(W.partitionBy(*keys).orderBy(order_by))).where("_place = 1").drop("_place")
     marked = join_dimension(df, several, keys)
     begins = marked.where(F.col("_times").isNotNull() & F.col(order_by).eqNullSafe(F.col("_begin")))
     first = begins.withColumn("_place", F.row_number().over(W.partitionBy(*keys).orderBy(order_by))).where("_place = 1")

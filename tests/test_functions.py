@@ -132,6 +132,14 @@ def test_join_dimension_both_ways(spark):
         assert join_dimension(facts, dim, ["k"], "inner", broadcast_rows=limit).count() == 51
 
 
+def test_large_dimension_is_never_broadcast(spark):
+    # small in its files, but repeated per share: Spark's own choice would be to send it to every task
+    facts, dim = spark.range(1000).selectExpr("id AS k"), spark.range(0, 1000, 2).selectExpr("id AS k", "id AS w")
+    got = join_dimension(facts, dim, ["k"], broadcast_rows=100)
+    assert got.count() == 1000 and got.where("w is not null").count() == 500
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_nearest_float_is_unchanged(spark):
     # sums survive a value whose tenth digit rounds
     v = math.pi * 1000

@@ -29,6 +29,18 @@ def test_dedupe_keeps_the_first_and_is_idempotent(spark):
     assert tuple(clean.duplicate_counts(df).first()) == (5, 2, 1, 3)
 
 
+def test_many_repeated_keys_are_not_broadcast(spark, monkeypatch):
+    rows = [(k, i) for i in range(3) for k in ("a", "b", None, *(str(n) for n in range(40)))] + [("once", 7), ("a", 0)]
+    df = spark.createDataFrame([(k, i, f"{k}{i}") for k, i in rows], "k string, ingest_ord int, text string").repartition(4)
+    few = clean.first_per_key(df, ["k"])
+    monkeypatch.setattr("storelens.operators.clean.BROADCAST_ROWS", 10, raising=False)
+    monkeypatch.setattr("storelens.functions.joins.join_dimension.__kwdefaults__", {"broadcast_rows": 10, "salts": 16})
+    many = clean.first_per_key(df, ["k"])
+    assert sorted(many.collect(), key=repr) == sorted(few.collect(), key=repr) and many.count() == 44
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "_share" not in plan
+
+
 def test_fill_missing_by_type(spark):
     df = sales(spark, [("a", None, None, None, None, 1)])
     assert tuple(clean.fill_missing(df).first()) == ("a", None, "UNKNOWN", 0, 0.0, 1)
