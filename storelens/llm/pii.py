@@ -12,8 +12,9 @@ where the largest messages that a document's tokens could get provably leave all
 The potentials come from counts over all documents, in tables of fixed size, so what the driver and every task hold does
 not grow with them. Shapes that occur in confirmed spans are kept with all their counts in ``SHAPES`` places by hash; of
 several in one place the one confirmed most often stays. Of the others only the number decides, and only up to
-``OFTEN``: ``NEVER`` bytes hold the numbers by hash, and shapes that share a byte count together, which only makes
-them less suspicious.
+``OFTEN``: ``NEVER`` bytes hold the numbers by hash, and ``SHAPES`` places those found so often. The tables know which
+places more than one shape asked for. Documents with a shape whose counts they therefore do not tell are joined with
+the counts of these shapes, so every token is judged by its own shape's counts, whatever the number of shapes.
 
 Defined results: null text is empty and has no spans; repeated rows are treated alike; an empty table gives no rows; any
 column but the id and the text passes through ``redacted`` unread, ``n_chars`` is set to the new length.
@@ -25,13 +26,14 @@ import hashlib
 import math
 import re
 from collections import Counter, defaultdict
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
-from ..functions.materialize import checkpointed
+from ..functions.materialize import checkpointed, stored
 from .words import chunks
 
 KINDS = ("email", "ip", "card", "phone")
@@ -55,6 +57,7 @@ ANY = re.compile(r"[0-9@]")
 MARKED = re.compile(r"[0-9@]\S*")
 
 Span = tuple[str, int, int]
+SLOTS = tuple(f"n{i}" for i in range(len(KINDS) + 1))
 
 
 def emails(text: str) -> list[Span]:
@@ -160,6 +163,9 @@ class Field:
         numbers of shapes that are in no confirmed span."""
         n = len(KINDS) + 1
         self.never = never if never is not None else np.zeros(1, np.uint8)
+        self.often: frozenset[int] = frozenset()  # hashes of shapes in no confirmed span, found ``OFTEN`` or more times
+        self.lost, self.mixed = np.zeros(1, bool), np.zeros(1, bool)  # places that several shapes asked for
+        self.totals: DataFrame | None = None  # the counts of all shapes; stays on the driver
         self.shapes: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(n))
         for code, labels in (shapes or {}).items():
             self.shapes[code] += labels
@@ -176,29 +182,47 @@ class Field:
         self.next = np.clip(np.log(joint / np.outer(joint.sum(1), joint.sum(0))), -LIMIT, LIMIT)
         self.alike = min(LIMIT, max(0.0, math.log(agree[1] / agree[0])))
 
-    def seen(self, key: str) -> np.ndarray | None:
-        """The label counts of a shape, None if it stands nowhere."""
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "totals": None}
+
+    def doubtful(self, text: str) -> list[str]:
+        """The shapes in ``text`` whose counts the tables do not tell."""
+        out = set()
+        for key in {shape(text[a:b]) for a, b in marked_tokens(text)}:
+            code = hash_of(key)
+            if code not in self.shapes and code not in self.often and (
+                    self.lost[code % len(self.lost)] or self.mixed[code % len(self.mixed)]):
+                out.add(key)
+        return sorted(out)
+
+    def seen(self, key: str, exact: dict[str, list[int]] | None = None) -> np.ndarray | None:
+        """The label counts of a shape, None if it stands nowhere; ``exact`` has those the tables do not tell."""
+        if exact and key in exact:
+            return np.array(exact[key], float)
         code = hash_of(key)
         if code in self.shapes:
             return self.shapes[code]
+        if code in self.often:
+            return np.array([OFTEN, *[0] * len(KINDS)], float)
         number = int(self.never[code % len(self.never)])
         return np.array([number, *[0] * len(KINDS)], float) if number else None
 
-    def unary(self, token: str) -> np.ndarray:
+    def unary(self, token: str, exact: dict[str, list[int]] | None = None) -> np.ndarray:
         """Log potential of a token outside the confirmed spans."""
-        seen = self.seen(shape(token))
+        seen = self.seen(shape(token), exact)
         share = (seen + 0.1) / (seen + 0.1).sum() if seen is not None else np.full(len(KINDS) + 1, 0.02)
         out = np.log(np.maximum(share, RAREST) * MISSED)
         out[0] = np.log(1 - MISSED)
         return out
 
-    def labels(self, text: str, tokens: list[tuple[int, int]], known: np.ndarray) -> np.ndarray:
+    def labels(self, text: str, tokens: list[tuple[int, int]], known: np.ndarray,
+               exact: dict[str, list[int]] | None = None) -> np.ndarray:
         """The believed label of each token, 0 where none is sure."""
         n, k = len(tokens), len(KINDS) + 1
         words = [text[a:b] for a, b in tokens]
         own = np.zeros((n, k))
         for i, w in enumerate(words):
-            own[i] = np.where(np.arange(k) == known[i], 0.0, -50.0) if known[i] else self.unary(w)
+            own[i] = np.where(np.arange(k) == known[i], 0.0, -50.0) if known[i] else self.unary(w, exact)
         groups = defaultdict(list)
         for i, w in enumerate(words):
             for key in alike_keys(w):
@@ -243,14 +267,14 @@ class Field:
         best = chance.argmax(axis=1)
         return np.where((best > 0) & (chance.max(axis=1) >= SURE), best, 0)
 
-    def spans(self, text: str) -> tuple[list[Span], list[Span]]:
+    def spans(self, text: str, exact: dict[str, list[int]] | None = None) -> tuple[list[Span], list[Span]]:
         """Confirmed spans, and all spans with what the field adds."""
         base = base_spans(text)
         tokens = marked_tokens(text) if ANY.search(text) else []
         known = observed(tokens, base)
         if known.all():
             return base, base
-        found = self.labels(text, tokens, known)
+        found = self.labels(text, tokens, known, exact)
         added: list[list] = []
         for i, (a, b) in enumerate(tokens):
             if not found[i] or known[i]:
@@ -295,7 +319,7 @@ def statistics(text: str) -> Counter:
 
 def fit(docs: DataFrame) -> Field:
     """A field from all of ``docs`` (doc_id, text)."""
-    slots = [f"n{i}" for i in range(len(KINDS) + 1)]
+    slots = SLOTS
 
     def count(batches):
         for batch in batches:
@@ -317,31 +341,77 @@ def fit(docs: DataFrame) -> Field:
     code, confirmed = F.xxhash64("key"), sum(F.col(c) for c in slots[1:])
     shapes = totals.where("what = 'shape'").select(code.alias("code"), confirmed.alias("confirmed"), *slots)
     kept = shapes.where("confirmed > 0").groupBy(F.pmod("code", F.lit(SHAPES)).alias("place")).agg(
-        F.max_by(F.struct("code", *slots), F.struct("confirmed", "code")).alias("most"))  # at most SHAPES rows
+        F.max_by(F.struct("code", *slots), F.struct("confirmed", "code")).alias("most"),
+        (F.count(F.lit(1)) > 1).alias("lost")).collect()  # at most SHAPES rows
     others = shapes.where("confirmed = 0").groupBy(F.pmod("code", F.lit(NEVER)).alias("place")).agg(
-        F.least(F.sum("n0"), F.lit(OFTEN)).cast("int").alias("n")).toArrow()  # at most NEVER rows
+        F.least(F.sum("n0"), F.lit(OFTEN)).cast("int").alias("n"), (F.count(F.lit(1)) > 1).alias("mixed")).toArrow()  # at most NEVER rows
+    often = shapes.where((F.col("confirmed") == 0) & (F.col("n0") >= OFTEN)).groupBy(F.pmod("code", F.lit(SHAPES))).agg(
+        F.max_by("code", F.struct("n0", "code")).alias("code")).collect()  # at most SHAPES rows
     never = np.zeros(NEVER, np.uint8)
-    never[others["place"].to_numpy()] = others["n"].to_numpy()
-    return Field(counts, {r["most"]["code"]: [r["most"][c] for c in slots] for r in kept.collect()}, never)
-
-
-def found(docs: DataFrame, field: Field) -> DataFrame:
-    """Numbers of confirmed spans per kind, their digest, and all spans, per document."""
+    places = others["place"].to_numpy()
+    never[places] = others["n"].to_numpy()
+    field = Field(counts, {r["most"]["code"]: [r["most"][c] for c in slots] for r in kept}, never)
+    field.lost, field.mixed = np.zeros(SHAPES, bool), np.zeros(NEVER, bool)
+    field.lost[[r["place"] for r in kept if r["lost"]]] = True
+    field.mixed[places[others["mixed"].to_numpy()]] = True
+    field.often = frozenset(r["code"] for r in often)
+    field.totals = totals.where("what = 'shape'").select("key", *slots)
+    return field
+
+
+def _over(docs: DataFrame, field: Field, build: Callable[[pa.RecordBatch, list[tuple[list[Span], list[Span]]]], pa.RecordBatch],
+          schema: str | T.StructType) -> DataFrame:
+    """What ``build`` makes of slices of ``docs`` and their spans, under the columns of ``schema``.
+
+    Documents of which the tables tell everything are done where they are read. The others are stored, joined with the
+    counts of the shapes in doubt, and done after them.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(field)
+    crowded = bool(field.lost.any() or field.mixed.any())
 
-    def run(batches):
+    def told(batches):
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                if crowded:
+                    part = part.filter(pa.array([not shared.value.doubtful(t or "") for t in part.column("text").to_pylist()], pa.bool_()))
+                yield build(part, [shared.value.spans(t or "") for t in part.column("text").to_pylist()])
+    out = docs.mapInArrow(told, schema)
+    if not crowded:
+        return out
+
+    def doubtful(batches):
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                keys = pa.array([shared.value.doubtful(t or "") for t in part.column("text").to_pylist()], pa.list_(pa.string()))
+                part = part.append_column("_keys", keys)
+                yield part.filter(pa.array([bool(k) for k in keys.to_pylist()], pa.bool_()))
+    kind = T.StructType([*docs.schema.fields, T.StructField("_keys", T.ArrayType(T.StringType()))])
+    rows = stored(docs.mapInArrow(doubtful, kind).withColumn("_row", F.monotonically_increasing_id()), "doubtful")
+    counts = rows.select("_row", F.explode("_keys").alias("key")).join(field.totals, "key").groupBy("_row").agg(
+        F.collect_list(F.struct("key", F.array(*SLOTS).alias("n"))).alias("_counts"))  # a row per shape of one document
+
+    def judged(batches):
         for batch in batches:
             for part in chunks(batch, "text"):
-                both = [shared.value.spans(t or "") for t in part.column("text").to_pylist()]
-                counts = [Counter(s[0] for s in base) for base, _ in both]
-                yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), *(pa.array([c[k] for c in counts], pa.int64()) for k in KINDS),
-                    pa.array([hashlib.sha256(joined(base).encode()).hexdigest() for base, _ in both], pa.string()),
-                    pa.array([joined(spans) for _, spans in both], pa.string())],
-                    ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
+                exact = [{c["key"]: c["n"] for c in r} for r in part.column("_counts").to_pylist()]
+                texts = part.column("text").to_pylist()
+                yield build(part.select(docs_columns), [shared.value.spans(t or "", e) for t, e in zip(texts, exact)])
+    docs_columns = docs.columns
+    return out.unionByName(rows.drop("_keys").join(counts, "_row").drop("_row").mapInArrow(judged, schema))
+
+
+def found(docs: DataFrame, field: Field) -> DataFrame:
+    """Numbers of confirmed spans per kind, their digest, and all spans, per document."""
+    def build(part: pa.RecordBatch, both: list[tuple[list[Span], list[Span]]]) -> pa.RecordBatch:
+        counts = [Counter(s[0] for s in base) for base, _ in both]
+        return pa.RecordBatch.from_arrays([
+            part.column("doc_id"), *(pa.array([c[k] for c in counts], pa.int64()) for k in KINDS),
+            pa.array([hashlib.sha256(joined(base).encode()).hexdigest() for base, _ in both], pa.string()),
+            pa.array([joined(spans) for _, spans in both], pa.string())],
+            ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans"])
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, {', '.join(f'n_{k} long' for k in KINDS)}, base_sha256 string, spans string")
+    return _over(docs.select("doc_id", "text"), field, build,
+                 f"doc_id {kind}, {', '.join(f'n_{k} long' for k in KINDS)}, base_sha256 string, spans string")
 
 
 def redact(text: str, spans: list[Span]) -> str:
@@ -356,19 +426,15 @@ def redact(text: str, spans: list[Span]) -> str:
 
 def redacted(docs: DataFrame, field: Field) -> DataFrame:
     """``docs`` with personal data replaced in ``text`` and ``n_chars`` following it; other columns as they are."""
-    shared = docs.sparkSession.sparkContext.broadcast(field)
-
-    def run(batches):
-        for batch in batches:
-            for part in chunks(batch, "text"):
-                texts = [None if t is None else redact(t, shared.value.spans(t)[1]) for t in part.column("text").to_pylist()]
-                at = part.schema.get_field_index("text")
-                part = part.set_column(at, "text", pa.array(texts, part.schema.field("text").type))
-                if "n_chars" in part.schema.names:
-                    at = part.schema.get_field_index("n_chars")
-                    part = part.set_column(at, "n_chars", pa.array([None if t is None else len(t) for t in texts], part.schema.field("n_chars").type))
-                yield part
-    return docs.mapInArrow(run, docs.schema)
+    def build(part: pa.RecordBatch, both: list[tuple[list[Span], list[Span]]]) -> pa.RecordBatch:
+        texts = [None if t is None else redact(t, spans) for t, (_, spans) in zip(part.column("text").to_pylist(), both)]
+        at = part.schema.get_field_index("text")
+        part = part.set_column(at, "text", pa.array(texts, part.schema.field("text").type))
+        if "n_chars" in part.schema.names:
+            at = part.schema.get_field_index("n_chars")
+            part = part.set_column(at, "n_chars", pa.array([None if t is None else len(t) for t in texts], part.schema.field("n_chars").type))
+        return part
+    return _over(docs, field, build, docs.schema)
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

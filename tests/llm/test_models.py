@@ -234,6 +234,25 @@ def test_field_tables_have_a_fixed_size(spark, monkeypatch):
     assert pii.hash_of(pii.shape("+1")) % 2 not in {c % 2 for c in field.shapes} or any(field.shapes[c].sum() >= 400 for c in field.shapes)
 
 
+def test_shapes_without_a_place_keep_their_own_counts(spark, monkeypatch):
+    texts = [f"call +1 (386) 555-{1000 + i} or a{'b' * (i % 40)}@c.de, {'y' * (i % 30)}9 pieces" for i in range(400)]
+    texts += [f"Call +1 (386) 555-{2000 + i} now. Later text says 555-{2000 + i} again, order {'z' * (i % 25)}-9" for i in range(50)] + [None, ""]
+    rows = [(i, t, None if t is None else len(t)) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").repartition(3)
+    counts = Counter()
+    for t in texts:
+        counts.update(pii.statistics(t or ""))
+    whole = pii.Field(counts)  # every shape with its own counts
+    monkeypatch.setattr(pii, "SHAPES", 2)
+    monkeypatch.setattr(pii, "NEVER", 4)
+    field = pii.fit(frame.select("doc_id", "text"))
+    assert len(field.shapes) <= 2 and len(field.often) <= 2
+    got = {r.doc_id: r.spans for r in pii.found(frame, field).collect()}
+    assert got == {i: pii.joined(whole.spans(t or "")[1]) for i, t in enumerate(texts)}
+    clean = {r.doc_id: r.text for r in pii.redacted(frame, field).collect()}
+    assert clean == {i: None if t is None else pii.redact(t, whole.spans(t)[1]) for i, t in enumerate(texts)}
+
+
 def test_field_runs_without_a_confirmed_span(monkeypatch):
     rnd = random.Random(5)
     counts = Counter()
