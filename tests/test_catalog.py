@@ -1,6 +1,7 @@
 """Every checked query against its SQL, on the smallest tables."""
 
 import os
+import re
 
 import pytest
 
@@ -62,3 +63,19 @@ def test_store_radius_reaches_the_scan(spark, tmp_path):
     near = geo.stores_near(spark.read.parquet(str(tmp_path / "stores")), 35.0, 139.0, 50.0)
     assert [r.store_id for r in near.collect()] == ["a"]
     assert "GreaterThanOrEqual(latitude" in near._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["contract_accepted_rows", "contract_accepted_sheets"])
+def test_contract_checks_are_compiled_in_any_session(spark, name):
+    # the JVM interprets methods above 8000 bytes; Spark's default lets them pass
+    plain = {"spark.sql.codegen.hugeMethodLimit": "65535", "spark.sql.adaptive.enabled": "false"}
+    tuned = {key: spark.conf.get(key) for key in plain}
+    try:
+        for key, value in plain.items():
+            spark.conf.set(key, value)
+        code = spark._jvm.PythonSQLUtils.explainString(QUERIES[name](spark, SF)._jdf.queryExecution(), "codegen")
+    finally:
+        for key, value in tuned.items():
+            spark.conf.set(key, value)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) <= 8000
