@@ -156,9 +156,10 @@ def interpolate(df: DataFrame, columns: Sequence[str], order_by: str = "ingest_o
     into ordered slices; what a slice needs from its neighbours is one small row per slice.
     """
     n = slices or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // SLICE_ROWS))
-    w = W.partitionBy("_slice").orderBy(order_by)
-    cut = df.repartitionByRange(n, order_by).withColumn("_slice", F.spark_partition_id())
-    placed = stored(cut.withColumn("_pos", F.row_number().over(w).cast("bigint")), "interpolate")
+    # the place in a sorted slice without a window: the number of the slice in the upper bits, from 0 in the 33 lower ones
+    cut = df.repartitionByRange(n, order_by).sortWithinPartitions(order_by).withColumn("_place", F.monotonically_increasing_id())
+    placed = stored(cut.select(*df.columns, F.shiftright("_place", 33).cast("int").alias("_slice"),
+                               (F.col("_place").bitwiseAND((1 << 33) - 1) + 1).alias("_pos")), "interpolate")
     ends = [F.count(F.lit(1)).alias("_rows")]
     for c in columns:
         at = F.when(F.col(c).isNotNull(), F.col("_pos"))
@@ -179,9 +180,10 @@ def interpolate(df: DataFrame, columns: Sequence[str], order_by: str = "ingest_o
                     F.last(f"_first_{c}", True).over(after).alias(f"_next_{c}")]
     summary = summary.select("_slice", "_base", *carried)
     out = placed.join(F.broadcast(summary), "_slice").withColumn("_pos", F.col("_pos") + F.col("_base"))
-    back = w.rowsBetween(W.unboundedPreceding, 0)
+    # by the place, which sorts as the order does and is a plain number
+    back = W.partitionBy("_slice").orderBy("_pos").rowsBetween(W.unboundedPreceding, 0)
     # the same running frame from the other end: a frame that shrinks from the left is quadratic
-    ahead = W.partitionBy("_slice").orderBy(F.col(order_by).desc()).rowsBetween(W.unboundedPreceding, 0)
+    ahead = W.partitionBy("_slice").orderBy(F.col("_pos").desc()).rowsBetween(W.unboundedPreceding, 0)
     here = {c: F.when(F.col(c).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(c).cast("double").alias("v"))) for c in columns}
     # one sort for all columns each way
     out = out.withColumns({f"_p_{c}": F.coalesce(F.last(h, True).over(back), F.col(f"_prev_{c}")) for c, h in here.items()})

@@ -110,6 +110,15 @@ def test_clean_report_accounts_for_every_row(spark):
     assert values[("summary", None, "retention_rate")] == 1.25
 
 
+def test_interpolation_places_rows_with_one_shuffle(spark, monkeypatch):
+    plans, keep = [], clean.stored
+    monkeypatch.setattr(clean, "stored", lambda df, name: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or keep(df, name))
+    df = spark.range(100).selectExpr("id AS ingest_ord", "IF(id % 3 = 0, double(id), NULL) AS v")
+    assert clean.interpolate(df, ["v"], slices=4).where("abs(v - least(ingest_ord, 99)) > 1e-9").isEmpty()
+    assert plans[0].count("Exchange ") == 1 and "Window" not in plans[0]
+
+
 def test_clean_can_interpolate(spark):
     rows = [("a", D(2024, 1, i), "p", 1, v, i) for i, v in ((1, 10.0), (2, None), (3, 30.0))]
     out, _ = clean.clean(sales(spark, rows), clean.CleanConfig(interpolate_missing=True))
