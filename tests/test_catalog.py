@@ -4,6 +4,7 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from storelens import catalog
 from storelens.catalog import check
@@ -79,3 +80,18 @@ def test_contract_checks_are_compiled_in_any_session(spark, name):
             spark.conf.set(key, value)
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
     assert sizes and max(sizes) <= 8000
+
+
+def test_file_names_are_taken_from_the_sales_once(spark, monkeypatch):
+    from storelens.catalog import frames, state
+    evaluated, sales = spark.sparkContext.accumulator(0), frames.usd_sales(spark, SF, "country")
+
+    @F.udf("string")
+    def seen(country):
+        evaluated.add(1)
+        return country
+
+    monkeypatch.setattr(frames, "usd_sales", lambda *_: sales.withColumn("country", seen("country")))
+    assert state.incremental_kpis(spark, SF).count() > 0
+    # once for the names, once for each of three loads
+    assert evaluated.value <= 4 * sales.count()
