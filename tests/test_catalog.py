@@ -95,3 +95,9 @@ def test_file_names_are_taken_from_the_sales_once(spark, monkeypatch):
     assert state.incremental_kpis(spark, SF).count() > 0
     # once for the names, once for each of three loads
     assert evaluated.value <= 4 * sales.count()
+
+
+def test_workbooks_are_decoded_once(spark):
+    found = catalog.queries()["ingest_workbook_round_trip"](spark, SF)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "SortMergeJoin" not in plan  # the typed rows are read, rejected sheets are sent to them

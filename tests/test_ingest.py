@@ -6,6 +6,7 @@ import json
 import os
 import time
 import zipfile
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from storelens.plans.transform import load_kpi_data, staged_sales
 from storelens.sources import contracts as ct
 from storelens.sources import files as fs
 from storelens.sources.tables import Warehouse
+from storelens.sources import workbook
 from storelens.sources.workbook import Workbook, table_rows
 from storelens.streaming.arrivals import tick, watch
 
@@ -105,6 +107,40 @@ def test_workbook_cells():
     assert last["n"] == ("n", "2.5") and last["t"] is None
 
 
+def with_sheet(xml):
+    """A workbook whose only sheet is the given XML."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(io.BytesIO(workbook_bytes({"A": [["ab", "abcd"]]}))) as old, zipfile.ZipFile(out, "w") as new:
+        for name in old.namelist():
+            new.writestr(name, xml if name.endswith("sheet1.xml") else old.read(name))
+    return Workbook(out.getvalue())
+
+
+def test_plain_rows_and_rows_of_other_forms_read_alike(monkeypatch):
+    ns = workbook.MAIN[1:-1]
+    plain = "".join(f'<row r="{n}" spans="1:5"><c r="A{n}" s="1"><v>{45000 + n}</v></c><c r="B{n}" t="s"><v>{n % 2}</v></c><c r="C{n}" s="1"/>'
+                    f'<c r="D{n}" t="inlineStr"><is><t>x{n}</t></is></c><c r="AA{n}"><v>{n}.50</v></c></row>' for n in range(2, 2002) if n % 7)
+    other = ('<row r="3000" ht="15"><c r="A3000" t="str"><f>1&lt;2</f><v>a &amp; b</v></c><!-- <row r="1"> --><c><v>7</v></c>'
+             '<c t="inlineStr"><is><r><t>p</t></r><r><t>q</t></r></is></c><c r="F3000" t="b"><v>1</v></c><c r="G3000" t="e"><v>#N/A</v></c></row>'
+             '<row><c r="B3001"><v>1e20</v></c></row>')
+    tail = "".join(f'<row r="{n}"><c r="A{n}"><v>{n}</v></c></row>' for n in range(3005, 3007))
+    xml = f'<worksheet xmlns="{ns}"><sheetData>{plain}{other}{tail}</sheetData><rowBreaks count="0"/></worksheet>'
+    rows = list(with_sheet(xml).rows("A"))
+    assert len(rows) == 3006 and rows[0] == rows[6] == rows[2998] == {}
+    assert rows[8] == {1: ("d", "2023-03-24 00:00:00"), 2: ("s", "abcd"), 3: None, 4: ("s", "x9"), 27: ("n", "9.5")}
+    assert rows[2999] == {1: ("s", "a & b"), 2: ("n", "7"), 3: ("s", "pq"), 6: ("b", "true"), 7: None}
+    assert rows[3000] == {2: ("n", "1e+20")} and rows[3004:] == [{1: ("n", "3005")}, {1: ("n", "3006")}]
+    prefixed = xml.replace("<", "<m:").replace("<m:/", "</m:").replace("<m:!--", "<!--").replace("xmlns=", "xmlns:m=")
+    assert list(with_sheet(prefixed).rows("A")) == rows
+    for broken in (xml[:-20], xml.replace("</sheetData>", ""), xml.replace("</row>" + tail, tail), xml[:len(plain) // 2]):
+        with pytest.raises(ElementTree.ParseError):
+            list(with_sheet(broken).rows("A"))
+    parsed = []
+    monkeypatch.setattr(workbook._Rows, "_start", lambda self, name, attributes: parsed.append(name))
+    assert len(list(with_sheet(xml.replace(other, "")).rows("A"))) == 3006
+    assert workbook.ROW not in parsed  # plain rows cost no call per element
+
+
 def test_contract_files(tmp_path):
     path = tmp_path / "c.json"
     path.write_text(json.dumps(config()))
