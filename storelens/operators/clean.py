@@ -7,7 +7,7 @@ aggregate per stage, not one job per column.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -357,21 +357,36 @@ def _long(wide: DataFrame, check: str, names: dict[str, tuple[str, str]]) -> Dat
 
 
 def clean(df: DataFrame, config: CleanConfig = CleanConfig()) -> tuple[DataFrame, DataFrame]:
-    """Run all steps in order; return the cleaned frame and the quality report.
+    """Run all steps in order; return the cleaned frame and the quality report."""
+    out, report = clean_steps(df, config)
+    return out, report()
+
+
+def clean_steps(df: DataFrame, config: CleanConfig = CleanConfig()) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """The cleaned frame, and what makes the quality report: its passes over the rows run only where it is called.
 
     The deduplicated frame is stored once, because the report and the remaining steps read it.
     """
+    deduped = stored(remove_duplicates(df, config) if config.deduplicate else df, "deduplicated")
+    numbers = numeric_columns(deduped, [config.order_by])
+    filled = fill_missing(deduped, [config.order_by])
+    if config.interpolate_missing:
+        filled = fill_missing(interpolate(deduped, numbers, config.order_by), [config.order_by, *numbers])
+    positive = handle_negatives(filled, config.handle_negative)
+    out = fill_missing_dates(positive, config) if config.fill_missing_dates else positive
+    out = standardize_text(out, config)
+    return out, lambda: _report(df, deduped, filled, positive, out, config)
+
+
+def _report(df: DataFrame, deduped: DataFrame, filled: DataFrame, positive: DataFrame, out: DataFrame,
+            config: CleanConfig) -> DataFrame:
+    """The quality report from the frames that the steps leave behind."""
     parts: list[DataFrame] = []
     start = checkpointed(duplicate_counts(df, config))  # one row, read by two parts of the report
-    deduped = stored(remove_duplicates(df, config) if config.deduplicate else df, "deduplicated")
     names = {n: (None, n) for n in ("exact_removed", "fuzzy_removed", "total_removed")}
     if config.deduplicate:
         parts.append(_long(start, "duplicates", names))
     counted = [c for c in deduped.columns if c != config.order_by]
-    numbers = numeric_columns(deduped, [config.order_by])
-    filled = fill_missing(deduped, [config.order_by])
-    if config.interpolate_missing:
-        filled = fill_missing(interpolate(deduped, numbers, config.order_by), [config.order_by, *numbers])
     checks = {**_range_checks(filled, config), **_date_checks(filled, config)}
     # nulls, ranges and dates from one pass: what was null is marked before it is filled
     missing = {f"_null_{c}": F.count_if(F.col(f"_null_{c}")).alias(f"_null_{c}") for c in counted}
@@ -389,17 +404,14 @@ def clean(df: DataFrame, config: CleanConfig = CleanConfig()) -> tuple[DataFrame
         parts.append(_long(wide, "range_validation", ranges))
     if dates:
         parts.append(_long(wide, "date_validation", dates))
-    out = handle_negatives(filled, config.handle_negative)
     if config.detect_outliers:
-        parts.append(outlier_counts(out, numbers, config).select(
+        parts.append(outlier_counts(positive, numeric_columns(deduped, [config.order_by]), config).select(
             F.lit("outlier_detection").alias("check"), "column", F.lit(config.outlier_method).alias("metric"),
             F.col("outliers").cast("double").alias("value")))
     if config.fill_missing_dates:
-        added = gap_stores(out, config).agg(F.coalesce(F.sum(
+        added = gap_stores(positive, config).agg(F.coalesce(F.sum(
             F.datediff("_to", "_from") + 1 - F.col("_days")), F.lit(0)).alias("filled_count"))
         parts.append(_long(added, "missing_dates_filled", {"filled_count": (None, "filled_count")}))
-        out = fill_missing_dates(out, config)
-    out = standardize_text(out, config)
     totals = start.select(F.col("initial_rows").alias("initial_rows")).withColumn(
         "final_rows", out.agg(F.count(F.lit(1))).scalar())
     totals = totals.withColumns({
@@ -407,4 +419,4 @@ def clean(df: DataFrame, config: CleanConfig = CleanConfig()) -> tuple[DataFrame
         "retention_rate": F.coalesce(F.try_divide(
             F.col("final_rows").cast("double"), F.col("initial_rows").cast("double")), F.lit(0.0))})
     parts.append(_long(totals, "summary", {n: (None, n) for n in totals.columns}))
-    return out, reduce(lambda a, b: a.unionByName(b), parts)
+    return reduce(lambda a, b: a.unionByName(b), parts)

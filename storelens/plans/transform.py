@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -19,10 +20,15 @@ class Transformed:
     enriched: DataFrame
     normalized: DataFrame
     cleaned: DataFrame
-    quality_report: DataFrame
+    make_report: Callable[[], DataFrame]
     regional_summary: DataFrame
     same_store_sales: DataFrame
 
+    @cached_property
+    def quality_report(self) -> DataFrame:
+        """Made when it is first asked for: it reads all rows several times."""
+        return self.make_report()
+
 
 def transform(
     df: DataFrame, *, reporting: str = "USD", rates: DataFrame | None = None,
@@ -44,19 +50,16 @@ def transform(
         known = geo.enrich(stores.select(*geo.REQUIRED), distance=distance)
         enriched = join_dimension(df.drop(*geo.REQUIRED[1:]), known, ["store_id"])
     normalized = fx.normalize(enriched, reporting=reporting, rates=rates)
-    cleaned, report = clean.clean(normalized, config)
+    cleaned, make_report = clean.clean_steps(normalized, config)
     cleaned = stored(cleaned, "cleaned")
-    steps: dict[str, Callable[[], DataFrame]] = {
-        "enriched": lambda: enriched, "normalized": lambda: normalized, "cleaned": lambda: cleaned,
-        "quality_report": lambda: report,
-        "regional_aggregation": lambda: aggregate.aggregate_by_region(cleaned),
-        "same_store_sales": lambda: aggregate.same_store_sales(cleaned, order_by=[config.order_by])}
-    frames = {name: make() for name, make in steps.items()}
+    out = Transformed(enriched, normalized, cleaned, make_report, aggregate.aggregate_by_region(cleaned),
+                      aggregate.same_store_sales(cleaned, order_by=[config.order_by]))
     if save_to is not None:
-        for name, frame in frames.items():
+        for name, frame in {
+                "enriched": out.enriched, "normalized": out.normalized, "cleaned": out.cleaned, "quality_report": out.quality_report,
+                "regional_aggregation": out.regional_summary, "same_store_sales": out.same_store_sales}.items():
             save_to.write_snapshot(name, frame)
-    return Transformed(frames["enriched"], frames["normalized"], cleaned, report,
-                       frames["regional_aggregation"], frames["same_store_sales"])
+    return out
 
 
 # Columns of a staged sale; a contract's further columns stay in the staging files.

@@ -110,6 +110,21 @@ def test_clean_report_accounts_for_every_row(spark):
     assert values[("summary", None, "retention_rate")] == 1.25
 
 
+def test_the_quality_report_is_made_when_it_is_asked_for(spark, monkeypatch):
+    from storelens.plans import transform as tf
+    asked, counts = [], clean.duplicate_counts
+    monkeypatch.setattr(clean, "duplicate_counts", lambda *a: asked.append(1) or counts(*a))
+    for step, names in ((geo, ["enrich"]), (fx, ["normalize"]), (agg, ["aggregate_by_region", "same_store_sales"])):
+        for name in names:
+            monkeypatch.setattr(step, name, lambda df, **_: df)
+    rows = [("a", D(2024, 1, d), "p", 1, 5.0, d) for d in (1, 2, 4)]
+    out = tf.transform(sales(spark, rows + rows[:1]))
+    assert out.cleaned.count() == 4 and out.same_store_sales.count() == 4 and not asked
+    values = {(r["check"], r.metric): r.value for r in out.quality_report.collect() if r.column is None}
+    assert values[("duplicates", "total_removed")] == 1 and values[("summary", "final_rows")] == 4
+    assert out.quality_report.count() and len(asked) == 1
+
+
 def test_interpolation_places_rows_with_one_shuffle(spark, monkeypatch):
     plans, keep = [], clean.stored
     monkeypatch.setattr(clean, "stored", lambda df, name: plans.append(
