@@ -13,8 +13,9 @@ to be in one collection and keep collections small.
 * A chunk sends each of its remaining pieces once, with the smallest id that holds it, to the slot of the anchor; pieces
   of one chunk and slot travel as one compressed row. An anchor that stands in more than ``hot`` chunks is dealt as
   single windows, by their own hashes. Where the pieces stand stays with the chunk.
-* In each slot equal pieces become one string, the columns of the strings are inserted round by round, and windows next
-  to each other in suffix order with common prefixes of ``width`` or more are equal: the smallest id among them is the
+* In each slot equal pieces become one string. A string that has an anchor alone shares windows with no other string,
+  so its own smallest id is their origin. The columns of all others are inserted round by round, and windows next to
+  each other in suffix order with common prefixes of ``width`` or more are equal: the smallest id among them is the
   origin of them all. The origins go back to the chunks in the order in which the pieces came.
 
 Chunks are stored as a table bucketed by chunk, so the texts are not shuffled when bits and origins come back to them.
@@ -39,7 +40,7 @@ from .scratch import Scratch
 from .words import chunks, mix
 
 GRAM = 24
-BLOCK = 1 << 22
+BLOCK = 1 << 17
 BUCKET_BYTES = 256_000_000
 SLOT_BYTES = 20_000_000
 HOT = 2_000
@@ -51,7 +52,8 @@ def pieces(data: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.ndarray,
     parts = []
     for base in range(0, max(1, len(data) - width + 1), BLOCK):
         block = data[base:base + BLOCK + width - 1]
-        start, count, anchor = _pieces(block, np.clip(ends - base, 0, len(block)), width)
+        inside = ends[np.searchsorted(ends, base, side="right"):np.searchsorted(ends, base + len(block))]
+        start, count, anchor = _pieces(block, np.append(inside - base, len(block)), width)
         parts.append((start + base, count, np.searchsorted(ends, start + base, side="right"), anchor))
     return tuple(np.concatenate(x) for x in zip(*parts))
 
@@ -63,11 +65,11 @@ def _pieces(data: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.ndarray,
     padded = np.concatenate((data, np.zeros(GRAM, np.uint8)))
     eight = np.ndarray((len(data) + GRAM - 7,), "<u8", padded, 0, (1,))
     with np.errstate(over="ignore"):
-        h = np.zeros(len(data), np.uint64)
+        h, upper = np.zeros(len(data), np.uint64), np.empty(len(data), np.uint64)
         for k in range(0, GRAM, 8):
             h ^= eight[k:k + len(data)]
             h *= np.uint64(0xD6E8FEB86659FD93)
-            h ^= h >> np.uint64(32)
+            h ^= np.right_shift(h, np.uint64(32), out=upper)
     span, wanted = 1, width - GRAM + 1  # grams inside a window
     while span * 2 <= wanted:
         h = np.minimum(h[:-span], h[span:])
@@ -79,7 +81,7 @@ def _pieces(data: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.ndarray,
     crossing = np.zeros(len(data) + 1, np.int32)
     np.add.at(crossing, np.maximum(begins, ends - width + 1), 1)
     np.add.at(crossing, ends, -1)
-    inside = np.cumsum(crossing[:n]) == 0
+    inside = np.cumsum(crossing[:n], dtype=np.int32) == 0
     changes = inside.copy()
     changes[1:] &= (h[1:] != h[:-1]) | ~inside[:-1]
     start = np.flatnonzero(changes)
@@ -151,6 +153,7 @@ class _Chunk:
         rank[order] = np.arange(len(order))
         self.place, self.piece, self.owner = start, rank[group], self.ids[doc]
         self.slot, self.strings = slot[order], [strings[k] for k in order.tolist()]
+        self.anchors = (key[sample] >> np.uint64(32)).astype(np.uint32)[order]
         none = np.iinfo(np.int64)
         self.least, self.most = np.full(len(order), none.max), np.full(len(order), none.min)
         np.minimum.at(self.least, self.piece, self.owner)
@@ -219,7 +222,8 @@ def _unpacked(packed: bytes) -> bytes:
 
 
 def _send_pieces(stored: DataFrame, shared: DataFrame, width: int, buckets: int, slots: int) -> DataFrame:
-    """(slot, chunk, n, packed): the pieces of a chunk for a slot, their lengths and the smallest and largest ids."""
+    """(slot, chunk, n, packed): the pieces of a chunk for a slot, their lengths, hashes of their anchors, and the smallest
+    and largest ids."""
     def work(batches):
         for batch in batches:
             for row in batch.to_pylist():
@@ -229,7 +233,7 @@ def _send_pieces(stored: DataFrame, shared: DataFrame, width: int, buckets: int,
                 here, begins = np.unique(c.slot, return_index=True)
                 bounds = [*begins.tolist(), len(c.slot)]
                 sizes = np.fromiter(map(len, c.strings), np.uint8, len(c.strings))
-                rows = [_packed(sizes[a:b], c.least[a:b], c.most[a:b], b"".join(c.strings[a:b])) for a, b in zip(bounds, bounds[1:])]
+                rows = [_packed(sizes[a:b], c.least[a:b], c.most[a:b], c.anchors[a:b], b"".join(c.strings[a:b])) for a, b in zip(bounds, bounds[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(here), pa.array(np.full(len(here), row["chunk"])), pa.array(np.diff(bounds).astype(np.int64)),
                      pa.array(rows, pa.binary())], ["slot", "chunk", "n", "packed"])
@@ -237,6 +241,13 @@ def _send_pieces(stored: DataFrame, shared: DataFrame, width: int, buckets: int,
         work, "slot long, chunk long, n long, packed binary")
 
 
+def _not_alone(names: np.ndarray) -> np.ndarray:
+    """The places of the names that occur more than once."""
+    order = np.argsort(names, kind="stable")
+    same = names[order[1:]] == names[order[:-1]]
+    return np.sort(order[np.append(same, False) | np.concatenate(([False], same))[:len(names)]])
+
+
 def _origins(sent: DataFrame, width: int, parts: int, folder: str) -> DataFrame:
     """(chunk, origins: array of (slot, n, packed)): for each piece sent the smallest id holding its windows, run-length
     coded; pieces none of whose windows another document has earlier have no run."""
@@ -244,22 +255,31 @@ def _origins(sent: DataFrame, width: int, parts: int, folder: str) -> DataFrame:
         for table in runs(batches, ["slot"]):
             rows = table.to_pylist()
             numbers: dict[bytes, int] = {}
-            groups, highs, lows = [], [], []
+            groups, highs, lows, anchors = [], [], [], []
             for row in rows:
                 raw, n = _unpacked(row["packed"]), row["n"]
                 sizes = np.frombuffer(raw, np.uint8, n).astype(np.int64)
                 lows.append(np.frombuffer(raw, np.int64, n, n))
                 highs.append(np.frombuffer(raw, np.int64, n, 9 * n))
-                at = np.concatenate(([17 * n], 17 * n + np.cumsum(sizes))).tolist()
+                anchors.append(np.frombuffer(raw, np.uint32, n, 17 * n))
+                at = np.concatenate(([21 * n], 21 * n + np.cumsum(sizes))).tolist()
                 groups.append(np.fromiter((numbers.setdefault(raw[a:b], len(numbers)) for a, b in zip(at, at[1:])), np.int64, n))
             lengths = np.fromiter(map(len, numbers), np.int64, len(numbers))
-            strings = np.zeros((len(lengths), int(lengths.max())), np.uint8)
-            strings[np.arange(strings.shape[1])[None, :] >= strings.shape[1] - lengths[:, None]] = np.frombuffer(b"".join(numbers), np.uint8)
-            least = np.full(len(lengths), np.iinfo(np.int64).max)
-            for group, low in zip(groups, lows):
+            least, name = np.full(len(lengths), np.iinfo(np.int64).max), np.zeros(len(lengths), np.uint32)
+            for group, low, anchor in zip(groups, lows, anchors):
                 np.minimum.at(least, group, low)
+                name[group] = anchor
+            found = np.repeat(least[:, None], int(lengths.max()) - width + 1, axis=1)
+            several = _not_alone(name)
+            if len(several):
+                texts, sizes = list(numbers), lengths[several]
+                strings = np.zeros((len(several), int(sizes.max())), np.uint8)
+                strings[np.arange(strings.shape[1])[None, :] >= strings.shape[1] - sizes[:, None]] = np.frombuffer(
+                    b"".join([texts[k] for k in several.tolist()]), np.uint8)
+                del texts
+                numbers.clear()
+                found[several, :strings.shape[1] - width + 1] = smallest_owner(strings, sizes, least[several], width, folder)
             numbers.clear()
-            found = smallest_owner(strings, lengths, least, width, folder)
             here = np.arange(found.shape[1])[None, :] <= (lengths - width)[:, None]
             packed = []
             for group, high in zip(groups, highs):
@@ -309,8 +329,7 @@ def without_repeats(docs: DataFrame, width: int = 50, hot: int = HOT, slot_bytes
     """((doc_id, n_bytes, removed, kept) per row of ``docs`` (doc_id, text), the tables behind it).
 
     ``removed`` are the maximal stretches of removed bytes (start, end exclusive), ``kept`` the remaining bytes. The frame
-    reads the stored tables; call ``drop()`` on them when it is no longer needed. ``width`` is even, as pairs of bytes
-    are the symbols.
+    reads the stored tables; call ``drop()`` on them when it is no longer needed. ``width`` is even.
     """
     spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()

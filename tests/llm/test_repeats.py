@@ -58,6 +58,42 @@ def test_smallest_owner_of_byte_windows(tmp_path, seed):
         assert found[i, :len(s) - width + 1].tolist() == [least[s[k:k + width]] for k in range(len(s) - width + 1)]
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_transform_of_four_byte_symbols(tmp_path, monkeypatch, seed):
+    rnd = random.Random(seed)
+    monkeypatch.setattr(columnwise, "SEGMENT", rnd.choice([1, 5, 1 << 16]))
+    monkeypatch.setattr(columnwise, "TABLE", rnd.choice([0, 1 << 24]))
+    monkeypatch.setattr(columnwise, "NARROW", (0, 1 << 24)[seed % 2])
+    letters = [rnd.randrange(0xFFFFFFFF) for _ in range(rnd.choice([1, 2, 3, 12]))] + [0, 0x41420000, 0x4142FFFF][:seed % 4]
+    strings = [tuple(rnd.choice(letters) for _ in range(rnd.randrange(0, 25))) for _ in range(rnd.randrange(1, 70))] + [()]
+    rows, lengths = matrix(strings, np.uint32)
+    symbols, prefixes = columnwise.transform(rows, lengths, f"file://{tmp_path}/rounds")
+    suffixes = sorted(((s[k:], i) for i, s in enumerate(strings) for k in range(len(s) + 1)), key=lambda x: x[0])
+    assert prefixes.tolist() == [0] + [common(a[0], b[0]) for a, b in zip(suffixes, suffixes[1:])]
+    for j, who, at in columnwise.places(symbols, lengths):
+        for k, p in zip(who.tolist(), at.tolist()):
+            assert suffixes[p][0] == strings[k][len(strings[k]) - j:]
+            assert symbols[p] == (strings[k][len(strings[k]) - j - 1] if j < len(strings[k]) else 0xFFFFFFFF)
+
+
+@pytest.mark.parametrize("width", [1, 3, 5, 8, 11, 50])
+def test_windows_of_any_width_with_few_rounds(tmp_path, monkeypatch, width):
+    rnd = random.Random(width)
+    base = [bytes(rnd.randrange(256) if rnd.random() < 0.2 else 0 for _ in range(90)) for _ in range(5)]
+    strings = [b[a:a + n] for b in base for a, n in [(rnd.randrange(14), rnd.randrange(width, 77)) for _ in range(30)]]
+    owner = np.array([rnd.randrange(50) for _ in strings], np.int64)
+    least, seen, real = {}, [], columnwise.transform
+    for s, o in zip(strings, owner):
+        for k in range(len(s) - width + 1):
+            least[s[k:k + width]] = min(least.get(s[k:k + width], 99), o)
+    monkeypatch.setattr(columnwise, "transform", lambda rows, lengths, folder: seen.append(lengths.max()) or real(rows, lengths, folder))
+    rows, lengths = matrix(strings)
+    found = columnwise.smallest_owner(rows, lengths, owner, width, f"file://{tmp_path}/rounds")
+    for i, s in enumerate(strings):
+        assert found[i, :len(s) - width + 1].tolist() == [least[s[k:k + width]] for k in range(len(s) - width + 1)]
+    assert max(seen) <= 19  # a round takes four bytes
+
+
 def brute(rows, width):
     least = {}
     for d, t in rows:
@@ -119,6 +155,21 @@ def test_pieces_of_long_texts_are_cut_in_blocks(monkeypatch):
     assert windows() == whole
 
 
+def test_only_strings_that_share_an_anchor_are_transformed():
+    assert repeats._not_alone(np.array([5, 7, 5, 1, 9, 7, 7], np.uint32)).tolist() == [0, 1, 2, 5, 6]
+    assert repeats._not_alone(np.array([5], np.uint32)).tolist() == repeats._not_alone(np.array([], np.uint32)).tolist() == []
+
+
+@pytest.mark.parametrize("texts", [["x" * 10 + "The quick brown fox jumps over the lazy dog, twice a day." * 2], [], ["short"]])
+def test_slots_without_shared_anchors(spark, texts):
+    rows = [(i, t) for i, t in enumerate(texts * 3)] + [(9, "y" * 70 + t) for t in texts]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found, tables = repeats.without_repeats(docs)
+    got = [(r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.removed], bytes(r.kept)) for r in found.collect()]
+    tables.drop()
+    assert sorted(got) == sorted(brute(rows, 50))
+
+
 def test_edge_cases(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert repeats.without_repeats(empty)[0].count() == 0
